@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import rules
@@ -93,17 +93,14 @@ def rejects(flagged: DataFrame) -> DataFrame:
 def reject_examples(rejected: DataFrame, per_reason: int = 3, errors: int = 2) -> DataFrame:
     """The first rejects of each reason with their first errors, for a printed report.
 
-    Kept as an aggregate (``min_by`` with a count keeps the smallest keys), so a
-    reason holding most of the table is combined before the shuffle.
+    The rank filter is applied in every task before the shuffle (window group
+    limit), so a reason holding most of the table is no hot spot.
     """
-    first = F.min_by(F.struct(ID, "stage", "errors", "sample"), F.col(ID), per_reason)
+    rank = F.row_number().over(Window.partitionBy("reason").orderBy(ID))
     return (
-        rejected.groupBy("reason")
-        .agg(first.alias("first"))
-        .select("reason", F.explode("first").alias("r"))
-        .select(
-            f"r.{ID}", "r.stage", "reason", F.slice("r.errors", 1, errors).alias("errors"), "r.sample"
-        )
+        rejected.withColumn("rank", rank)
+        .filter(F.col("rank") <= per_reason)
+        .withColumn("errors", F.slice("errors", 1, errors))
     )
 
 
