@@ -5,6 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleanery.functions.text import let
+
+
+# Matches are placed in groups of this size, so that appending to a growing array
+# does not get quadratic on long texts.
+_GROUP = 64
+
+
+def _shifted(found: Column, by: Column) -> Column:
+    return F.transform(
+        found,
+        lambda m: F.struct(m["text"].alias("text"), (m["start"] + by).alias("start"), (m["end"] + by).alias("end")),
+    )
+
 
 def spans(c: Column, pattern: str) -> Column:
     """``array<struct<text, start, end>>`` of all matches, 0-based, end exclusive.
@@ -14,8 +28,10 @@ def spans(c: Column, pattern: str) -> Column:
     """
     c = F.coalesce(c, F.lit(""))
     matches = F.regexp_extract_all(c, F.lit(pattern), 0)
-    gaps = F.slice(F.split(c, pattern, -1), F.lit(1), F.size(matches))
-    pairs = F.zip_with(gaps, matches, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("text")))
+    pairs = F.zip_with(F.split(c, pattern, -1), matches, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("text")))
+
+    empty = F.array().cast("array<struct<text:string,start:int,end:int>>")
+    zero = F.struct(F.lit(0).alias("end"), empty.alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["end"] + x["gap"]
@@ -23,9 +39,20 @@ def spans(c: Column, pattern: str) -> Column:
         found = F.struct(x["text"].alias("text"), start.alias("start"), end.alias("end"))
         return F.struct(end.alias("end"), F.concat(acc["out"], F.array(found)).alias("out"))
 
-    empty = F.array().cast("array<struct<text:string,start:int,end:int>>")
-    zero = F.struct(F.lit(0).alias("end"), empty.alias("out"))
-    return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+    def join(acc: Column, group: Column) -> Column:
+        out = F.concat(acc["out"], _shifted(group["out"], acc["end"]))
+        return F.struct((acc["end"] + group["end"]).alias("end"), out.alias("out"))
+
+    def place(pairs: Column) -> Column:
+        # The last gap, after the last match, has no match and falls away.
+        n = F.size(pairs) - 1
+        starts = F.when(n > 0, F.sequence(F.lit(1), n, F.lit(_GROUP))).otherwise(F.array().cast("array<int>"))
+        groups = F.transform(
+            starts, lambda i: F.aggregate(F.slice(pairs, i, F.least(F.lit(_GROUP), n - i + 1)), zero, step)
+        )
+        return F.aggregate(groups, zero, join, lambda acc: acc["out"])
+
+    return let(pairs, place)
 
 
 def quoted(c: Column) -> Column:
@@ -33,16 +60,24 @@ def quoted(c: Column) -> Column:
     return F.concat(F.lit("\\Q"), F.replace(c, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
 
 
+# A noncharacter, used to mark occurrences; texts holding it take the slower way.
+_MARK = "\uffff"
+
+
 def positions(text: Column, needle: Column) -> Column:
     """0-based starts of the non-overlapping occurrences of ``needle``, left to right."""
-    gaps = F.split(text, quoted(needle), -1)
-    starts = F.aggregate(
-        F.slice(gaps, F.lit(1), F.size(gaps) - 1),
-        F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("out")),
-        lambda acc, g: F.struct(
-            (acc["next"] + F.length(g) + F.length(needle)).alias("next"),
-            F.concat(acc["out"], F.array(acc["next"] + F.length(g))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return starts
+    fast = F.split(F.replace(text, needle, F.lit(_MARK)), _MARK, -1)
+    exact = F.split(text, quoted(needle), -1)
+
+    def starts(gaps: Column) -> Column:
+        return F.aggregate(
+            F.slice(gaps, F.lit(1), F.size(gaps) - 1),
+            F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("out")),
+            lambda acc, g: F.struct(
+                (acc["next"] + F.length(g) + F.length(needle)).alias("next"),
+                F.concat(acc["out"], F.array(acc["next"] + F.length(g))).alias("out"),
+            ),
+            lambda acc: acc["out"],
+        )
+
+    return let(F.when(text.contains(_MARK), exact).otherwise(fast), starts)

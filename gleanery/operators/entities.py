@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.names import lower_words, mentions
 from gleanery.functions.spans import positions
+from gleanery.functions.text import let
 from gleanery.operators.profile import percent
-from gleanery.operators.skew import hot_keys
+from gleanery.operators.skew import HOT_SHARE, hot_keys
 from gleanery.operators.substring import contained_strings
 from gleanery.schema import ID
 from gleanery.session import materialise
@@ -140,35 +141,43 @@ def _lowered(df: DataFrame, text: str) -> DataFrame:
     return df.select(ID, F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
 
 
-def rare_entity_ids(df: DataFrame, rare: DataFrame, text: str = "text", found: DataFrame | None = None) -> DataFrame:
+def _own_mentions(c: Column) -> Column:
+    """Lower-cased mentions of a text that its lower-cased form contains.
+
+    Nearly all do, but lower-casing a part of a text can differ from that part of
+    the lower-cased text. Words the text also writes in lower case are left out:
+    mostly sentence openers, which would be the frequent keys of the join.
+    """
+    names = F.transform(mentions(c), lambda m: F.lower(m["mention"]))
+    return let(F.lower(c), lambda t: F.filter(F.array_except(names, lower_words(c)), lambda e: t.contains(e)))
+
+
+def rare_entity_ids(df: DataFrame, freq: DataFrame, threshold: int = THRESHOLD, text: str = "text") -> DataFrame:
     """Ids of records whose lower-cased text contains a rare entity, word boundaries or not.
 
     Most records that qualify mention a rare entity themselves, and an equi-join
-    tells. Only the others are searched for rare entities inside their words. The
-    mention table speeds this up and does not change the result, so it may be any.
+    tells; only the others are searched for rare entities within their words. Which
+    mentions the first step looks at changes the speed, never the result. ``freq``
+    should be a written table.
     """
-    texts = _lowered(df, text)
-    if found is None:
-        found = df.select(ID, F.inline(mentions(F.col(text)))).select(ID, F.lower("mention").alias("entity"))
-    found = found.select(ID, "entity")
-    # Frequent entities are not rare; dropping them leaves no hot key in the join.
-    counts = materialise(found.groupBy("entity").agg(F.count("*").alias("n")))
-    frequent = hot_keys(counts, "entity").select("entity").join(rare, "entity", "left_anti")
-    own = found.join(F.broadcast(frequent), "entity", "left_anti").join(rare, "entity", "left_semi").distinct()
-    # Lower-casing a part of a text may differ from that part of the lower-cased text.
-    own = own.join(texts, ID).filter(F.col("text").contains(F.col("entity")))
-    own = materialise(own.select(ID).distinct())
-    rest = materialise(texts.join(own, ID, "left_anti"))
+    rare = rare_entities(freq, threshold).select("entity")
+    # The most frequent entities are not rare; without them no key is hot.
+    frequent = hot_keys(freq, "entity", "freq") if threshold * HOT_SHARE < freq.agg(F.sum("freq")).first()[0] else []
+    named = df.select(ID, F.explode(_own_mentions(F.col(text))).alias("entity"))
+    named = named.filter(~F.col("entity").isin(frequent)) if frequent else named
+    own = materialise(named.join(rare, "entity", "left_semi").select(ID).distinct())
+    rest = materialise(_lowered(df, text).join(own, ID, "left_anti"))
     inside = contained_strings(rest, rare.select(F.col("entity").alias("string")))
     return own.union(inside.select(ID).distinct())
 
 
-def rare_entity_details(df: DataFrame, rare: DataFrame, text: str = "text") -> DataFrame:
+def rare_entity_details(df: DataFrame, freq: DataFrame, threshold: int = THRESHOLD, text: str = "text") -> DataFrame:
     """Per record: every rare entity its text contains, with frequency and 0-based positions.
 
     Columns: has_unusual, unusual_count, unusual_entities_found and text_length;
     records without a hit get an empty list.
     """
+    rare = rare_entities(freq, threshold)
     texts = materialise(_lowered(df, text))
     pairs = contained_strings(texts, rare.select(F.col("entity").alias("string")))
     hits = (

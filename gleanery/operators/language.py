@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.spans import spans
 from gleanery.functions.words import ALPHA_WORD, ARTIFACTS, alpha_words, base_forms, has_non_ascii, non_ascii_chars
-from gleanery.operators.skew import salted_join
+from gleanery.operators.skew import hot_keys, salted_join
 from gleanery.schema import ID
 from gleanery.session import materialise
 
@@ -28,24 +28,19 @@ def word_list(words: DataFrame) -> DataFrame:
 
 def corpus_dictionary(df: DataFrame, text: str = "text", min_records: int = 5) -> DataFrame:
     """Dictionary from English texts: words that occur in at least ``min_records`` of them."""
-    words = F.array_distinct(F.transform(alpha_words(F.col(text)), F.lower))
+    words = F.array_distinct(alpha_words(F.lower(text)))
     counts = df.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("records"))
     return counts.filter(F.col("records") >= min_records)
 
 
 def vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
     """Distinct lower-cased words, the records holding each (``n``) and whether it is always capitalised."""
-    # At most two spellings of a word are kept per record, so tokens are thinned before the shuffle.
-    spellings = F.array_distinct(
-        F.transform(
-            alpha_words(F.col(text)),
-            lambda w: F.struct(F.lower(w).alias("word"), w.rlike(_CAPITALISED).alias("capitalised")),
-        )
-    )
+    # Each spelling is kept once per record, so tokens are thinned before the shuffle.
+    spelling = F.explode(F.array_distinct(alpha_words(F.col(text)))).alias("spelling")
     return (
-        df.select(F.inline(spellings))
-        .groupBy("word")
-        .agg(F.count("*").alias("n"), F.bool_and("capitalised").alias("always_capitalised"))
+        df.select(spelling)
+        .groupBy(F.lower("spelling").alias("word"))
+        .agg(F.count("*").alias("n"), F.bool_and(F.col("spelling").rlike(_CAPITALISED)).alias("always_capitalised"))
     )
 
 
@@ -73,7 +68,7 @@ def unknown_words(
 
 
 def _words_with(df: DataFrame, text: str) -> DataFrame:
-    words = F.array_distinct(F.transform(alpha_words(F.col(text)), F.lower))
+    words = F.array_distinct(alpha_words(F.lower(text)))
     return df.select(ID, F.explode(words).alias("word"))
 
 
@@ -85,7 +80,7 @@ def non_english_ids(
     unknown = unknown_words(vocab, dictionary, irregular)
     accented = has_non_ascii(F.col(text))
     rest = _words_with(df.filter(~accented), text)
-    by_word = salted_join(rest, unknown.select("word"), "word", vocab, "left_semi")
+    by_word = salted_join(rest, unknown.select("word"), "word", hot_keys(vocab, "word"), "left_semi")
     return df.filter(accented).select(ID).union(by_word.select(ID).distinct())
 
 
@@ -96,7 +91,7 @@ def non_english_words(
     vocab = materialise(vocabulary(df, text))
     unknown = unknown_words(vocab, dictionary, irregular).select("word")
     tokens = df.select(ID, F.inline(spans(F.col(text), ALPHA_WORD))).withColumn("word", F.lower("text"))
-    hits = salted_join(tokens, unknown, "word", vocab, "inner")
+    hits = salted_join(tokens, unknown, "word", hot_keys(vocab, "word"))
     return hits.select(ID, F.col("text").alias("token"), "word", "start", "end")
 
 
@@ -126,7 +121,7 @@ def phrase_check(
     vocab = materialise(vocabulary(df, text))
     unknown = unknown_words(vocab, dictionary, irregular, min_length=1, artifacts=False).select("word")
     tokens = df.select(ID, F.posexplode(alpha_words(F.col(text))).alias("pos", "token"))
-    hits = salted_join(tokens.withColumn("word", F.lower("token")), unknown, "word", vocab, "left_semi")
+    hits = salted_join(tokens.withColumn("word", F.lower("token")), unknown, "word", hot_keys(vocab, "word"), "left_semi")
     per_phrase = hits.groupBy(ID).agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("hits"))
     found: Column = F.transform("hits", lambda h: h["token"])
     return (

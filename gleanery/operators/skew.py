@@ -7,35 +7,41 @@ from pyspark.sql import functions as F
 
 from gleanery.schema import ID
 
-# A key is hot when it holds more than 1/HOT_SHARE of the rows. There can be fewer
-# than HOT_SHARE such keys, whatever the size of the data: safe to broadcast.
+# A key is hot when it holds more than 1/HOT_SHARE of the rows. There are fewer
+# than HOT_SHARE such keys, whatever the size of the data.
 HOT_SHARE = 1000
 
+# Tasks a hot key is spread over. Even a key with a third of all rows then weighs
+# no more per task than a few ordinary ones.
+PARTS = 128
 
-def hot_keys(counts: DataFrame, key: str) -> DataFrame:
-    """Keys with more than 1/HOT_SHARE of all rows and the number of parts to split each into.
 
-    ``counts`` holds one row per key with its row count ``n``; materialise it, as
-    it is read twice.
+def hot_keys(counts: DataFrame, key: str, n: str = "n") -> list:
+    """The hot keys of a table with one row per key and its row count.
+
+    Fewer than HOT_SHARE values come back to the driver. ``counts`` is read twice,
+    so it should be a written table.
     """
-    total = counts.select(F.sum("n")).scalar()
-    share = F.ceil(F.col("n") * HOT_SHARE / total).cast("int")
-    return counts.filter(F.col("n") * HOT_SHARE > total).select(key, share.alias("parts"))
+    total = counts.agg(F.sum(n)).first()[0]
+    if not total:
+        return []
+    return [r[0] for r in counts.filter(F.col(n) * HOT_SHARE > total).select(key).collect()]
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, counts: DataFrame, how: str = "inner") -> DataFrame:
-    """Join on ``key``, splitting the hot keys of ``left`` over many tasks.
+def salted_join(left: DataFrame, right: DataFrame, key: str, hot: list, how: str = "inner") -> DataFrame:
+    """Join on ``key``, splitting the ``hot`` keys of ``left`` over many tasks.
 
-    Left rows of a hot key are spread by their record id; the few matching right
-    rows are repeated once per part. Rows of other keys are joined as usual.
-    ``how`` may be inner or left_semi; the row set equals that of the plain join.
+    Left rows of a hot key are spread by their record id, and the few matching
+    right rows are repeated once per part; all other rows are joined as usual. The
+    rows are those of the plain join. ``how`` is inner or left_semi. Both sides
+    keep their size estimates, so Spark still broadcasts a right side that it
+    knows to be small.
     """
-    hot = F.broadcast(hot_keys(counts, key))
-    part = F.coalesce(F.pmod(F.xxhash64(ID), F.col("parts")), F.lit(0)).cast("int")
-    spread = left.join(hot, key, "left").withColumn("part", part).drop("parts")
-    repeated = (
-        right.join(hot, key, "left")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1)))
-        .drop("parts")
-    )
-    return spread.join(repeated, [key, "part"], how).drop("part")
+    if not hot:
+        return left.join(right, key, how)
+    is_hot = F.col(key).isin(hot)
+    spread = F.when(is_hot, F.pmod(F.xxhash64(ID), F.lit(PARTS)).cast("int")).otherwise(F.lit(0))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    left = left.withColumn("part", spread)
+    right = right.withColumn("part", F.explode(copies))
+    return left.join(right, [key, "part"], how).drop("part")

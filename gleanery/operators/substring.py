@@ -16,8 +16,9 @@ has a side with unique keys, so the work grows with the texts alone:
 4. Strings longer than a window are represented by their beginning and looked up
    in full only at the places where that beginning occurs.
 
-Nothing is broadcast on purpose; Spark broadcasts a side whose measured size is
-below its threshold.
+Nothing is broadcast on purpose; Spark broadcasts a side whose size it knows to be
+below its threshold. The small intermediates are written out, which gives it that
+size.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.spans import quoted
-from gleanery.operators.skew import salted_join
+from gleanery.operators.skew import hot_keys, salted_join
 from gleanery.schema import ID
 from gleanery.session import materialise
 
@@ -35,35 +36,35 @@ WINDOW = 48
 
 
 def _power(length: Column) -> Column:
-    return F.pow(2, F.floor(F.log2(length))).cast("int")
+    return F.floor(F.log2(length)).cast("int")
 
 
-def _starting(windows: DataFrame, strings: DataFrame, key: str) -> DataFrame:
-    """Distinct (key, string) where a window of ``key`` starts with ``string`` (step 3)."""
+def _starting(windows: DataFrame, strings: DataFrame, longest: int, key: str) -> DataFrame:
+    """Distinct (key, string) where a window of ``key`` starts with ``string`` (step 3).
+
+    ``windows`` holds (key, window, least): no string shorter than ``least`` matters.
+    """
     prefixes = (
         strings.select(F.length("string").alias("size"), "string")
-        .groupBy(F.left("string", _power(F.col("size"))).alias("prefix"))
+        .groupBy(F.left("string", F.pow(2, _power(F.col("size"))).cast("int")).alias("prefix"))
         .agg(F.collect_set("size").alias("sizes"))
     )
-    powers = F.transform(F.sequence(F.lit(0), F.floor(F.log2(F.length("window"))).cast("int")), lambda k: F.pow(2, k))
-    probes = (
-        windows.filter(F.length("window") > 0)
-        .withColumn("power", F.explode(powers))
-        .withColumn("prefix", F.left("window", F.col("power").cast("int")))
+    lowest = _power(F.col("least"))
+    highest = _power(F.least(F.length("window"), F.lit(longest)))
+    probes = windows.withColumn("power", F.explode(F.when(lowest <= highest, F.sequence(lowest, highest)))).withColumn(
+        "prefix", F.left("window", F.pow(2, F.col("power")).cast("int"))
     )
     candidates = (
         probes.join(prefixes, "prefix")
         .select(key, "window", F.explode("sizes").alias("size"))
         .filter(F.length("window") >= F.col("size"))
         .select(key, F.left("window", F.col("size")).alias("string"))
-        .distinct()
     )
-    return candidates.join(strings.select("string"), "string", "left_semi")
+    return candidates.join(strings.select("string"), "string", "left_semi").distinct()
 
 
-def _completed(found: DataFrame, texts: DataFrame, strings: DataFrame, key: str) -> DataFrame:
-    """Replace the beginnings of long strings by the long strings that really occur (step 4)."""
-    long = strings.filter(F.col("head") != F.col("string"))
+def _completed(found: DataFrame, texts: DataFrame, long: DataFrame, key: str) -> DataFrame:
+    """The long strings that really occur where their beginnings do (step 4)."""
     sizes = long.groupBy("head").agg(
         F.collect_set(F.length("string")).alias("sizes"), F.max(F.length("string")).alias("longest")
     )
@@ -78,16 +79,19 @@ def _completed(found: DataFrame, texts: DataFrame, strings: DataFrame, key: str)
         .select(key, F.left("window", F.col("size")).alias("string"))
         .distinct()
         .join(long.select("string"), "string", "left_semi")
+        .select(key, "string")
     )
 
 
-def _resolve(windows: DataFrame, texts: DataFrame, strings: DataFrame, key: str) -> DataFrame:
-    """Steps 3 and 4: (key, string) for ``strings`` (string, head) over ``windows`` (key, window)."""
+def _resolve(windows: DataFrame, texts: DataFrame, strings: DataFrame, longest: int, any_long: bool, key: str) -> DataFrame:
+    """Steps 3 and 4: (key, string) for ``strings`` (string, head) over ``windows``."""
+    if not any_long:
+        return materialise(_starting(windows, strings.select("string"), longest, key).select(key, "string"))
     heads = strings.select(F.col("head").alias("string")).distinct()
-    found = _starting(windows, heads, key)
-    short = strings.filter(F.col("head") == F.col("string")).select("string")
-    whole = found.join(short, "string", "left_semi").select(key, "string")
-    return whole.union(_completed(found, texts, strings, key).select(key, "string"))
+    found = materialise(_starting(windows, heads, longest, key))
+    is_long = F.col("head") != F.col("string")
+    whole = found.join(strings.filter(~is_long).select("string"), "string", "left_semi").select(key, "string")
+    return materialise(whole.union(_completed(found, texts, strings.filter(is_long), key)))
 
 
 def contained_strings(texts: DataFrame, strings: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -95,47 +99,68 @@ def contained_strings(texts: DataFrame, strings: DataFrame, window: int = WINDOW
 
     ``texts`` holds (record_id, text), ``strings`` holds distinct non-empty strings
     without blanks at their ends. Both sides are compared as they are: lower-case
-    them first for a caseless match.
+    them first for a caseless match. Both are read several times and should be
+    written tables.
     """
     texts = texts.select(ID, "text")
-    strings = strings.select("string")
-    tokens = F.explode(F.split("text", " ", -1)).alias("token")
-    vocab = materialise(texts.select(tokens).filter(F.col("token") != "").groupBy("token").agg(F.count("*").alias("n")))
-
-    # Step 1: single words inside distinct tokens, then back to the records.
-    words = strings.filter(~F.col("string").contains(" ")).withColumn("head", F.left("string", F.lit(window)))
-    inside = vocab.select("token", F.explode(_suffix_windows("token", window)).alias("window"))
-    word_hits = _resolve(inside, vocab.select("token", F.col("token").alias("text")), words, "token")
-    distinct_tokens = texts.select(ID, F.explode(F.array_distinct(F.split("text", " ", -1))).alias("token"))
-    by_word = salted_join(distinct_tokens, word_hits, "token", vocab).select(ID, "string")
-
-    # Step 2: phrases, from the token ends which are first words of phrases.
     first = F.substring_index("string", " ", 1)
-    head = F.concat(first, F.lit(" "), F.left(F.substr("string", F.length(first) + 2), F.lit(window)))
-    phrases = strings.filter(F.col("string").contains(" ")).withColumn("first", first).withColumn("head", head)
-    firsts = phrases.select("first").distinct()
-    ends = (
-        vocab.select("token", F.explode(_suffixes("token", firsts)).alias("first"))
-        .join(firsts, "first", "left_semi")
+    rest = F.substr("string", F.length(first) + 2)
+    is_phrase = F.col("string").contains(" ")
+    strings = strings.select(
+        "string",
+        is_phrase.alias("phrase"),
+        first.alias("first"),
+        F.when(is_phrase, F.concat(first, F.lit(" "), F.left(rest, F.lit(window))))
+        .otherwise(F.left("string", F.lit(window)))
+        .alias("head"),
     )
-    # Each token that has a successor, with the text after it.
-    ahead = F.lit(f"(?s)(?<![^ ])(?=([^ ]+ .{{1,{window}}}))")
-    places = (
-        texts.select(ID, F.explode(F.regexp_extract_all("text", ahead, 1)).alias("place"))
-        .withColumn("token", F.substring_index("place", " ", 1))
-        .select(ID, "token", F.substr("place", F.length("token") + 1).alias("after"))
-    )
-    opened = salted_join(places, ends, "token", vocab).select(ID, F.concat("first", "after").alias("window"))
-    by_phrase = _resolve(opened.distinct(), texts, phrases.select("string", "head"), ID)
-    return by_word.union(by_phrase).distinct()
-
-
-def _suffix_windows(c: str, window: int) -> Column:
-    """The first ``window`` characters from every position of a token."""
-    return F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{1,{window}}}))"), 1)
-
-
-def _suffixes(c: str, firsts: DataFrame) -> Column:
-    """The suffixes of a token that are no longer than the longest first word."""
-    longest = F.coalesce(firsts.select(F.max(F.length("first"))).scalar(), F.lit(0))
-    return F.regexp_extract_all(F.right(F.col(c), longest), F.lit("(?s)(?=(.+))"), 1)
+    sizes = {
+        r["phrase"]: r
+        for r in strings.groupBy("phrase")
+        .agg(
+            F.max(F.length("first")).alias("first"),
+            F.max(F.length("head")).alias("head"),
+            F.bool_or(F.col("head") != F.col("string")).alias("any_long"),
+        )
+        .collect()  # at most two rows
+    }
+    tokens = F.explode(F.split("text", " ", -1)).alias("token")
+    vocab = materialise(texts.select(tokens).filter(F.col("token") != "").groupBy("token").agg(F.count("*").alias("n")))
+    hot = hot_keys(vocab, "token")
+    hits = texts.select(ID, F.lit("").alias("string")).limit(0)
+
+    if False in sizes:
+        # Step 1: single words inside distinct tokens, then back to the records.
+        pattern = F.lit(f"(?s)(?=(.{{1,{window}}}))")
+        windows = vocab.select(
+            "token", F.explode(F.regexp_extract_all("token", pattern, 1)).alias("window"), F.lit(1).alias("least")
+        )
+        bodies = vocab.select("token", F.col("token").alias("text"))
+        size = sizes[False]
+        inside = _resolve(windows, bodies, strings.filter("not phrase"), size["head"], size["any_long"], "token")
+        per_record = texts.select(ID, F.explode(F.array_distinct(F.split("text", " ", -1))).alias("token"))
+        hits = hits.union(salted_join(per_record, inside, "token", hot).select(ID, "string"))
+
+    if True in sizes:
+        # Step 2: the suffixes of distinct tokens that are first words of phrases.
+        phrases = strings.filter("phrase")
+        size = sizes[True]
+        suffixes = F.regexp_extract_all(F.right("token", F.lit(size["first"])), F.lit("(?s)(?=(.+))"), 1)
+        ends = materialise(
+            vocab.select("token", F.explode(suffixes).alias("first")).join(
+                phrases.select("first").distinct(), "first", "left_semi"
+            )
+        )
+        # Every token that has a successor, with the text after it.
+        pattern = F.lit(f"(?s)(?<![^ ])(?=([^ ]+ .{{1,{window}}}))")
+        places = (
+            texts.select(ID, F.explode(F.regexp_extract_all("text", pattern, 1)).alias("place"))
+            .withColumn("token", F.substring_index("place", " ", 1))
+            .select(ID, "token", F.substr("place", F.length("token") + 1).alias("after"))
+        )
+        windows = salted_join(places, ends, "token", hot).select(
+            ID, F.concat("first", "after").alias("window"), (F.length("first") + 2).alias("least")
+        )
+        hits = hits.union(_resolve(windows, texts, phrases, size["head"], size["any_long"], ID))
+
+    return hits.distinct()
