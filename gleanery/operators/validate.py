@@ -44,7 +44,10 @@ def flag(df: DataFrame, strict_dates: bool = False) -> DataFrame:
     fields = [f for f in TEXT_FIELDS if f in df.columns]
     passed = F.size("meta_errors") == 0
     df = df.withColumn("meta_errors", metadata_errors(df, strict_dates))
-    df = df.withColumns({f"{f}_clean": F.when(passed, clean_text(F.col(f), f)) for f in fields})
+    # As a generator the cleaning runs once; a filter on ``failed`` would otherwise
+    # be pushed below it and repeat it for every condition.
+    cleaned = F.struct(*[F.when(passed, clean_text(F.col(f), f)).alias(f"{f}_clean") for f in fields])
+    df = df.select("*", F.inline(F.array(cleaned)))
     text_errors = F.array_compact(
         F.array(*[F.when(passed, _prefixed(f, rules.text_error(F.col(f"{f}_clean"), f))) for f in fields])
     )

@@ -70,5 +70,5 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return df.repartition(cores, key) if size < cores * split else df
