@@ -48,11 +48,17 @@ def compare(spark, con, folder: str, name: str) -> tuple[str, float, float]:
         return f"rows only ({sum(mine.values())})", spent, 0.0
     started = time.time()
     result = con.execute(ORACLES[name])
+    result_types = result.description
     columns = [d[0] for d in result.description]
     theirs = rows(columns, result.fetchall())
     sql_time = time.time() - started
     if sorted(columns) != sorted(df.columns):
         return f"COLUMNS differ: {sorted(df.columns)} / {sorted(columns)}", spent, sql_time
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
+    types = {d[0]: str(d[1]) for d in result_types}
+    odd = {c: (t, types[c]) for c, t in df.dtypes if kinds.get(t) != types[c]}
+    if odd:
+        return f"TYPES differ: {odd}", spent, sql_time
     if mine != theirs:
         extra, lacking = mine - theirs, theirs - mine
         examples = [str(x)[:600] for x in (*list(extra)[:2], "---", *list(lacking)[:2])]

@@ -6,7 +6,7 @@ word tokens here instead of repeating the library's patterns.
 
 from __future__ import annotations
 
-from checks.queries import DICTIONARY_RECORDS, RECORDS_SQL, SAMPLE_SIZE
+from checks.queries import DICTIONARY_RECORDS, DOUBLES, RECORDS_SQL, SAMPLE_SIZE
 from gleanery.functions.patterns import DIGIT
 from gleanery.functions.words import ARTIFACTS, DOUBLING, ENDINGS, SHORTEST_STEM
 
@@ -544,3 +544,7 @@ ORACLES |= {
         ]
     ),
 }
+
+for _name, _columns in DOUBLES.items():
+    _rounding = ", ".join(f"round({c}, 6) as {c}" for c in _columns)
+    ORACLES[_name] = f"select * replace ({_rounding}) from ({ORACLES[_name]})"

@@ -38,7 +38,7 @@ select doc_id as record_id,
       when doc_id%3=0 then 'Daily Double: <i>seen here</i> &amp; http://a.b/c_d?e=1 ____ ?! '||text
       else text end as question,
  case when doc_id%31=0 then null when doc_id%37=0 then ''
-      else ' the '||source||'’s “'||lang||'” – text... ' end as answer,
+      else ' the '||source||'’s “'||lang||'” – ... ' end as answer,
  case when doc_id%43=0 then null when doc_id%10=0 then 'Final Jeopardy!' when doc_id%10=1 then 'Tiebreaker'
       when doc_id%10=2 then 'Bonus' when doc_id%2=0 then 'Double Jeopardy!' else 'Jeopardy!' end as round,
  case when doc_id%47=0 then 'n/a' else cast(doc_id+1 as string) end as show_number,
@@ -291,6 +291,30 @@ def _over(fn, source):
     return lambda spark, sf: fn(source(spark, sf))
 
 
+def _rounded(query):
+    """Doubles to six digits: sums depend on the order of addition."""
+
+    def run(spark, sf):
+        df = query(spark, sf)
+        return df.withColumns({c: F.round(c, 6) for c, t in df.dtypes if t == "double"})
+
+    return run
+
+
+# Columns rounded to six digits, here and in the SQL.
+DOUBLES = {
+    "null_profile": ["null_pct"],
+    "field_stats": ["error_rate"],
+    "cleaning_summary": ["original_avg_length", "cleaned_avg_length", "avg_reduction"],
+    "totals": ["removal_rate"],
+    "summary": ["avg_question_length", "avg_answer_length"],
+    "text_lengths": ["avg_question_length", "avg_answer_length"],
+    "frequency_totals": ["unusual_pct"],
+    "frequency_bands": ["percentage"],
+    "detection_stats": ["detection_rate", "sampling_ratio"],
+    "run_report": ["value"],
+}
+
 QUERIES = {
     # text
     "html_to_text": _page(lambda c: X.squeeze_space(X.html_to_text(c))),
@@ -377,3 +401,6 @@ QUERIES = {
     "run_report": run_figures,
     "detected_samples": detected_samples,
 }
+
+for _name in DOUBLES:
+    QUERIES[_name] = _rounded(QUERIES[_name])

@@ -1,7 +1,7 @@
 """Proper-noun mentions by capitalisation.
 
 A stand-in for a named-entity model: a mention is a run of capitalised words
-separated by single blanks. The pattern means the same in Java and RE2.
+separated by single blanks.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 _NAME = r"\p{Lu}[\p{L}'’-]+"
 # A sentence end before the run is taken along to tell sentence-initial runs; a
 # letter or digit glued to it is taken along to tell that the run is no word start.
-MENTION = rf"(?:[.!?]\s+|[\p{{L}}\p{{N}}_])?{_NAME}(?: {_NAME})*"
+# The possessive loop keeps Java from recursing over texts in capitals.
+MENTION = rf"(?:[.!?]\s+|[\p{{L}}\p{{N}}_])?{_NAME}(?: {_NAME})*+"
 _PREFIX = r"^[.!?]\s+"
 _TAIL = "(?:['’]s)?['’-]*$"
 

@@ -32,14 +32,18 @@ ROMAN = "[mdclxvi]+"
 # Canonical numerals up to MMMCMXCIX; the look-ahead rules out the empty one.
 STRICT_ROMAN = "(?=[MDCLXVI])M{0,3}(?:CM|CD|D?C{0,3})(?:XC|XL|L?X{0,3})(?:IX|IV|V?I{0,3})"
 
-_DIGITS = r"\p{Nd}+(?:[.,]\p{Nd}+)*"
 _SUFFIX = "(?:s|st|nd|rd|th|am|pm)?"
+_END = f"{_SUFFIX}(?!{WORD})"
+# Digit groups joined by points and commas. A group is taken only if the number may
+# end behind it or goes on, so the loop needs no backtracking.
+_DIGITS = rf"\p{{Nd}}+(?:[.,]\p{{Nd}}++(?=[.,]\p{{Nd}}|{_END}))*+"
 
 BASIC_NUMBER = "(?i)" + bounded(rf"\p{{Nd}}+|{BASIC_WORDS}|{ROMAN}") + r"|\$[\p{Nd},]"
-NUMBER = "(?i)" + bounded(f"{_DIGITS}{_SUFFIX}|{WORDS}|{ROMAN}")
+# One digit group of a longer number is enough for the test.
+NUMBER = "(?i)" + bounded(rf"\p{{Nd}}+{_SUFFIX}|{WORDS}|{ROMAN}")
 NUMBER_TOKEN = (
-    rf"(?i)[$€£¥]?(?<!{WORD}){_DIGITS}{_SUFFIX}(?!{WORD})%?|"
-    + isolated(f"(?:{WORDS})(?:-(?:{WORDS}))*")
+    rf"(?i)[$€£¥]?(?<!{WORD}){_DIGITS}{_END}%?|"
+    + isolated(f"(?:{WORDS})(?:-(?:{WORDS})(?!{WORD}))*+")
 )
 
 

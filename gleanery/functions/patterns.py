@@ -56,4 +56,5 @@ def _digit_class() -> str:
     return r"\p{Nd}" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges)
 
 
-DIGIT = f"[{_digit_class()}]"
+DIGITS = _digit_class()
+DIGIT = f"[{DIGITS}]"

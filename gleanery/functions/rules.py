@@ -8,11 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleanery.functions.patterns import DIGIT
+from gleanery.functions.patterns import DIGIT, DIGITS
 from gleanery.functions.text import strip
 from gleanery.schema import METADATA_FIELDS, ROUNDS
 
-MONEY = rf"^\$,*{DIGIT}(?:{DIGIT}|,)*$"
+MONEY = rf"^\$,*{DIGIT}[{DIGITS},]*$"
 ALL_DIGITS = f"^{DIGIT}+$"
 ISO_DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 

@@ -113,8 +113,10 @@ class EntityDetector:
 
 
 def flag_column(df: DataFrame, detector: Detector) -> DataFrame:
-    """Add the boolean column ``has_<name>``."""
+    """Add the boolean column ``has_<name>``; only corpus-wide detectors need a join for it."""
     column = f"has_{detector.name}"
+    if isinstance(detector, ColumnDetector):
+        return df.withColumn(column, detector.test(combined_text(df, detector.columns)))
     hits = detector.hits(texts(df, detector)).select(ID, F.lit(True).alias(column))
     return df.join(hits, ID, "left").withColumn(column, F.coalesce(column, F.lit(False)))
 

@@ -16,7 +16,7 @@ from gleanery.functions.names import lower_words, mentions
 from gleanery.functions.spans import positions
 from gleanery.functions.text import let
 from gleanery.operators.profile import percent
-from gleanery.operators.skew import HOT_SHARE, hot_keys
+from gleanery.operators.skew import HOT_SHARE, hot_keys, salted_join
 from gleanery.operators.substring import contained_strings
 from gleanery.schema import ID
 from gleanery.session import materialise
@@ -38,10 +38,10 @@ def entity_mentions(df: DataFrame, text: str = "text", gazetteer: DataFrame | No
     found = df.select(ID, F.inline(mentions(F.col(text)))).withColumn("entity", F.lower("mention"))
     common = df.select(F.explode(lower_words(F.col(text))).alias("entity")).distinct()
     # The initial words are reduced to their distinct forms before the lookup.
-    doubtful = found.filter("initial").select("entity").distinct().join(common, "entity", "left_semi")
-    doubtful = doubtful.withColumn("initial", F.lit(True)).withColumn("dropped", F.lit(True))
-    out = found.join(doubtful, ["entity", "initial"], "left").select(
-        ID, "mention", "entity", F.coalesce("dropped", F.lit(False)).alias("dropped")
+    openers = materialise(found.filter("initial").groupBy("entity").agg(F.count("*").alias("n")))
+    doubtful = openers.join(common, "entity", "left_semi").select("entity", F.lit(True).alias("common"))
+    out = salted_join(found, doubtful, "entity", hot_keys(openers, "entity"), "left").select(
+        ID, "mention", "entity", (F.col("initial") & F.coalesce("common", F.lit(False))).alias("dropped")
     )
     if gazetteer is not None:
         listed = gazetteer.filter(F.col("label").isin(LABELS)).select("entity")
@@ -178,7 +178,7 @@ def rare_entity_details(df: DataFrame, freq: DataFrame, threshold: int = THRESHO
     records without a hit get an empty list.
     """
     rare = rare_entities(freq, threshold)
-    texts = materialise(_lowered(df, text))
+    texts = _lowered(df, text)
     pairs = contained_strings(texts, rare.select(F.col("entity").alias("string")))
     hits = (
         pairs.withColumnRenamed("string", "entity")

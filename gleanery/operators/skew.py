@@ -33,7 +33,7 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, hot: list, how: str
 
     Left rows of a hot key are spread by their record id, and the few matching
     right rows are repeated once per part; all other rows are joined as usual. The
-    rows are those of the plain join. ``how`` is inner or left_semi. Both sides
+    rows are those of the plain join. ``how`` is inner, left or left_semi. Both sides
     keep their size estimates, so Spark still broadcasts a right side that it
     knows to be small.
     """

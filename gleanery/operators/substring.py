@@ -99,8 +99,8 @@ def contained_strings(texts: DataFrame, strings: DataFrame, window: int = WINDOW
 
     ``texts`` holds (record_id, text), ``strings`` holds distinct non-empty strings
     without blanks at their ends. Both sides are compared as they are: lower-case
-    them first for a caseless match. Both are read several times and should be
-    written tables.
+    them first for a caseless match. Both are read several times, so neither should
+    be costly to compute.
     """
     texts = texts.select(ID, "text")
     first = F.substring_index("string", " ", 1)
