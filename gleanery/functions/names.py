@@ -17,7 +17,7 @@ MENTION = rf"(?:[.!?]\s+|[\p{{L}}\p{{N}}_])?{_NAME}(?: {_NAME})*+"
 _PREFIX = r"^[.!?]\s+"
 _TAIL = "(?:['’]s)?['’-]*$"
 
-LOWER_WORD = r"[\p{L}\p{N}_'’-]+"
+LOWER_WORD = r"(?<![\p{L}\p{N}_'’-])\p{Ll}[\p{L}\p{N}_'’-]*"
 
 
 def mentions(c: Column) -> Column:
@@ -36,5 +36,4 @@ def mentions(c: Column) -> Column:
 
 def lower_words(c: Column) -> Column:
     """Distinct words of a text that start with a lower-case letter."""
-    words = F.array_distinct(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(LOWER_WORD), 0))
-    return F.filter(words, lambda w: w.rlike(r"^\p{Ll}"))
+    return F.array_distinct(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(LOWER_WORD), 0))

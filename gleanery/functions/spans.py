@@ -8,51 +8,53 @@ from pyspark.sql import functions as F
 from gleanery.functions.text import let
 
 
-# Matches are placed in groups of this size, so that appending to a growing array
-# does not get quadratic on long texts.
+# Sums run in groups of this size, so that appending to a growing array does not get
+# quadratic on long texts.
 _GROUP = 64
 
 
-def _shifted(found: Column, by: Column) -> Column:
-    return F.transform(
-        found,
-        lambda m: F.struct(m["text"].alias("text"), (m["start"] + by).alias("start"), (m["end"] + by).alias("end")),
-    )
+def running_sum(values: Column) -> Column:
+    """Running totals of an ``array<int>``."""
+    zero = F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        total = acc["total"] + x
+        return F.struct(total.alias("total"), F.concat(acc["out"], F.array(total)).alias("out"))
+
+    def join(acc: Column, group: Column) -> Column:
+        shifted = F.transform(group["out"], lambda x: x + acc["total"])
+        return F.struct((acc["total"] + group["total"]).alias("total"), F.concat(acc["out"], shifted).alias("out"))
+
+    def run(xs: Column) -> Column:
+        n = F.size(xs)
+        grouped = F.transform(
+            F.sequence(F.lit(1), n, F.lit(_GROUP)), lambda i: F.aggregate(F.slice(xs, i, F.lit(_GROUP)), zero, step)
+        )
+        plain = F.aggregate(xs, zero, step, lambda acc: acc["out"])
+        return F.when(n > _GROUP, F.aggregate(grouped, zero, join, lambda acc: acc["out"])).otherwise(plain)
+
+    return let(values, run)
 
 
 def spans(c: Column, pattern: str) -> Column:
     """``array<struct<text, start, end>>`` of all matches, 0-based, end exclusive.
 
     The gaps between the matches come from splitting on the same pattern; offsets
-    are their running lengths. ``pattern`` must not match the empty string.
+    are running lengths. ``pattern`` must not match the empty string.
     """
     c = F.coalesce(c, F.lit(""))
-    matches = F.regexp_extract_all(c, F.lit(pattern), 0)
-    pairs = F.zip_with(F.split(c, pattern, -1), matches, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("text")))
-
-    empty = F.array().cast("array<struct<text:string,start:int,end:int>>")
-    zero = F.struct(F.lit(0).alias("end"), empty.alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["end"] + x["gap"]
-        end = start + F.length(x["text"])
-        found = F.struct(x["text"].alias("text"), start.alias("start"), end.alias("end"))
-        return F.struct(end.alias("end"), F.concat(acc["out"], F.array(found)).alias("out"))
-
-    def join(acc: Column, group: Column) -> Column:
-        out = F.concat(acc["out"], _shifted(group["out"], acc["end"]))
-        return F.struct((acc["end"] + group["end"]).alias("end"), out.alias("out"))
-
-    def place(pairs: Column) -> Column:
-        # The last gap, after the last match, has no match and falls away.
-        n = F.size(pairs) - 1
-        starts = F.when(n > 0, F.sequence(F.lit(1), n, F.lit(_GROUP))).otherwise(F.array().cast("array<int>"))
-        groups = F.transform(
-            starts, lambda i: F.aggregate(F.slice(pairs, i, F.least(F.lit(_GROUP), n - i + 1)), zero, step)
+    gaps = F.split(c, pattern, -1)
+
+    def place(matches: Column) -> Column:
+        # The last gap, after the last match, is dropped.
+        sizes = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda g, m: F.length(g) + F.length(m))
+        return F.zip_with(
+            matches,
+            running_sum(sizes),
+            lambda m, end: F.struct(m.alias("text"), (end - F.length(m)).alias("start"), end.alias("end")),
         )
-        return F.aggregate(groups, zero, join, lambda acc: acc["out"])
 
-    return let(pairs, place)
+    return let(F.regexp_extract_all(c, F.lit(pattern), 0), place)
 
 
 def quoted(c: Column) -> Column:
@@ -70,14 +72,15 @@ def positions(text: Column, needle: Column) -> Column:
     exact = F.split(text, quoted(needle), -1)
 
     def starts(gaps: Column) -> Column:
-        return F.aggregate(
-            F.slice(gaps, F.lit(1), F.size(gaps) - 1),
-            F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("out")),
-            lambda acc, g: F.struct(
-                (acc["next"] + F.length(g) + F.length(needle)).alias("next"),
-                F.concat(acc["out"], F.array(acc["next"] + F.length(g))).alias("out"),
-            ),
-            lambda acc: acc["out"],
-        )
-
-    return let(F.when(text.contains(_MARK), exact).otherwise(fast), starts)
+        before = F.slice(gaps, F.lit(1), F.size(gaps) - 1)
+        ends = running_sum(F.transform(before, lambda g: F.length(g) + F.length(needle)))
+        return F.transform(ends, lambda end: end - F.length(needle))
+
+    # Most needles occur once; two plain searches settle that.
+    def place(first: Column) -> Column:
+        again = F.position(needle, text, first + F.length(needle))
+        several = let(F.when(text.contains(_MARK), exact).otherwise(fast), starts)
+        once = F.when(first > 0, F.array(first - 1)).otherwise(F.array().cast("array<int>"))
+        return F.when((first == 0) | (again == 0), once).otherwise(several)
+
+    return let(F.position(needle, text), place)
