@@ -508,6 +508,22 @@ def metric(section: str, name: str, value: str) -> str:
     return f"select '{section}' as section, '{name}' as metric, ({value})::double as value"
 
 
+def first_two(name: str, found: str) -> str:
+    """The first two sampled records of a subset with what ``found`` (record_id, rank, token) lists first."""
+    return f"""select c.record_id, '{name}' as subset, any_value(c.category) as category,
+        any_value(substring(c.question, 1, 80)) as question, any_value(c.answer) as answer,
+        array_to_string(list(f.token order by f.rank) filter (f.token is not null)[1:3], '; ') as detected
+      from (select * from (select c.* from clean c join {name} using (record_id)
+              order by md5('42:' || record_id), record_id limit {SAMPLE_SIZE}) order by record_id limit 2) c
+      left join ({found}) f on f.record_id = c.record_id group by 1"""
+
+
+_NUMBERS_FOUND = f"""select record_id, (kind, start) as rank, mention as token from (
+    select case when kind = 'token' then 1 else 2 end as kind, start, record_id, mention
+    from ({_MENTIONS.replace('from documents', 'from (select record_id as doc_id, text from three)')}))"""
+_WORDS_FOUND = "select t.record_id, t.i as rank, t.token from tokens t join unknown u on lower(t.token) = u.word"
+_NAMES_FOUND = """select d.record_id, f.entity as rank, f.entity as token
+    from two d join freqs f on f.freq <= 3 and contains(lower(d.text), f.entity)"""
 _REMOVED = "count(*) filter (meta <> '' or txt <> '')"
 ORACLES |= {
     "combined_text": SUBSETS + "select * from three",
@@ -545,6 +561,11 @@ ORACLES |= {
     ),
 }
 
+ORACLES["detected_samples"] = SUBSETS + " union all ".join(
+    f"select * from ({first_two(n, f)})"
+    for n, f in zip(_NAMES, (_NUMBERS_FOUND, _WORDS_FOUND, _NAMES_FOUND), strict=True)
+)
+
 for _name, _columns in DOUBLES.items():
     _rounding = ", ".join(f"round({c}, 6) as {c}" for c in _columns)
     ORACLES[_name] = f"select * replace ({_rounding}) from ({ORACLES[_name]})"

@@ -195,16 +195,20 @@ def unknown_words(spark, sf):
     return L.unknown_words(materialise(vocabulary(spark, sf)), dictionary(spark, sf))
 
 
+def _lexicon(spark, sf):
+    return L.lexicon(documents(spark, sf), dictionary(spark, sf))
+
+
 def non_english_detect(spark, sf):
-    return L.non_english_ids(documents(spark, sf), dictionary(spark, sf))
+    return L.non_english_ids(documents(spark, sf), _lexicon(spark, sf))
 
 
 def non_english_words(spark, sf):
-    return L.non_english_words(documents(spark, sf), dictionary(spark, sf))
+    return L.non_english_words(documents(spark, sf), _lexicon(spark, sf))
 
 
 def non_english_details(spark, sf):
-    out = L.non_english_details(documents(spark, sf), dictionary(spark, sf))
+    out = L.non_english_details(documents(spark, sf), _lexicon(spark, sf))
     return out.select(
         ID,
         _joined("non_english_words.token", " ").alias("words"),

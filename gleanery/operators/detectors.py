@@ -74,12 +74,21 @@ class LanguageDetector:
     irregular: DataFrame | None = None
     name: str = "non_english"
     columns: list[str] = field(default_factory=lambda: ["question", "answer"])
+    lexicon: language.Lexicon | None = None
+
+    def analyse(self, df: DataFrame) -> language.Lexicon:
+        """Judge the words of the corpus once; later calls reuse the verdicts."""
+        if self.lexicon is None:
+            self.lexicon = language.lexicon(df, self.dictionary, irregular=self.irregular)
+        return self.lexicon
 
     def hits(self, df: DataFrame) -> DataFrame:
-        return language.non_english_ids(df, self.dictionary, irregular=self.irregular)
+        return language.non_english_ids(df, self.analyse(df))
 
     def details(self, df: DataFrame) -> DataFrame:
-        found = language.non_english_details(df, self.dictionary, irregular=self.irregular)
+        if self.lexicon is None:
+            raise ValueError("judge the words of the corpus first")
+        found = language.non_english_details(df, self.lexicon)
         return found.select(ID, F.col("non_english_words.token").alias("detected"))
 
 

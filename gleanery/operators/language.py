@@ -9,6 +9,8 @@ rules, not from a language model, so hit rates differ from one.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,40 +69,47 @@ def unknown_words(
     return candidates.join(known, "word", "left_anti").select("word", "n")
 
 
-def _words_with(df: DataFrame, text: str) -> DataFrame:
-    words = F.array_distinct(alpha_words(F.lower(text)))
-    return df.select(ID, F.explode(words).alias("word"))
+@dataclass
+class Lexicon:
+    """The words of a corpus that its dictionary lacks, and the corpus' most frequent words."""
 
+    unknown: DataFrame
+    frequent: list
 
-def non_english_ids(
-    df: DataFrame, dictionary: DataFrame, text: str = "text", irregular: DataFrame | None = None
-) -> DataFrame:
-    """Ids of records with a non-ASCII letter or a word outside the dictionary."""
+
+def lexicon(
+    df: DataFrame,
+    dictionary: DataFrame,
+    text: str = "text",
+    irregular: DataFrame | None = None,
+    min_length: int = 3,
+    artifacts: bool = True,
+) -> Lexicon:
+    """Judge the vocabulary of a corpus once, for use on it or any part of it."""
     vocab = materialise(vocabulary(df, text))
-    unknown = unknown_words(vocab, dictionary, irregular)
+    unknown = unknown_words(vocab, dictionary, irregular, min_length, artifacts).select("word")
+    return Lexicon(materialise(unknown), hot_keys(vocab, "word"))
+
+
+def non_english_ids(df: DataFrame, words: Lexicon, text: str = "text") -> DataFrame:
+    """Ids of records with a non-ASCII letter or a word outside the dictionary."""
     accented = has_non_ascii(F.col(text))
-    rest = _words_with(df.filter(~accented), text)
-    by_word = salted_join(rest, unknown.select("word"), "word", hot_keys(vocab, "word"), "left_semi")
+    distinct = F.explode(F.array_distinct(alpha_words(F.lower(text)))).alias("word")
+    rest = df.filter(~accented).select(ID, distinct)
+    by_word = salted_join(rest, words.unknown, "word", words.frequent, "left_semi")
     return df.filter(accented).select(ID).union(by_word.select(ID).distinct())
 
 
-def non_english_words(
-    df: DataFrame, dictionary: DataFrame, text: str = "text", irregular: DataFrame | None = None
-) -> DataFrame:
+def non_english_words(df: DataFrame, words: Lexicon, text: str = "text") -> DataFrame:
     """One row per occurrence of a word outside the dictionary, with offsets."""
-    vocab = materialise(vocabulary(df, text))
-    unknown = unknown_words(vocab, dictionary, irregular).select("word")
     tokens = df.select(ID, F.inline(spans(F.col(text), ALPHA_WORD))).withColumn("word", F.lower("text"))
-    hits = salted_join(tokens, unknown, "word", hot_keys(vocab, "word"))
+    hits = salted_join(tokens, words.unknown, "word", words.frequent)
     return hits.select(ID, F.col("text").alias("token"), "word", "start", "end")
 
 
-def non_english_details(
-    df: DataFrame, dictionary: DataFrame, text: str = "text", irregular: DataFrame | None = None
-) -> DataFrame:
+def non_english_details(df: DataFrame, words: Lexicon, text: str = "text") -> DataFrame:
     """Per record: the words outside the dictionary in order, and its non-ASCII letters."""
-    words = non_english_words(df, dictionary, text, irregular)
-    per_record = words.groupBy(ID).agg(
+    per_record = non_english_words(df, words, text).groupBy(ID).agg(
         F.array_sort(F.collect_list(F.struct("start", "end", "token", "word"))).alias("non_english_words")
     )
     chars = df.select(ID, non_ascii_chars(F.col(text)).alias("non_ascii_chars"))
@@ -118,10 +127,9 @@ def phrase_check(
     Unlike the detector it has no length rule, no informal-word list and no
     non-ASCII shortcut. Phrases without such words get an empty list.
     """
-    vocab = materialise(vocabulary(df, text))
-    unknown = unknown_words(vocab, dictionary, irregular, min_length=1, artifacts=False).select("word")
+    words = lexicon(df, dictionary, text, irregular, min_length=1, artifacts=False)
     tokens = df.select(ID, F.posexplode(alpha_words(F.col(text))).alias("pos", "token"))
-    hits = salted_join(tokens.withColumn("word", F.lower("token")), unknown, "word", hot_keys(vocab, "word"), "left_semi")
+    hits = salted_join(tokens.withColumn("word", F.lower("token")), words.unknown, "word", words.frequent, "left_semi")
     per_phrase = hits.groupBy(ID).agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("hits"))
     found: Column = F.transform("hits", lambda h: h["token"])
     return (

@@ -38,7 +38,7 @@ def build_subset(
 
 def sample_results(subset: Subset, detector: Detector, n: int = 2, detections: int = 3) -> DataFrame:
     """The first records of a subset with the first things the detector found in them."""
-    few = subset.records.orderBy(ID).limit(n)
+    few = materialise(subset.records.orderBy(ID).limit(n))
     found = detector.details(texts(few, detector))
     return few.join(found, ID, "left").select(
         ID,

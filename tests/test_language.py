@@ -2,6 +2,7 @@ import pytest
 
 from gleanery.functions import words as W
 from gleanery.operators import language as L
+from gleanery.operators.detectors import LanguageDetector
 
 ENGLISH = """what is the capital of this french word meaning hello color german means how do you say in english thank
 pleasure from others misfortune brown be other mean friend my interesting completely normal serve excellent a
@@ -53,26 +54,35 @@ def test_base_forms_keep_short_stems(apply):
 def test_inline_rows(spark, dictionary):
     df = spark.createDataFrame([(i, f"{q} {a}") for i, (q, a) in enumerate(ROWS)], "record_id long, text string")
     # France, Paris, Schadenfreude: never in lower case, so proper nouns.
-    assert sorted(r.record_id for r in L.non_english_ids(df, dictionary).collect()) == [1, 2, 4]
-    words = {(r.record_id, r.token): r for r in L.non_english_words(df, dictionary).collect()}
+    assert sorted(r.record_id for r in L.non_english_ids(df, L.lexicon(df, dictionary)).collect()) == [1, 2, 4]
+    words = {(r.record_id, r.token): r for r in L.non_english_words(df, L.lexicon(df, dictionary)).collect()}
     assert set(words) == {(1, "bonjour"), (2, "café"), (2, "con"), (2, "leche"), (4, "gracias")}
     for (i, token), r in words.items():
         assert " ".join(ROWS[i])[r.start : r.end] == token
-    details = {r.record_id: r for r in L.non_english_details(df, dictionary).collect()}
+    details = {r.record_id: r for r in L.non_english_details(df, L.lexicon(df, dictionary)).collect()}
     assert [w.token for w in details[2].non_english_words] == ["café", "con", "leche"]
     assert details[2].non_ascii_chars == ["é"] and details[0].non_english_words == []
 
 
 def test_lower_case_elsewhere_makes_a_common_word(spark, dictionary):
     df = spark.createDataFrame([(1, "Blorb is normal"), (2, "my blorb")], "record_id long, text string")
-    assert sorted(r.record_id for r in L.non_english_ids(df, dictionary).collect()) == [1, 2]
+    assert sorted(r.record_id for r in L.non_english_ids(df, L.lexicon(df, dictionary)).collect()) == [1, 2]
+
+
+def test_verdicts_of_the_corpus_hold_for_a_part(spark, dictionary):
+    df = spark.createDataFrame([(1, "Blorb is normal"), (2, "my blorb")], "record_id long, text string")
+    detector = LanguageDetector(dictionary)
+    with pytest.raises(ValueError):
+        detector.details(df)
+    assert detector.hits(df).count() == 2
+    assert detector.details(df.filter("record_id = 1")).first().detected == ["Blorb"]
 
 
 def test_artifacts_and_irregular_forms(spark, dictionary):
     df = spark.createDataFrame([(1, "okay hmm yeah"), (2, "it became normal")], "record_id long, text string")
-    assert [r.record_id for r in L.non_english_ids(df, dictionary).collect()] == [2]
+    assert [r.record_id for r in L.non_english_ids(df, L.lexicon(df, dictionary)).collect()] == [2]
     irregular = spark.createDataFrame([("became", "be")], "form string, lemma string")
-    assert L.non_english_ids(df, dictionary, irregular=irregular).count() == 0
+    assert L.non_english_ids(df, L.lexicon(df, dictionary, irregular=irregular)).count() == 0
 
 
 def test_phrases(spark, dictionary):
