@@ -55,3 +55,9 @@ def materialise(df: DataFrame) -> DataFrame:
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables of this application, once nothing lazy reads them any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
