@@ -36,8 +36,9 @@ def untag(x: str) -> str:
 
 
 def decode(x: str) -> str:
-    for name, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
-        x = f"replace({x}, {q(name)}, {q(char)})"
+    # The closing semicolon of these old names may be missing.
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        x = sub(x, f"&{name};?", char)
     return x
 
 

@@ -5,6 +5,7 @@ Array and map columns are joined to text, so that results compare by value.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -163,8 +164,6 @@ def validation_debug(spark, sf):
 
 def round_trip(spark, sf):
     """Cleaned records written as JSON lines and read back."""
-    import uuid
-
     path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
     write_jsonl(cleaned(spark, sf), path)
     return read_records(spark, path, "jsonl").select(ID, *RECORD_COLUMNS)

@@ -49,7 +49,7 @@ def curate(
 ) -> Run:
     """Load, clean, draw the three subsets and write all reports below ``output``."""
     started = time.time()
-    raw = materialise(read_records(spark, source, kind))
+    raw = read_records(spark, source, kind)
     records = load.normalise(raw)
     write_report(
         {
@@ -83,7 +83,7 @@ def curate(
 
 def check(spark: SparkSession, source: str, output: str, limit: int = 1000, kind: str = "json") -> Cleaned:
     """Clean the first ``limit`` records and write them with a before/after table and previews."""
-    raw = materialise(load.first_rows(read_records(spark, source, kind), limit))
+    raw = read_records(spark, source, kind, limit)
     records = load.normalise(raw)
     cleaned = clean_and_validate(records)
     write_jsonl(cleaned.records, f"{output}/cleaned")

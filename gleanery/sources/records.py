@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.operators.language import word_list
-from gleanery.operators.load import check_columns
+from gleanery.operators.load import check_columns, first_rows
 from gleanery.schema import ID, RECORD_COLUMNS, RECORDS
+from gleanery.session import materialise
 
 
 def _require(spark: SparkSession, path: str) -> None:
@@ -21,38 +24,63 @@ def _require(spark: SparkSession, path: str) -> None:
 def with_ids(df: DataFrame) -> DataFrame:
     """Give every row a key, unless it has one.
 
-    Keys are unique, not consecutive. They follow the layout of the input, so a job
-    writes its first table with them and works from there.
+    Keys are unique, not consecutive, and follow the layout of the input. The keyed
+    table is written out, so the keys stay the same however often it is read.
     """
-    return df if ID in df.columns else df.withColumn(ID, F.monotonically_increasing_id())
+    return df if ID in df.columns else materialise(df.withColumn(ID, F.monotonically_increasing_id()))
 
 
-def read_records(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+def _json_line_columns(spark: SparkSession, path: str) -> list[str]:
+    """Which of the expected columns occur in JSON lines.
+
+    The first lines tell in nearly all cases; only when a column is absent there are
+    all lines looked at.
+    """
+    keys = spark.read.text(path).select(F.json_object_keys("value").alias("keys"))
+    expected = [ID, *RECORD_COLUMNS]
+
+    def present(lines: DataFrame) -> list[str]:
+        found = lines.select(F.explode("keys").alias("key")).filter(F.col("key").isin(expected)).distinct()
+        return [r.key for r in found.collect()]
+
+    columns = present(keys.limit(1000))
+    return columns if set(RECORD_COLUMNS) <= set(columns) else present(keys)
+
+
+def _read_json(spark: SparkSession, path: str, lines: bool) -> DataFrame:
+    reader = spark.read.options(multiLine=not lines, mode="FAILFAST", primitivesAsString=True)
+    # An explicit schema would hide absent columns, so their names are looked up first.
+    columns = _json_line_columns(spark, path) if lines else reader.json(path).columns
+    check_columns(columns)
+    key = [T.StructField(ID, T.LongType())] if ID in columns else []
+    return reader.schema(T.StructType(key + RECORDS.fields)).json(path)
+
+
+def read_records(spark: SparkSession, path: str, kind: str = "json", limit: int | None = None) -> DataFrame:
     """Records as seven text columns and a key.
 
     ``kind`` is ``json`` (a whole-file array; such a file is read by one task, so
     convert large ones once), ``jsonl`` or ``parquet``. All values are read as text,
-    so ``"0012"`` stays as it is. Raises FileNotFoundError for a missing path and
-    ValueError for malformed input or missing columns.
+    so ``"0012"`` stays as it is. ``limit`` takes the first rows. Raises
+    FileNotFoundError for a missing path and ValueError for malformed input or
+    missing columns.
     """
     _require(spark, path)
-    if kind == "parquet":
-        df = spark.read.parquet(path)
-    elif kind in ("json", "jsonl"):
-        options = {"multiLine": kind == "json", "mode": "FAILFAST", "primitivesAsString": True}
-        try:
-            # An explicit schema would hide absent columns, so their names are inferred first.
-            columns = spark.read.options(**options).json(path).columns
-        except Exception as e:
-            raise ValueError(f"Failed to load JSON data: {e}") from e
-        check_columns(columns)
-        schema = RECORDS if ID not in columns else T.StructType([T.StructField(ID, T.LongType()), *RECORDS.fields])
-        return with_ids(spark.read.options(**options).schema(schema).json(path))
-    else:
-        raise ValueError(f"unknown kind: {kind}")
-    check_columns(df.columns)
-    keep = [F.col(c).cast("string") for c in RECORD_COLUMNS]
-    return with_ids(df.select(*([ID] if ID in df.columns else []), *keep))
+    try:
+        if kind == "parquet":
+            df = spark.read.parquet(path)
+            check_columns(df.columns)
+            keep = [F.col(c).cast("string") for c in RECORD_COLUMNS]
+            df = df.select(*([ID] if ID in df.columns else []), *keep)
+        elif kind in ("json", "jsonl"):
+            df = _read_json(spark, path, lines=kind == "jsonl")
+        else:
+            raise ValueError(f"unknown kind: {kind}")
+        if limit is not None:
+            df = first_rows(df, limit) if ID in df.columns else df.limit(limit)
+        return with_ids(df)
+    except (PySparkException, Py4JError) as e:
+        raise ValueError(f"Failed to load {kind} data: {e}") from e
 
 
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:

@@ -40,6 +40,7 @@ def test_read_and_normalise(spark, array_file):
 
 def test_first_rows(spark, array_file):
     assert load.first_rows(read_records(spark, array_file), 2).count() == 2
+    assert [r.answer for r in read_records(spark, array_file, limit=2).orderBy("record_id").collect()] == ["a", "b"]
 
 
 def test_missing_file_and_columns(spark, tmp_path):
@@ -54,6 +55,19 @@ def test_missing_file_and_columns(spark, tmp_path):
         read_records(spark, str(path))
     with pytest.raises(ValueError):
         read_records(spark, str(path), "xml")
+    path.write_text(json.dumps(ROWS[0]) + "\n{broken\n")
+    with pytest.raises(ValueError):
+        read_records(spark, str(path), "jsonl")
+
+
+def test_late_columns_in_json_lines(spark, tmp_path):
+    path = tmp_path / "late.jsonl"
+    early = [{k: v for k, v in ROWS[3].items() if k != "value"}] * 1500
+    path.write_text("\n".join(json.dumps(r) for r in [*early, ROWS[3]]))
+    assert read_records(spark, str(path), "jsonl").filter("value is not null").count() == 1
+    path.write_text("\n".join(json.dumps(r) for r in early))
+    with pytest.raises(ValueError, match="value"):
+        read_records(spark, str(path), "jsonl")
 
 
 def test_json_lines_and_parquet_round_trip(spark, array_file, tmp_path):
