@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from gleanery.functions import numbers
 from gleanery.operators import entities, language
-from gleanery.operators.numbers import number_details
 from gleanery.operators.profile import percent
 from gleanery.schema import ID
 from gleanery.session import materialise
@@ -42,28 +41,37 @@ def texts(df: DataFrame, detector: Detector) -> DataFrame:
 
 @dataclass
 class ColumnDetector:
-    """A detector that is one boolean expression over the text."""
+    """A detector that is one boolean expression over the text.
+
+    ``found`` gives what it detects in a text as an array of strings.
+    """
 
     name: str
     columns: list[str]
     test: Callable[[Column], Column]
+    found: Callable[[Column], Column] | None = None
 
     def hits(self, df: DataFrame) -> DataFrame:
         return df.filter(self.test(F.col("text"))).select(ID)
 
     def details(self, df: DataFrame) -> DataFrame:
-        found = number_details(df)
-        return found.select(ID, F.concat("number_tokens.text", "roman_numerals.text").alias("detected"))
+        found = self.found(F.col("text")) if self.found else F.array().cast("array<string>")
+        return df.select(ID, found.alias("detected"))
+
+
+def _numbers_in(c: Column) -> Column:
+    """Number tokens, then Roman candidates."""
+    return F.concat(numbers.number_tokens(c)["text"], numbers.roman_tokens(c)["text"])
 
 
 def digit_detector() -> ColumnDetector:
-    return ColumnDetector("numbers_test", ["question", "answer", "category"], numbers.any_digit)
+    return ColumnDetector("numbers_test", ["question", "answer", "category"], numbers.any_digit, _numbers_in)
 
 
 def number_detector(basic: bool = False) -> ColumnDetector:
     """Numbers by the full contract, or by the plain pattern test."""
     test = numbers.has_basic_number if basic else numbers.has_number
-    return ColumnDetector("numbers", ["question", "answer", "category"], test)
+    return ColumnDetector("numbers", ["question", "answer", "category"], test, _numbers_in)
 
 
 @dataclass

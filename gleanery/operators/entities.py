@@ -65,10 +65,10 @@ def model_mentions(
         model = load()
         for batch in batches:
             rows = [
-                (key, mention, mention.lower(), False)
+                (key, mention, mention.lower().strip(), False)
                 for key, body in zip(batch[ID], batch["text"], strict=True)
                 for mention, label in model(body)
-                if label in labels
+                if label in labels and mention.strip()
             ]
             yield pd.DataFrame(rows, columns=[ID, "mention", "entity", "dropped"])
 
@@ -162,7 +162,8 @@ def rare_entity_ids(df: DataFrame, freq: DataFrame, threshold: int = THRESHOLD,
     """
     rare = rare_entities(freq, threshold).select("entity")
     # The most frequent entities are not rare; without them no key is hot.
-    frequent = hot_keys(freq, "entity", "freq") if threshold * HOT_SHARE < freq.agg(F.sum("freq")).first()[0] else []
+    mentioned = freq.agg(F.sum("freq")).first()[0] or 0
+    frequent = hot_keys(freq, "entity", "freq") if threshold * HOT_SHARE < mentioned else []
     named = df.select(ID, F.explode(_own_mentions(F.col(text))).alias("entity"))
     named = named.filter(~F.col("entity").isin(frequent)) if frequent else named
     own = materialise(named.join(rare, "entity", "left_semi").select(ID).distinct())

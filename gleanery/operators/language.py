@@ -30,7 +30,7 @@ def word_list(words: DataFrame) -> DataFrame:
 
 def corpus_dictionary(df: DataFrame, text: str = "text", min_records: int = 5) -> DataFrame:
     """Dictionary from English texts: words that occur in at least ``min_records`` of them."""
-    words = F.array_distinct(alpha_words(F.lower(text)))
+    words = F.array_distinct(F.transform(alpha_words(F.col(text)), F.lower))
     counts = df.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("records"))
     return counts.filter(F.col("records") >= min_records)
 
@@ -94,8 +94,8 @@ def lexicon(
 def non_english_ids(df: DataFrame, words: Lexicon, text: str = "text") -> DataFrame:
     """Ids of records with a non-ASCII letter or a word outside the dictionary."""
     accented = has_non_ascii(F.col(text))
-    distinct = F.explode(F.array_distinct(alpha_words(F.lower(text)))).alias("word")
-    rest = df.filter(~accented).select(ID, distinct)
+    spelling = F.explode(F.array_distinct(alpha_words(F.col(text)))).alias("spelling")
+    rest = df.filter(~accented).select(ID, spelling).select(ID, F.lower("spelling").alias("word"))
     by_word = salted_join(rest, words.unknown, "word", words.frequent, "left_semi")
     return df.filter(accented).select(ID).union(by_word.select(ID).distinct())
 

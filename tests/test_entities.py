@@ -74,6 +74,11 @@ def test_two_phases_equal_the_nested_loop(spark, table):
     assert {100, 101, 102} <= set(expected)
 
 
+def test_corpus_without_names(spark):
+    df = spark.createDataFrame([(1, "no names here"), (2, None)], "record_id long, text string")
+    assert E.rare_entity_ids(df, E.entity_frequencies(df)).count() == 0
+
+
 def test_totals_and_bands(spark):
     freq = counted(spark, [("a", 1), ("b", 1), ("c", 2), ("d", 3), ("e", 4), ("f", 10), ("g", 11), ("h", 500)])
     bands = {r.band: (r.entities, r.percentage) for r in E.frequency_bands(freq).collect()}
