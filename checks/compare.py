@@ -39,15 +39,15 @@ def rows(columns, data) -> Counter:
     return Counter(tuple(_plain(r[i]) for i in order) for r in data)
 
 
-def compare(spark, con, folder: str, name: str) -> tuple[str, float, float]:
+def compare(spark, con, folder: str, name: str, queries=QUERIES, oracles=ORACLES) -> tuple[str, float, float]:
     started = time.time()
-    df = QUERIES[name](spark, folder)
+    df = queries[name](spark, folder)
     mine = rows(df.columns, [tuple(r) for r in df.collect()])
     spent = time.time() - started
-    if name not in ORACLES:
+    if name not in oracles:
         return f"rows only ({sum(mine.values())})", spent, 0.0
     started = time.time()
-    result = con.execute(ORACLES[name])
+    result = con.execute(oracles[name])
     result_types = result.description
     columns = [d[0] for d in result.description]
     theirs = rows(columns, result.fetchall())
