@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import chat, host_rules
+from gleanery.llm import chat, host_rules, html_density, simhash, token_blocks
 from gleanery.llm.oracles import ORACLES  # noqa: F401
 from gleanery.session import materialise
 
@@ -13,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -20,11 +25,23 @@ def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(materialise(chat.format_windows(turns)))
 
 
+def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_blocks.read_documents(materialise(token_blocks.encode_segments(_table(spark, sf_dir, "documents"), path)))
+
+
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op10_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_density.main_texts(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op7_chat_windows": op7_chat_windows,
+    "op8_token_blocks": op8_token_blocks,
     "op9_host_rules": op9_host_rules,
+    "op10_html_density": op10_html_density,
 }
