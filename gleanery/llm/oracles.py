@@ -2,6 +2,57 @@
 
 from __future__ import annotations
 
+# Fixed value: the words of the decontamination contract.
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP3 = rf"""
+with docs as (select row_number() over () as r, doc_id, {_WORDS} as ws from documents),
+items as (select cast(item_id as varchar) as item, {_WORDS} as ws from benchmark),
+phrases as (
+  select distinct item, least(len(ws), 10) as n, array_to_string(ws[p:p + 9], ' ') as phrase
+  from (select item, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) as p from items where len(ws) > 0)),
+places as (
+  select r, n, p, array_to_string(ws[p:p + n - 1], ' ') as phrase
+  from (select r, n, ws, unnest(range(1, len(ws) - n + 2)) as p from docs, (select distinct n from phrases))),
+found as (select r, item, p, n from places join phrases using (n, phrase)),
+hits as (select r, count(distinct q) as n_hit from (select r, unnest(range(p, p + n)) as q from found) group by r),
+named as (
+  select r, count(*) as n_items, string_agg(item, ',' order by item) as ids from (select distinct r, item from found) group by r)
+select doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hits using (r) left join named using (r)
+"""
+
+OP5 = r"""
+with docs as (select doc_id, text, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+split as (
+  select doc_id, text, p - 1 as line_no,
+    list_transform(list_filter(regexp_split_to_array(lines[p], '[\x20\x09\x0B-\x0D]+'), lambda w: w <> ''),
+      lambda w: case when regexp_matches(w, '[0-9]') then '<*>' else w end) as ws
+  from (select *, unnest(range(1, len(lines) + 1)) as p from docs)),
+lines as (
+  select *, array_to_string(ws, ' ') as line, len(ws) || ' ' || array_to_string(ws[1:3], ' ') as leaf from split where len(ws) >= 6),
+forms as (select leaf, line, any_value(ws) as ws, count(*) as n from lines group by leaf, line),
+leaves as (select leaf, count(*) as forms from forms group by leaf having sum(n) >= 3 and count(*) > 1),
+words as (select leaf, line, ws, forms, p, ws[p] as w from (select *, unnest(range(1, len(ws) + 1)) as p from forms join leaves using (leaf))),
+common as (select leaf, p, w from words group by leaf, forms, p, w having count(*) * 2 > forms),
+placed as (
+  select leaf, line, list(coalesce(c.w, '<*>') order by p) as template, count(*) filter (where words.w = coalesce(c.w, '<*>')) as alike
+  from words left join common c using (leaf, p) group by leaf, line),
+general as (select line, 'g' || leaf || chr(10) || array_to_string(template, ' ') as template from placed where alike >= 0.6 * len(template)),
+named as (select doc_id, text, line_no, coalesce(template, 't' || line) as template from lines left join general using (line)),
+recurring as (
+  select template, min(doc_id) as first from (select distinct template, doc_id, text from named)
+  group by template having count(*) >= 3),
+gone as (select distinct doc_id, text, line_no from named join recurring using (template) where doc_id <> first),
+dropped as (select doc_id, text, list(line_no) as gone from gone group by doc_id, text)
+select doc_id, len(lines)::int as n_lines, coalesce(len(gone), 0)::int as n_dropped,
+  case when gone is null then text else array_to_string(
+    list_transform(list_filter(range(0, len(lines)), lambda i: not list_contains(gone, i)), lambda i: lines[i + 1]), chr(10)) end as text
+from docs left join dropped using (doc_id, text)
+"""
+
 OP7 = r"""
 with said as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -67,6 +118,8 @@ from judged j join verdicts v on j.source is not distinct from v.source
 """
 
 ORACLES = {
+    "op3_decontaminate": OP3,
+    "op5_template_lines": OP5,
     "op7_chat_windows": OP7,
     "op9_host_rules": OP9,
 }

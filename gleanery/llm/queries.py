@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import chat, host_rules, html_density, simhash, token_blocks
+from gleanery.llm import chat, decontaminate, host_rules, html_density, packing, simhash, template_lines, token_blocks
 from gleanery.llm.oracles import ORACLES  # noqa: F401
 from gleanery.session import materialise
 
@@ -18,6 +18,20 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.contamination(documents, benchmark))
+
+
+def op5_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = template_lines.drop_recurring_lines(_table(spark, sf_dir, "documents"))
+    return lines.select("row.doc_id", "n_lines", "n_dropped", "text")
+
+
 def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -40,6 +54,9 @@ def op10_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_packing": op2_packing,
+    "op3_decontaminate": op3_decontaminate,
+    "op5_template_lines": op5_template_lines,
     "op7_chat_windows": op7_chat_windows,
     "op8_token_blocks": op8_token_blocks,
     "op9_host_rules": op9_host_rules,
