@@ -1,14 +1,71 @@
-"""The corpus pipeline over ``documents``: its stages, and ``run`` for all of them."""
+"""The corpus pipeline over ``documents``: its stages, and ``run`` for all of them.
+
+A stage is called with the session, the rows its predecessor kept, and the folder of the tables.
+Every stage works on all these rows, whatever further columns they have, and all but the last
+return the columns they were given. Null and empty texts, ties, repeated rows and empty tables are
+treated as the operators say.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gleanery.llm import decontaminate, packing, quality_knn, simhash, template_lines
+from gleanery.session import materialise
+
+
+def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
+    """Rows (row, text) as rows of ``docs``, with their new texts and, where the text is another, new lengths."""
+    same = F.col("text").eqNullSafe(F.col("row.text"))
+    values = {"text": F.col("text"), "n_chars": F.when(same, F.col("row.n_chars")).otherwise(F.length("text").cast("long"))}
+    return changed.select(*[values[c].alias(c) if c in values else F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the nearest-neighbour vote accepts (score of 0.5 or more)."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    return quality_knn.score(rows, quality_knn.fit(docs, labels)).filter("score >= 0.5").select("row.*")
+
+
+def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, their texts without lines of templates that recur across documents."""
+    return _with_text(docs, template_lines.drop_recurring_lines(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of every group of near-duplicates, the one with the smallest id."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, their texts without passages of benchmark items."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    return _with_text(docs, decontaminate.remove_passages(rows, benchmark))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sequences of all rows in batches of a token budget."""
+    return packing.pack(docs)
+
 
-STAGES = []
+STAGES = [
+    ("quality", reject_low_quality),
+    ("lines", drop_recurring_lines),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", cut_benchmark_passages),
+    ("packing", pack),
+]
 
-# No stage but the exact ones can be said in SQL: the classifier is fitted.
+# The classifier is fitted and the buckets are optimised: SQL does not express them.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages on ``documents``; every stage reads what the one before has written."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,8 +4,21 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from gleanery.llm import chat, decontaminate, host_rules, html_density, packing, simhash, template_lines, token_blocks
+from pyspark.sql import functions as F
+
+from gleanery.llm import (
+    chat,
+    decontaminate,
+    host_rules,
+    html_density,
+    packing,
+    quality_knn,
+    simhash,
+    template_lines,
+    token_blocks,
+    toxicity,
+)
+from gleanery.llm.common import fold
 from gleanery.llm.oracles import ORACLES  # noqa: F401
 from gleanery.session import materialise
 
@@ -27,11 +40,28 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(documents, benchmark))
 
 
+def _verdicts(scored: DataFrame, held_out, least: float) -> DataFrame:
+    predicted = (F.col("score") >= least).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op4_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_knn.score(documents, quality_knn.fit(documents, _table(spark, sf_dir, "labels")))
+    return _verdicts(scored, fold(F.col("doc_id"), quality_knn.FOLDS) == quality_knn.HELD_OUT, 0.5)
+
+
 def op5_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = template_lines.drop_recurring_lines(_table(spark, sf_dir, "documents"))
     return lines.select("row.doc_id", "n_lines", "n_dropped", "text")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(documents, toxicity.fit(documents, _table(spark, sf_dir, "labels")))
+    return _verdicts(scored, fold(F.col("doc_id"), toxicity.FOLDS) == toxicity.HELD_OUT, 0.3)
+
+
 def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -56,7 +86,9 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
+    "op4_quality_knn": op4_quality_knn,
     "op5_template_lines": op5_template_lines,
+    "op6_toxicity": op6_toxicity,
     "op7_chat_windows": op7_chat_windows,
     "op8_token_blocks": op8_token_blocks,
     "op9_host_rules": op9_host_rules,
