@@ -25,6 +25,25 @@ def _width(values: np.ndarray) -> np.ndarray:
     return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
 
 
+def _pack(grid: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bits of each value, highest bit first, as a row of bytes for each block."""
+    as_bytes = grid.astype(">u4").view(np.uint8).reshape(len(grid), BLOCK, 4)
+    if width % 8 == 0:
+        return as_bytes[:, :, 4 - width // 8 :].reshape(len(grid), -1)
+    return np.packbits(np.unpackbits(as_bytes, axis=2)[:, :, 32 - width :].reshape(len(grid), -1), axis=1)
+
+
+def _unpack(packed: np.ndarray, width: int) -> np.ndarray:
+    if width % 8 == 0:
+        as_bytes = np.zeros((len(packed), BLOCK, 4), np.uint8)
+        as_bytes[:, :, 4 - width // 8 :] = packed.reshape(len(packed), BLOCK, width // 8)
+    else:
+        bits = np.zeros((len(packed), BLOCK, 32), np.uint8)
+        bits[:, :, 32 - width :] = np.unpackbits(packed, axis=1).reshape(len(packed), BLOCK, width)
+        as_bytes = np.packbits(bits, axis=2)
+    return as_bytes.view(">u4").reshape(len(packed), BLOCK)
+
+
 def encode(values: np.ndarray) -> bytes:
     values = np.ascontiguousarray(values, np.uint32)
     n = len(values)
@@ -48,8 +67,7 @@ def encode(values: np.ndarray) -> bytes:
     for width in np.unique(widths):
         if width:
             own = np.flatnonzero(widths == width)
-            bits = np.unpackbits(grid[own].astype(">u4").view(np.uint8).reshape(len(own), BLOCK, 4), axis=2)[:, :, 32 - width :]
-            packed = np.packbits(bits.reshape(len(own), -1), axis=1)
+            packed = _pack(grid[own], int(width))
             payload[(starts[own][:, None] + np.arange(packed.shape[1])).ravel()] = packed.ravel()
     parts = [
         np.array([MAGIC, n, blocks, len(place), len(payload)], "<u4"),
@@ -88,9 +106,7 @@ def decode(data: bytes, start: int = 0, stop: int | None = None) -> np.ndarray:
         if width:
             own = np.flatnonzero(widths[first:last] == width)
             packed = payload[starts[first:last][own].astype(np.int64)[:, None] + np.arange(int(width) * BLOCK // 8)]
-            bits = np.zeros((len(own), BLOCK, 32), np.uint8)
-            bits[:, :, 32 - width :] = np.unpackbits(packed, axis=1).reshape(len(own), BLOCK, width)
-            grid[own] = np.packbits(bits, axis=2).view(">u4").reshape(len(own), BLOCK)
+            grid[own] = _unpack(packed, int(width))
     ends = np.append(before[1:], exceptions)
     low, up = int(before[first]), int(ends[last - 1])
     block_of = np.repeat(np.arange(last - first), (ends - before)[first:last])

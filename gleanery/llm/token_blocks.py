@@ -8,10 +8,12 @@ in the shard, document ids, and two packed arrays (see ``pfor``), the documents'
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,19 +28,25 @@ END = 0  # the id behind every document
 SEGMENT_TOKENS = 1 << 18
 SEGMENTS = "shard int, segment int, start_in_shard long, n_tokens long, doc_ids array<long>, lengths binary, ids binary"
 
-_SLICE_BYTES = 4 << 20
-_CACHED_UNITS = 250_000
-_TWO_SPACES = re.compile(r"\s\s|^\s|\s$")
-_UNIT_BREAK = re.compile(r"(?<=\S) (?=\S)")
+_SLICE_BYTES = 3 << 20
+_CACHED_UNITS = 800_000
+_PLAIN_UNIT = re.compile(r"\S+")
+_JOINED = 64
+_UNIT_BREAK = re.compile(r"(?<=\S) ")
+# White space besides the blank and the line feed.
+_RARE_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def _units(text: str) -> list[str]:
-    """Cut a text before single spaces between other characters.
+    """Cut a text at spaces that follow another character than white space; these spaces are left out.
 
-    Byte-level BPE never merges across such a place, so the ids of the parts, in order, are those of the text.
+    Byte-level BPE starts a new word at such a place, so the ids of the parts, each but the first
+    with its space in front, are those of the text.
     """
-    parts = _UNIT_BREAK.split(text) if _TWO_SPACES.search(text) else text.split(" ")
-    return [parts[0], *[" " + p for p in parts[1:]]]
+    parts = text.split(" ")
+    if "" in parts or "\n " in text or _RARE_SPACE.search(text):
+        return _UNIT_BREAK.split(text)
+    return parts
 
 
 class Encoder:
@@ -53,43 +61,64 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, int] = {}
         self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units and the length of each."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum()))
-        return flat, lengths
+        return np.array(list(chain.from_iterable(found)), np.uint32), lengths
+
+    def _encode_plain(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for units of one word, many at a time with line feeds between, which stay tokens of their own."""
+        lines = [" " + "\n ".join(units[i : i + _JOINED]) + "\n" for i in range(0, len(units), _JOINED)]
+        flat, _ = self._encode(lines)
+        breaks = np.flatnonzero(flat == self.line_feed)
+        return np.delete(flat, breaks), np.diff(breaks, prepend=-1) - 1
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of one or more texts, with the end ids, and the length of each document."""
         split = [_units(t) for t in texts]
-        get = self.known.get
-        places = [np.fromiter([get(u, -1) for u in units], np.int64, len(units)) for units in split]
-        missing = list(dict.fromkeys(u for units, p in zip(split, places, strict=True) for u in map(units.__getitem__, np.flatnonzero(p < 0))))
-        flat, lengths = self._encode(missing) if missing else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
-        ids = np.concatenate([self.ids, flat])
-        starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        heads = [s.pop(0) for s in split]  # without a space in front: not kept
+        units = list(chain.from_iterable(split))
+        places = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
+        unknown = np.flatnonzero(places < 0)
+        names = [units[i] for i in unknown.tolist()]
+        new = dict.fromkeys(names)
+        plain, odd = [], []
+        for u in new:
+            (plain if _PLAIN_UNIT.fullmatch(u) else odd).append(u)
+        missing = plain + odd
+        (plain_ids, plain_lengths), (other_ids, other_lengths) = self._encode_plain(plain), self._encode([*(" " + u for u in odd), *heads])
+        ids = np.concatenate([self.ids, plain_ids, other_ids])
+        starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([plain_lengths, other_lengths]))])
         known = len(self.starts) - 1
-        fresh = {u: known + i for i, u in enumerate(missing)}
-        for units, p in zip(split, places, strict=True):
-            for i in np.flatnonzero(p < 0):
-                p[i] = fresh[units[i]]
-        room = max(0, _CACHED_UNITS - known)
-        if room and missing:
-            self.known.update((u, known + i) for i, u in enumerate(missing[:room]))
-            upto = known + min(room, len(missing))
-            self.ids, self.starts = ids[: starts[upto]].copy(), starts[: upto + 1].copy()
+        new.update(zip(missing, range(known, known + len(missing)), strict=True))
+        places[unknown] = np.fromiter(map(new.__getitem__, names), np.int64, len(names))
+        closing = np.cumsum(sizes)
+        head = known + len(missing) + np.arange(len(texts))
+        places = np.insert(places, closing - sizes - np.arange(len(texts)), head)
+        room = min(_CACHED_UNITS - known, len(missing))
+        if room > 0:
+            self.known.update(zip(missing[:room], range(known, known + room), strict=True))
+            self.ids, self.starts = ids[: starts[known + room]].copy(), starts[: known + room + 1].copy()
         # a unit of its own, with the end id, closes each document
         end = len(starts) - 1
         ids, starts = np.append(ids, np.uint32(END)), np.append(starts, starts[-1] + 1)
-        order = np.concatenate([x for p in places for x in (p, [end])])
-        sizes = starts[order + 1] - starts[order]
-        stops = np.cumsum(sizes)
-        values = ids[np.arange(int(stops[-1])) + np.repeat(starts[order] - (stops - sizes), sizes)]
-        closed = np.cumsum([len(p) + 1 for p in places]) - 1
-        return values, np.diff(stops[closed], prepend=0)
+        order = np.insert(places, closing, end)
+        lengths = starts[order + 1] - starts[order]
+        stops = np.cumsum(lengths)
+        values = ids[np.arange(int(stops[-1])) + np.repeat(starts[order] - (stops - lengths), lengths)]
+        return values, np.diff(stops[closing + np.arange(len(texts))], prepend=0)
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One encoder for all tasks that a Python worker runs: ids do not depend on what it has seen."""
+    return Encoder(path)
 
 
 def _segment_batches(path: str):
@@ -99,7 +128,7 @@ def _segment_batches(path: str):
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard = Encoder(path), TaskContext.get().partitionId()
+        encode, shard = _encoder(path), TaskContext.get().partitionId()
         segment = start = held = 0
         docs, lengths, ids = [], [], []
 
