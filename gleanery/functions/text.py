@@ -24,8 +24,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Cut Unicode white space at both ends (``F.trim`` cuts blanks only)."""
-    return F.regexp_replace(c, f"{NOT_PRINTABLE}(?:^{SPACE}+|{SPACE}+$)", "")
+    """Cut Unicode white space at both ends (``F.trim`` cuts blanks only).
+
+    A run inside the text is tried once, from its start, so long runs cost no more than others.
+    """
+    return F.regexp_replace(c, f"{NOT_PRINTABLE}(?:^{SPACE}++|(?<!{SPACE}){SPACE}++$)", "")
 
 
 def nonblank(c: Column) -> Column:
@@ -40,8 +43,10 @@ _TAG = (
     r"<(?:/?[a-zA-Z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
     r"|/?[a-zA-Z][^>]*>|!--.*?-->|[!?][^>]*>)"
 )
-_HIDDEN = r"<(script|style)(?=[\s/>])[^>]*>.*?</\1\s*>"
-_MARKUP = f"(?is){SPACE}*+(?:(?:{_HIDDEN}|{_TAG}){SPACE}*+)++"
+# A script or style that is never closed reaches to the end of the text.
+_HIDDEN = r"<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
+_END = "\uffff"  # a noncharacter
+_MARKUP = f"(?is)(?:(?<!{SPACE}){SPACE}++)?+(?:(?:{_HIDDEN}|{_TAG}){SPACE}*+)++"
 
 
 def html_to_text(c: Column) -> Column:
@@ -51,13 +56,29 @@ def html_to_text(c: Column) -> Column:
     and comments are dropped; character references are decoded once, as an HTML
     parser does.
     """
-    text = decode_entities(strip(F.regexp_replace(c, _MARKUP, " ")))
+
+
+    def without_markup(t: Column) -> Column:
+        # No tag ends behind the last ``>``; brackets there would each be tried to the end.
+        # The mark tells whether a script that is never closed swallowed the end.
+        tail = F.regexp_replace(F.substring_index(t, ">", -1), f"^{SPACE}++", "")
+        head = F.concat(F.substring(t, F.lit(1), F.length(t) - F.length(tail)), F.lit(_END))
+        return let(
+            F.regexp_replace(head, _MARKUP, " "),
+            lambda h: F.when(h.endswith(_END), F.concat(F.substring(h, F.lit(1), F.length(h) - 1), tail)).otherwise(h),
+        )
+
+    text = decode_entities(strip(let(c, without_markup)))
     return F.when(c.contains("<") & c.contains(">"), text).otherwise(c)
 
 
 def strip_tags(c: Column) -> Column:
-    """Remove everything between angle brackets without leaving a blank."""
-    return F.regexp_replace(c, "<[^>]+>", "")
+    """Remove everything between angle brackets without leaving a blank.
+
+    A bracket that is never closed takes the rest of the text along unchanged, so that
+    the brackets behind it are not tried one by one.
+    """
+    return F.regexp_replace(c, "<[^>]++>|(<[^>]*+$)", "$1")
 
 
 # ------------------------------------------------- character references
@@ -174,7 +195,7 @@ def mark_blanks(c: Column) -> Column:
     return F.regexp_replace(c, "_+", "[BLANK]")
 
 
-# Fixed value: characters a URL may go on with. The range $-_ is meant as a range,
+# Characters a URL may go on with; one class for the alternatives the contract lists. The range $-_ is meant as a range,
 # so brackets, colons and question marks belong to the URL while # " ~ { end it.
 URL = "https?://[a-z!$-_]+"
 

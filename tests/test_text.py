@@ -12,7 +12,10 @@ STEPS = [
     (X.html_to_text, "<i>X</i>, y", "X , y"),
     (X.html_to_text, "a<br/>b<!-- no > --> c", "a b c"),
     (X.html_to_text, "<p title=\"a>b\">x</p><script>var t='</p>';</script>y", "x y"),
+    (X.html_to_text, "a <b>x</b> <script>var x=1", "a x"),
+    (X.html_to_text, "a  <b> x</b>\n<style>p{}\n", "a x"),
     (X.html_to_text, "x<5 and y>3", "x<5 and y>3"),
+    (X.strip_tags, "a<>b < c > d < e", "a<>b  d < e"),
     (X.html_to_text, "only < here &amp;", "only < here &amp;"),
     (X.html_to_text, "<b>a &lt;b&gt;</b>", "a <b>"),
     (X.html_to_text, "<b>two\n words</b>", "two\n words"),
@@ -98,3 +101,17 @@ words = st.sampled_from(["<b>", "</b>", "&nbsp;", "&amp;", "  ", " ", "a", "B."
 def test_cleaned_text_is_squeezed(apply, texts, kind):
     for out in apply(lambda c: X.clean_text(c, kind), texts):
         assert out == " ".join(out.split())
+
+
+STEPS_ALONE = [X.strip, X.nonblank, X.html_to_text, X.strip_tags, X.decode_entities, X.squeeze_space, X.drop_markers, X.collapse_punctuation]
+
+
+@pytest.mark.parametrize("run", [" ", "<", "<b", "&", "_", ".", "\n", "</script"])
+def test_long_runs_take_linear_time(apply, run):
+    import time
+
+    text = "a <b>" + run * 100_000 + "b"
+    for fn in [*STEPS_ALONE, *(lambda c, f=f: X.clean_text(c, f) for f in ("question", "answer", "general"))]:
+        started = time.time()
+        assert len(apply(fn, [text])[0]) <= len(text)
+        assert time.time() - started < 10, fn
