@@ -66,14 +66,14 @@ def accepted(flagged: DataFrame) -> DataFrame:
 def rejects(flagged: DataFrame) -> DataFrame:
     """One row per rejected record: stage, reason, errors and a few of its values.
 
-    Text is shown up to 50 characters. The sampled fields depend on the stage.
+    Text is shown up to 50 characters, an absent column as ``N/A``. The sampled fields depend on the stage.
     """
 
-    def shown(c: str, missing: str = "None") -> Column:
-        return F.substring(F.coalesce(F.col(c), F.lit(missing)), 1, 50)
+    def whole(c: str, missing: str = "None") -> Column:
+        return F.coalesce(F.col(c), F.lit(missing)) if c in flagged.columns else F.lit("N/A")
 
-    def whole(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit("None"))
+    def shown(c: str, missing: str = "None") -> Column:
+        return F.substring(whole(c, missing), 1, 50)
 
     def sample(**fields: Column) -> Column:
         return F.create_map(*[x for name, c in fields.items() for x in (F.lit(name), c)])

@@ -14,6 +14,17 @@ from gleanery.schema import ID, RECORD_COLUMNS, RECORDS
 from gleanery.session import materialise
 
 
+def check_keys(df: DataFrame) -> None:
+    """Raise when a record has no key, or when records share one.
+
+    One pass over the keys; at most one row comes to the driver.
+    """
+    wrong = df.groupBy(ID).agg(F.count("*").alias("n")).filter(F.col(ID).isNull() | (F.col("n") > 1)).limit(1).collect()
+    if wrong:
+        key, n = wrong[0]
+        raise ValueError(f"{n} records have no {ID}" if key is None else f"{n} records have the {ID} {key}")
+
+
 def _require(spark: SparkSession, path: str) -> None:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -22,29 +33,23 @@ def _require(spark: SparkSession, path: str) -> None:
 
 
 def with_ids(df: DataFrame) -> DataFrame:
-    """Give every row a key, unless it has one.
+    """Give every row a key, unless rows have one; given keys are checked once.
 
     Keys are unique, not consecutive, and follow the layout of the input. The keyed
     table is written out, so the keys stay the same however often it is read.
     """
-    return df if ID in df.columns else materialise(df.withColumn(ID, F.monotonically_increasing_id()))
+    if ID not in df.columns:
+        return materialise(df.withColumn(ID, F.monotonically_increasing_id()))
+    check_keys(df)
+    return df
 
 
 def _json_line_columns(spark: SparkSession, path: str) -> list[str]:
-    """Which of the expected columns occur in JSON lines.
-
-    The first lines tell in nearly all cases; only when a column is absent there are
-    all lines looked at.
-    """
+    """Which of the expected columns occur in JSON lines, by one pass over all of them."""
     keys = spark.read.text(path).select(F.json_object_keys("value").alias("keys"))
     expected = [ID, *RECORD_COLUMNS]
-
-    def present(lines: DataFrame) -> list[str]:
-        found = lines.select(F.explode("keys").alias("key")).filter(F.col("key").isin(expected)).distinct()
-        return [r.key for r in found.collect()]
-
-    columns = present(keys.limit(1000))
-    return columns if set(RECORD_COLUMNS) <= set(columns) else present(keys)
+    found = keys.agg(*[F.bool_or(F.array_contains("keys", c)).alias(c) for c in expected]).first()
+    return [c for c in expected if found[c]]
 
 
 def _read_json(spark: SparkSession, path: str, lines: bool) -> DataFrame:
@@ -62,8 +67,8 @@ def read_records(spark: SparkSession, path: str, kind: str = "json", limit: int
     ``kind`` is ``json`` (a whole-file array; such a file is read by one task, so
     convert large ones once), ``jsonl`` or ``parquet``. All values are read as text,
     so ``"0012"`` stays as it is. ``limit`` takes the first rows. Raises
-    FileNotFoundError for a missing path and ValueError for malformed input or
-    missing columns.
+    FileNotFoundError for a missing path and ValueError for malformed input, missing
+    columns, and keys (``record_id``) that are NULL or not unique.
     """
     _require(spark, path)
     try:
@@ -87,16 +92,3 @@ def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     """A dictionary from a text file with one word per line."""
     _require(spark, path)
     return word_list(spark.read.text(path))
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of a table too small to be split by its files.
-
-    Tables with at least a full split per core are returned as they are, so the
-    extra shuffle never moves more than that.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores, key) if size < cores * split else df

@@ -4,7 +4,7 @@ import pytest
 
 from gleanery.operators import load, profile
 from gleanery.schema import RECORD_COLUMNS
-from gleanery.sources.records import read_records, read_word_list, spread
+from gleanery.sources.records import read_records, read_word_list
 from gleanery.sources.sinks import before_after, export_subset, write_before_after, write_jsonl
 
 ROWS = [
@@ -107,9 +107,20 @@ def test_word_list(spark, tmp_path):
     assert sorted(r.word for r in read_word_list(spark, str(path)).collect()) == ["apple", "zoo"]
 
 
-def test_spread_small_tables_only(spark):
-    small = spark.range(10).coalesce(1)
-    assert spread(small, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_late_partial_and_repeated_keys(spark, tmp_path):
+    path, row = tmp_path / "keys.jsonl", ROWS[3]
+    late = [row] * 1200 + [row | {"record_id": i} for i in range(300)]
+    path.write_text("\n".join(json.dumps(r) for r in late))
+    with pytest.raises(ValueError, match="1200 records have no record_id"):
+        read_records(spark, str(path), "jsonl")
+    path.write_text("\n".join(json.dumps(row | {"record_id": i}) for i in range(1500)))
+    assert read_records(spark, str(path), "jsonl").agg({"record_id": "sum"}).first()[0] == 1499 * 750
+    for ids in ([1, 1, 2], [1, None, 2]):
+        table = str(tmp_path / f"table{ids[1]}")
+        rows = [tuple(str(row[c]) for c in RECORD_COLUMNS) + (i,) for i in ids]
+        spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RECORD_COLUMNS) + ", record_id long").write.parquet(table)
+        with pytest.raises(ValueError, match="record_id"):
+            read_records(spark, table, "parquet")
 
 
 def test_profile(spark, array_file):

@@ -107,6 +107,13 @@ def test_absent_columns(table):
     assert not by_field["round"].metadata_valid and not by_field["answer"].text_valid
 
 
+@pytest.mark.parametrize("column", ["value", "category", "question", "answer", "round", "show_number"])
+def test_rejects_show_absent_columns(table, column):
+    rejected = validate.rejects(validate.flag(table.drop(column))).collect()
+    shown = {r.sample.get(column, r.sample.get(f"{column}_cleaned")) for r in rejected}
+    assert rejected and shown <= {"N/A", None}
+
+
 def test_debug(table):
     rows = validate.debug(table, limit=2).collect()
     assert len(rows) == 2 * 7
