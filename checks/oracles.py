@@ -356,7 +356,8 @@ DICT = f"""dict as materialized (select lower(token) as word, count(distinct rec
 
 def vocab_of(tokens: str) -> str:
     return f"""select lower(token) as word, count(distinct (record_id, token)) as n,
-      bool_and(regexp_matches(token, '^\\p{{Lu}}')) as always_capitalised from {tokens} group by 1"""
+      count(distinct (record_id, token)) filter (not regexp_matches(token, '^\\p{{Lu}}')) < 0.1::double * count(distinct (record_id, token))
+        as capitalised from {tokens} group by 1"""
 
 
 _STEM = SHORTEST_STEM
@@ -379,7 +380,7 @@ FORMS = " union ".join(
 
 def unknown(strict: bool = True) -> str:
     rule = f"and length(word) > 2 and word not in ({', '.join(q(a) for a in ARTIFACTS)})" if strict else ""
-    return f"""unknown as materialized (select word, n from vocab where not always_capitalised {rule}
+    return f"""unknown as materialized (select word, n from vocab where not capitalised {rule}
       and word not in (select f.word from forms f join dict d on f.form = d.word))"""
 
 
@@ -432,11 +433,14 @@ def entities_of(table: str) -> str:
       from runs where regexp_matches(run, '^(?:[.!?]|\\p{{Lu}})')),
     names as materialized (select record_id, opens and not contains(body, ' ') as initial,
       regexp_replace(body, '(?:[''’]s)?[''’-]*$', '') as mention from split),
-    lowers as materialized (select distinct word from (
-      select unnest(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_''’-]+')) as word from {table})
-      where regexp_matches(word, '^\\p{{Ll}}')),
+    lowers as (select word, count(distinct record_id) as lower from (
+      select record_id, unnest(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_''’-]+')) as word from {table})
+      where regexp_matches(word, '^\\p{{Ll}}') group by 1),
+    ordinary as materialized (select entity from lowers join (
+      select lower(mention) as entity, count(*) as n from names where length(mention) > 1 group by 1) on entity = word
+      where lower >= 0.1::double * (lower + n)),
     mentions as materialized (select record_id, mention, lower(mention) as entity,
-      initial and lower(mention) in (select word from lowers) as dropped from names where length(mention) > 1),
+      initial and lower(mention) in (select entity from ordinary) as dropped from names where length(mention) > 1),
     freqs as materialized (select entity, count(*) as freq from mentions where not dropped group by 1)"""
 
 
@@ -513,15 +517,14 @@ def first_two(name: str, found: str) -> str:
     """The first two sampled records of a subset with what ``found`` (record_id, rank, token) lists first."""
     return f"""select c.record_id, '{name}' as subset, any_value(c.category) as category,
         any_value(substring(c.question, 1, 80)) as question, any_value(c.answer) as answer,
-        array_to_string(list(f.token order by f.rank) filter (f.token is not null)[1:3], '; ') as detected
+        coalesce(array_to_string(list(f.token order by f.rank) filter (f.token is not null)[1:3], '; '), '') as detected
       from (select * from (select c.* from clean c join {name} using (record_id)
               order by md5('42:' || record_id), record_id limit {SAMPLE_SIZE}) order by record_id limit 2) c
       left join ({found}) f on f.record_id = c.record_id group by 1"""
 
 
-_NUMBERS_FOUND = f"""select record_id, (kind, start) as rank, mention as token from (
-    select case when kind = 'token' then 1 else 2 end as kind, start, record_id, mention
-    from ({_MENTIONS.replace('from documents', 'from (select record_id as doc_id, text from three)')}))"""
+_NUMBERS_FOUND = f"""select record_id, start as rank, mention as token
+    from ({_MENTIONS.replace('from documents', 'from (select record_id as doc_id, text from two)')}) where kind = 'token'"""
 _WORDS_FOUND = "select t.record_id, t.i as rank, t.token from tokens t join unknown u on lower(t.token) = u.word"
 _NAMES_FOUND = """select d.record_id, f.entity as rank, f.entity as token
     from two d join freqs f on f.freq <= 3 and contains(lower(d.text), f.entity)"""

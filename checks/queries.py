@@ -21,10 +21,10 @@ from gleanery.operators import load, profile, sample, validate
 from gleanery.operators.numbers import number_details, number_mentions
 from gleanery.plans.clean import Cleaned
 from gleanery.plans.report import run_report
-from gleanery.plans.subsets import Subset, sample_results
+from gleanery.plans.subsets import Subset, build_subset, sample_results
 from gleanery.schema import ID, RECORD_COLUMNS
 from gleanery.session import materialise, scratch_dir
-from gleanery.sources.records import read_records, spread
+from gleanery.sources.records import read_records
 from gleanery.sources.sinks import before_after, write_jsonl
 
 # Records made from the documents table: one per document, whole text as the
@@ -53,7 +53,9 @@ SAMPLE_SIZE = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), key)
+    """A given table; the files have one row group each, so rows are dealt to all cores by their key."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df.repartition(spark.sparkContext.defaultParallelism, key)
 
 
 def documents(spark, sf_dir) -> DataFrame:
@@ -243,16 +245,11 @@ def rare_details(spark, sf):
 # -------------------------------------------------- subsets and reports
 
 
-def _subsets(spark, sf) -> tuple[DataFrame, list[tuple[D.Detector, Subset]]]:
+def _subsets(spark, sf) -> tuple[DataFrame, list[Subset]]:
     judged = materialise(flagged(spark, sf))
     clean = Cleaned(judged).records
     detectors = [D.number_detector(), D.LanguageDetector(dictionary(spark, sf)), D.EntityDetector()]
-    out = []
-    for d in detectors:
-        hits = materialise(d.hits(D.texts(clean, d)))
-        picked = sample.sample_records(clean, hits, SAMPLE_SIZE)
-        out.append((d, Subset(d.name, hits, picked, D.detection_stats(clean, hits, SAMPLE_SIZE))))
-    return judged, out
+    return judged, [build_subset(clean, d, SAMPLE_SIZE) for d in detectors]
 
 
 def _sampled(detector):
@@ -266,17 +263,17 @@ def _sampled(detector):
 
 def detection_stats(spark, sf):
     _, subsets = _subsets(spark, sf)
-    return reduce(DataFrame.union, [s.stats.select(F.lit(s.name).alias("name"), *s.stats.columns) for _, s in subsets])
+    return reduce(DataFrame.union, [s.stats.select(F.lit(s.name).alias("name"), *s.stats.columns) for s in subsets])
 
 
 def run_figures(spark, sf):
     judged, subsets = _subsets(spark, sf)
-    return run_report(judged, [s for _, s in subsets], subsets[2][0].freq)
+    return run_report(judged, subsets, subsets[2].detector.freq)
 
 
 def detected_samples(spark, sf):
     _, subsets = _subsets(spark, sf)
-    out = reduce(DataFrame.union, [sample_results(s, d) for d, s in subsets])
+    out = reduce(DataFrame.union, [sample_results(s) for s in subsets])
     return out.withColumn("detected", _joined("detected"))
 
 

@@ -2,7 +2,9 @@
 
 A detector has a ``name``, the ``columns`` it reads, ``hits(df)`` (ids of the
 matching records of a table record_id, text) and ``details(df)`` (record_id and
-what was found). Any object with these can be passed to the subset job.
+what was found). One that has to know the corpus first also has ``fit(df)``, which returns a
+detector for this corpus; its verdicts then hold for any part of the corpus. ``shown``, if
+there, names the columns that ``details`` is meant for. Any object with these can be passed to the jobs.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.functions import numbers
+from gleanery.functions import numbers, words
 from gleanery.operators import entities, language
 from gleanery.operators.profile import percent
 from gleanery.schema import ID
@@ -30,6 +32,11 @@ class Detector(Protocol):
     def details(self, df: DataFrame) -> DataFrame: ...
 
 
+def fitted(detector: Detector, df: DataFrame) -> Detector:
+    """The detector as it stands for a corpus (record_id, text)."""
+    return detector.fit(df) if hasattr(detector, "fit") else detector
+
+
 def combined_text(df: DataFrame, columns: list[str]) -> Column:
     """The given columns that exist, joined by a blank; NULLs are left out."""
     return F.concat_ws(" ", *[F.col(c).cast("string") for c in columns if c in df.columns])
@@ -39,6 +46,12 @@ def texts(df: DataFrame, detector: Detector) -> DataFrame:
     return df.select(ID, combined_text(df, detector.columns).alias("text"))
 
 
+def shown_texts(df: DataFrame, detector: Detector) -> DataFrame:
+    """The texts in which the detector is asked for details."""
+    columns = getattr(detector, "shown", None) or detector.columns
+    return df.select(ID, combined_text(df, columns).alias("text"))
+
+
 @dataclass
 class ColumnDetector:
     """A detector that is one boolean expression over the text.
@@ -50,6 +63,7 @@ class ColumnDetector:
     columns: list[str]
     test: Callable[[Column], Column]
     found: Callable[[Column], Column] | None = None
+    shown: list[str] | None = None
 
     def hits(self, df: DataFrame) -> DataFrame:
         return df.filter(self.test(F.col("text"))).select(ID)
@@ -59,19 +73,25 @@ class ColumnDetector:
         return df.select(ID, found.alias("detected"))
 
 
-def _numbers_in(c: Column) -> Column:
-    """Number tokens, then Roman candidates."""
-    return F.concat(numbers.number_tokens(c)["text"], numbers.roman_tokens(c)["text"])
+def _number_tokens(c: Column) -> Column:
+    return numbers.number_tokens(c)["text"]
 
 
 def digit_detector() -> ColumnDetector:
-    return ColumnDetector("numbers_test", ["question", "answer", "category"], numbers.any_digit, _numbers_in)
+    columns = ["question", "answer", "category"]
+    return ColumnDetector("numbers_test", columns, numbers.any_digit, _number_tokens, columns[:2])
 
 
 def number_detector(basic: bool = False) -> ColumnDetector:
     """Numbers by the full contract, or by the plain pattern test."""
+    columns = ["question", "answer", "category"]
     test = numbers.has_basic_number if basic else numbers.has_number
-    return ColumnDetector("numbers", ["question", "answer", "category"], test, _numbers_in)
+    return ColumnDetector("numbers", columns, test, _number_tokens, columns[:2])
+
+
+def accent_detector() -> ColumnDetector:
+    """Non-English text without a dictionary: letters beyond ASCII."""
+    return ColumnDetector("non_english", ["question", "answer"], words.has_non_ascii, words.non_ascii_chars)
 
 
 @dataclass
@@ -82,20 +102,30 @@ class LanguageDetector:
     irregular: DataFrame | None = None
     name: str = "non_english"
     columns: list[str] = field(default_factory=lambda: ["question", "answer"])
-    lexicon: language.Lexicon | None = None
 
-    def analyse(self, df: DataFrame) -> language.Lexicon:
-        """Judge the words of the corpus once; later calls reuse the verdicts."""
-        if self.lexicon is None:
-            self.lexicon = language.lexicon(df, self.dictionary, irregular=self.irregular)
-        return self.lexicon
+    def fit(self, df: DataFrame) -> FittedLanguage:
+        """Judge the words of a corpus once."""
+        return FittedLanguage(language.lexicon(df, self.dictionary, irregular=self.irregular), self.name, self.columns)
+
+    def hits(self, df: DataFrame) -> DataFrame:
+        return self.fit(df).hits(df)
+
+    def details(self, df: DataFrame) -> DataFrame:
+        return self.fit(df).details(df)
+
+
+@dataclass
+class FittedLanguage:
+    """The words outside the dictionary in one corpus."""
+
+    lexicon: language.Lexicon
+    name: str
+    columns: list[str]
 
     def hits(self, df: DataFrame) -> DataFrame:
-        return language.non_english_ids(df, self.analyse(df))
+        return language.non_english_ids(df, self.lexicon)
 
     def details(self, df: DataFrame) -> DataFrame:
-        if self.lexicon is None:
-            raise ValueError("judge the words of the corpus first")
         found = language.non_english_details(df, self.lexicon)
         return found.select(ID, F.col("non_english_words.token").alias("detected"))
 
@@ -108,23 +138,32 @@ class EntityDetector:
     mentions: Callable[[DataFrame], DataFrame] | None = None
     name: str = "proper_nouns"
     columns: list[str] = field(default_factory=lambda: ["question", "answer"])
-    freq: DataFrame | None = None
 
-    def analyse(self, df: DataFrame) -> DataFrame:
-        """Count the entities of the corpus once; later calls reuse the table."""
-        if self.freq is None:
-            if self.mentions is None:
-                self.freq = materialise(entities.entity_frequencies(df))
-            else:
-                self.freq = materialise(entities.frequencies_of(self.mentions(df)))
-        return self.freq
+    def fit(self, df: DataFrame) -> FittedEntities:
+        """Count the entities of a corpus once."""
+        counted = entities.entity_frequencies(df) if self.mentions is None else entities.frequencies_of(self.mentions(df))
+        return FittedEntities(materialise(counted), self.threshold, self.name, self.columns)
+
+    def hits(self, df: DataFrame) -> DataFrame:
+        return self.fit(df).hits(df)
+
+    def details(self, df: DataFrame) -> DataFrame:
+        return self.fit(df).details(df)
+
+
+@dataclass
+class FittedEntities:
+    """The entities of one corpus with their frequencies."""
+
+    freq: DataFrame
+    threshold: int
+    name: str
+    columns: list[str]
 
     def hits(self, df: DataFrame) -> DataFrame:
-        return entities.rare_entity_ids(df, self.analyse(df), self.threshold)
+        return entities.rare_entity_ids(df, self.freq, self.threshold)
 
     def details(self, df: DataFrame) -> DataFrame:
-        if self.freq is None:
-            raise ValueError("count the entities of the corpus first")
         found = entities.rare_entity_details(df, self.freq, self.threshold)
         return found.select(ID, F.col("unusual_entities_found.text").alias("detected"))
 
@@ -138,16 +177,16 @@ def flag_column(df: DataFrame, detector: Detector) -> DataFrame:
     return df.join(hits, ID, "left").withColumn(column, F.coalesce(column, F.lit(False)))
 
 
-def detection_stats(df: DataFrame, hits: DataFrame, size: int = 1000) -> DataFrame:
-    """Records, matches and their rate; the subset size that follows and its share of the matches."""
-    counts = df.select(F.lit(0).alias("hit")).union(hits.select(F.lit(1).alias("hit")))
+def detection_stats(df: DataFrame, hits: DataFrame, picked: DataFrame) -> DataFrame:
+    """Records, matches and their rate; the records picked for the subset and their share of the matches."""
+    marks = [source.select(F.lit(i).alias("source")) for i, source in enumerate((df, hits, picked))]
     rate = F.coalesce(percent(F.col("detected_records"), F.col("total_records")), F.lit(0.0))
-    subset = F.least(F.lit(size).cast("long"), F.col("detected_records"))
-    return (
-        counts.agg(
-            F.count_if(F.col("hit") == 0).alias("total_records"), F.count_if(F.col("hit") == 1).alias("detected_records")
-        )
-        .withColumn("detection_rate", rate)
-        .withColumn("subset_size", subset)
-        .withColumn("sampling_ratio", F.col("subset_size") / F.greatest(F.lit(1), F.col("detected_records")))
+    names = ("total_records", "detected_records", "subset_size")
+    counts = marks[0].union(marks[1]).union(marks[2]).agg(*[F.count_if(F.col("source") == i).alias(n) for i, n in enumerate(names)])
+    return counts.select(
+        "total_records",
+        "detected_records",
+        rate.alias("detection_rate"),
+        "subset_size",
+        (F.col("subset_size") / F.greatest(F.lit(1), F.col("detected_records"))).alias("sampling_ratio"),
     )

@@ -16,7 +16,7 @@ from gleanery.functions.names import lower_words, mentions
 from gleanery.functions.spans import positions
 from gleanery.functions.text import let
 from gleanery.operators.profile import percent
-from gleanery.operators.skew import HOT_SHARE, hot_keys, salted_join
+from gleanery.operators.skew import hot_keys, salted_join
 from gleanery.operators.substring import contained_strings
 from gleanery.schema import ID
 from gleanery.session import materialise
@@ -27,25 +27,35 @@ LABELS = ["PERSON", "ORG", "GPE", "PRODUCT", "WORK_OF_ART", "LOC"]
 # Fixed value: an entity seen at most this often is rare.
 THRESHOLD = 3
 
+# A word that opens a sentence is an ordinary word when at least this share of its uses, counted
+# once per record in lower case, is in lower case. One odd spelling in a large corpus changes nothing.
+LOWER_SHARE = 0.1
+
+
+def _ordinary(capitalised: DataFrame, df: DataFrame, text: str) -> DataFrame:
+    """(entity) of the words that are mostly not names; ``capitalised``: (entity, n), mentions of single words."""
+    lower = df.select(F.explode(lower_words(F.col(text))).alias("entity")).groupBy("entity").agg(F.count("*").alias("lower"))
+    both = capitalised.join(lower, "entity")
+    return both.filter(F.col("lower") >= LOWER_SHARE * (F.col("lower") + F.col("n"))).select("entity")
+
 
 def entity_mentions(df: DataFrame, text: str = "text", gazetteer: DataFrame | None = None) -> DataFrame:
     """One row per mention: record_id, mention, entity (lower-cased), dropped.
 
     A single capitalised word that opens a sentence is ``dropped`` when the corpus
-    also writes it in lower case. With a ``gazetteer`` (entity, label) only listed
-    entities with a proper-noun label are kept.
+    writes it in lower case often enough (``LOWER_SHARE``). With a ``gazetteer`` (entity, label) only listed
+    entities with a proper-noun label are kept. The entities are counted when this is called.
     """
     found = df.select(ID, F.inline(mentions(F.col(text)))).withColumn("entity", F.lower("mention"))
-    common = df.select(F.explode(lower_words(F.col(text))).alias("entity")).distinct()
-    # The initial words are reduced to their distinct forms before the lookup.
-    openers = materialise(found.filter("initial").groupBy("entity").agg(F.count("*").alias("n")))
-    doubtful = openers.join(common, "entity", "left_semi").select("entity", F.lit(True).alias("common"))
-    out = salted_join(found, doubtful, "entity", hot_keys(openers, "entity"), "left").select(
+    counts = materialise(found.groupBy("entity").agg(F.count("*").alias("n"), F.bool_or("initial").alias("opens")))
+    hot = hot_keys(counts, "entity")
+    doubtful = _ordinary(counts.filter("opens").select("entity", "n"), df, text).withColumn("common", F.lit(True))
+    out = salted_join(found, doubtful, "entity", hot, "left").select(
         ID, "mention", "entity", (F.col("initial") & F.coalesce("common", F.lit(False))).alias("dropped")
     )
     if gazetteer is not None:
-        listed = gazetteer.filter(F.col("label").isin(LABELS)).select("entity")
-        out = out.join(listed, "entity", "left_semi")
+        listed = gazetteer.filter(F.col("label").isin(LABELS)).select("entity").distinct()
+        out = salted_join(out, listed, "entity", hot, "left_semi")
     return out
 
 
@@ -84,13 +94,12 @@ def entity_frequencies(df: DataFrame, text: str = "text") -> DataFrame:
     """
     counts = (
         df.select(F.inline(mentions(F.col(text))))
-        .groupBy(F.lower("mention").alias("entity"), "initial")
-        .agg(F.count("*").alias("n"))
+        .groupBy(F.lower("mention").alias("entity"))
+        .agg(F.count("*").alias("n"), F.count_if("initial").alias("opening"))
     )
-    common = df.select(F.explode(lower_words(F.col(text))).alias("entity")).distinct()
-    common = common.withColumn("initial", F.lit(True)).withColumn("dropped", F.lit(True))
-    kept = counts.join(common, ["entity", "initial"], "left").filter(F.col("dropped").isNull())
-    return kept.groupBy("entity").agg(F.sum("n").alias("freq"))
+    ordinary = _ordinary(counts.filter("opening > 0"), df, text).withColumn("ordinary", F.lit(True))
+    freq = F.when(F.col("ordinary").isNull(), F.col("n")).otherwise(F.col("n") - F.col("opening"))
+    return counts.join(ordinary, "entity", "left").select("entity", freq.alias("freq")).filter("freq > 0")
 
 
 def frequencies_of(found: DataFrame) -> DataFrame:
@@ -161,12 +170,10 @@ def rare_entity_ids(df: DataFrame, freq: DataFrame, threshold: int = THRESHOLD,
     should be a written table.
     """
     rare = rare_entities(freq, threshold).select("entity")
-    # The most frequent entities are not rare; without them no key is hot.
-    mentioned = freq.agg(F.sum("freq")).first()[0] or 0
-    frequent = hot_keys(freq, "entity", "freq") if threshold * HOT_SHARE < mentioned else []
     named = df.select(ID, F.explode(_own_mentions(F.col(text))).alias("entity"))
-    named = named.filter(~F.col("entity").isin(frequent)) if frequent else named
-    own = materialise(named.join(rare, "entity", "left_semi").select(ID).distinct())
+    # The keys of this join are counted as they are: words that open sentences are among them.
+    hot = hot_keys(materialise(named.groupBy("entity").agg(F.count("*").alias("n"))), "entity")
+    own = materialise(salted_join(named, rare, "entity", hot, "left_semi").select(ID).distinct())
     rest = materialise(_lowered(df, text).join(own, ID, "left_anti"))
     inside = contained_strings(rest, rare.select(F.col("entity").alias("string")))
     return own.union(inside.select(ID).distinct())

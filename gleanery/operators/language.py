@@ -2,8 +2,8 @@
 
 Words are tested once per distinct word, not once per token: the corpus is
 reduced to its vocabulary, the vocabulary is matched with the dictionary, and only
-the words that fail go back to the records. A capitalised word counts as a proper
-noun when the corpus never writes it in lower case. Base forms come from suffix
+the words that fail go back to the records. A word counts as a proper
+noun when the corpus hardly ever writes it in lower case. Base forms come from suffix
 rules, not from a language model, so hit rates differ from one.
 """
 
@@ -22,6 +22,10 @@ from gleanery.session import materialise
 
 _CAPITALISED = r"^\p{Lu}"
 
+# A word is a proper noun when less than this share of its records' spellings is in lower
+# case. One odd spelling in a large corpus changes nothing.
+LOWER_SHARE = 0.1
+
 
 def word_list(words: DataFrame) -> DataFrame:
     """A dictionary table from a one-column table of words: lowered and distinct."""
@@ -36,13 +40,14 @@ def corpus_dictionary(df: DataFrame, text: str = "text", min_records: int = 5) -
 
 
 def vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
-    """Distinct lower-cased words, the records holding each (``n``) and whether it is always capitalised."""
+    """Distinct lower-cased words, their spellings in the records (``n``) and whether it is mostly capitalised."""
     # Each spelling is kept once per record, so tokens are thinned before the shuffle.
     spelling = F.explode(F.array_distinct(alpha_words(F.col(text)))).alias("spelling")
+    lower = F.count_if(~F.col("spelling").rlike(_CAPITALISED))
     return (
         df.select(spelling)
         .groupBy(F.lower("spelling").alias("word"))
-        .agg(F.count("*").alias("n"), F.bool_and(F.col("spelling").rlike(_CAPITALISED)).alias("always_capitalised"))
+        .agg(F.count("*").alias("n"), (lower < LOWER_SHARE * F.count("*")).alias("capitalised"))
     )
 
 
@@ -58,7 +63,7 @@ def unknown_words(
     ``irregular`` adds base forms by table (form, lemma). ``min_length`` and
     ``artifacts`` (skip the informal words) can be switched off.
     """
-    candidates = vocab.filter(~F.col("always_capitalised") & (F.length("word") >= min_length))
+    candidates = vocab.filter(~F.col("capitalised") & (F.length("word") >= min_length))
     if artifacts:
         candidates = candidates.filter(~F.col("word").isin(ARTIFACTS))
     forms = candidates.select("word", F.explode(base_forms(F.col("word"))).alias("form"))

@@ -2,61 +2,53 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.schema import ID
+from gleanery.session import materialise
 
-# Up to this size a sample is a top-k: every task keeps its k best. Beyond it the
-# candidates are cut by a histogram of their sort keys.
-TOP_K = 100_000
 # Hex digits of the sort key that name a histogram bucket: 16^4 buckets.
 _BUCKET_DIGITS = 4
 
 
-def sample_key(seed: int | None) -> Column:
-    """Sort key by record id and seed; it does not depend on partitioning. No seed, no repeat."""
-    if seed is None:
-        return F.md5(F.rand().cast("string"))
+def sample_key(seed: int) -> Column:
+    """Sort key by record id and seed; it does not depend on partitioning."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(ID).cast("string")))
 
 
 def sample_ids(candidates: DataFrame, size: int = 1000, seed: int | None = 42) -> DataFrame:
-    """``size`` of the candidate ids without replacement, or all when there are fewer."""
-    keyed = candidates.select(ID, sample_key(seed).alias("key"))
-    if size <= TOP_K:
-        return keyed.orderBy("key", ID).limit(size).select(ID)
-    return _histogram_sample(keyed, size)
-
+    """``size`` of the candidate ids without replacement, or all when there are fewer.
 
-def _histogram_sample(keyed: DataFrame, size: int) -> DataFrame:
-    """The smallest ``size`` keys without a global sort.
-
-    Buckets wholly below the cut are taken as they are; only the one bucket the cut
-    falls into (1/65536 of the candidates) is ranked.
+    The sample is the ids with the smallest sort keys. Buckets of keys wholly below the
+    cut are taken as they are; only in the bucket the cut falls into (1/65536 of the candidates)
+    the best are picked, by a top-k that every task makes for itself. The histogram is
+    counted when this is called; one row of it comes to the driver. Without a seed one is drawn.
     """
-    keyed = keyed.withColumn("bucket", F.left("key", F.lit(_BUCKET_DIGITS)))
-    buckets = keyed.groupBy("bucket").agg(F.count("*").alias("n"))
+    seed = random.getrandbits(63) if seed is None else seed
+    keyed = candidates.select(ID, sample_key(seed).alias("key"))
+    bucket = F.left("key", F.lit(_BUCKET_DIGITS))
+    counts = keyed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    cut = _cut(counts, size)
+    if cut is None:
+        return keyed.select(ID)
+    name, room = cut
+    within = keyed.filter(bucket == name).orderBy("key", ID).limit(room)
+    return keyed.filter(bucket < name).union(within).select(ID)
+
+
+def _cut(counts: DataFrame, size: int) -> tuple[str, int] | None:
+    """The bucket in which the ``size``-th key lies and how many of its keys are wanted."""
     upto = F.sum("n").over(Window.orderBy("bucket"))  # at most 65536 rows
-    needed = (
-        buckets.withColumn("upto", upto)
-        .withColumn("room", size - (F.col("upto") - F.col("n")))
-        .filter(F.col("room") > 0)
-        .select("bucket", "room", (F.col("n") > F.col("room")).alias("cut"))
-    )
-    chosen = keyed.join(F.broadcast(needed), "bucket")
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("key", ID))
-    part = chosen.filter("cut").withColumn("rank", rank).filter(F.col("rank") <= F.col("room"))
-    return chosen.filter("not cut").select(ID).union(part.select(ID))
+    found = counts.withColumn("upto", upto).filter(F.col("upto") >= size).orderBy("bucket").limit(1).collect()
+    return (found[0]["bucket"], size - found[0]["upto"] + found[0]["n"]) if found else None
 
 
 def sample_records(df: DataFrame, candidates: DataFrame, size: int = 1000, seed: int | None = 42) -> DataFrame:
     """The records of a sample of the candidate ids.
 
-    Only ids are sorted; the records are fetched by one scan, without a shuffle
-    while the sample is a top-k.
+    The sampled ids are written once, so that Spark knows their number when it chooses the join.
     """
-    picked = sample_ids(candidates, size, seed)
-    if size <= TOP_K:
-        picked = F.broadcast(picked)
-    return df.join(picked, ID, "left_semi")
+    return df.join(materialise(sample_ids(candidates, size, seed)), ID, "left_semi")

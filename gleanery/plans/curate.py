@@ -8,13 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from gleanery.operators import load, profile, validate
-from gleanery.operators.detectors import Detector, EntityDetector, LanguageDetector, combined_text, number_detector
-from gleanery.operators.language import corpus_dictionary
+from gleanery.operators.detectors import Detector, EntityDetector, LanguageDetector, accent_detector, number_detector
 from gleanery.plans.clean import Cleaned, clean_and_validate, debug_if_low, sample_rejects
 from gleanery.plans.report import run_report, with_speed
 from gleanery.plans.subsets import Subset, build_subset
-from gleanery.schema import ID
-from gleanery.session import materialise
 from gleanery.sources.records import read_records
 from gleanery.sources.sinks import write_before_after, write_jsonl, write_report
 
@@ -26,15 +23,14 @@ class Run:
     report: DataFrame
 
 
-def default_detectors(records: DataFrame, dictionary: DataFrame | None = None, threshold: int = 3) -> list[Detector]:
+def default_detectors(dictionary: DataFrame | None = None, threshold: int = 3) -> list[Detector]:
     """Numbers, non-English words and rare proper nouns.
 
-    Without a dictionary, words that occur in several records make one up.
+    Without a dictionary only letters beyond ASCII tell non-English text; see
+    ``operators.language.corpus_dictionary`` for one made from English texts.
     """
-    if dictionary is None:
-        text = combined_text(records, ["question", "answer"]).alias("text")
-        dictionary = materialise(corpus_dictionary(records.select(ID, text)))
-    return [number_detector(), LanguageDetector(dictionary), EntityDetector(threshold)]
+    language = accent_detector() if dictionary is None else LanguageDetector(dictionary)
+    return [number_detector(), language, EntityDetector(threshold)]
 
 
 def curate(
@@ -46,8 +42,12 @@ def curate(
     size: int = 1000,
     seed: int | None = 42,
     threshold: int = 3,
+    detectors: list[Detector] | None = None,
 ) -> Run:
-    """Load, clean, draw the three subsets and write all reports below ``output``."""
+    """Load, clean, draw a subset per detector and write all reports below ``output``.
+
+    ``detectors`` replaces the three that ``dictionary`` and ``threshold`` set up.
+    """
     started = time.time()
     raw = read_records(spark, source, kind)
     records = load.normalise(raw)
@@ -70,11 +70,11 @@ def curate(
     write_report(cleaned.report, f"{output}/validation")
     write_jsonl(cleaned.records, f"{output}/cleaned")
 
-    detectors = default_detectors(cleaned.records, dictionary, threshold)
+    detectors = default_detectors(dictionary, threshold) if detectors is None else detectors
     subsets = {
         d.name: build_subset(cleaned.records, d, size, seed, f"{output}/subsets/{d.name}") for d in detectors
     }
-    freq = next((d.freq for d in detectors if isinstance(d, EntityDetector)), None)
+    freq = next((s.detector.freq for s in subsets.values() if hasattr(s.detector, "freq")), None)
     report = run_report(cleaned.flagged, list(subsets.values()), freq, threshold)
     report = with_speed(report, time.time() - started, len(subsets))
     write_report({"run": report}, f"{output}/report")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.operators.detectors import Detector, detection_stats, texts
+from gleanery.operators.detectors import Detector, detection_stats, fitted, shown_texts, texts
 from gleanery.operators.sample import sample_records
 from gleanery.schema import ID
 from gleanery.session import materialise
@@ -17,6 +17,7 @@ from gleanery.sources.sinks import export_subset
 @dataclass
 class Subset:
     name: str
+    detector: Detector  # fitted to the corpus
     hits: DataFrame
     records: DataFrame
     stats: DataFrame
@@ -28,18 +29,20 @@ def build_subset(
 ) -> Subset:
     """Sample ``size`` of the records a detector matches and write them to ``path``.
 
-    Ids of the matches are written once; statistics and sample come from them.
+    The detector is fitted to these records. Ids of the matches are written once; statistics and sample come from them.
     """
-    hits = materialise(detector.hits(texts(records, detector)))
+    corpus = texts(records, detector)
+    detector = fitted(detector, corpus)
+    hits = materialise(detector.hits(corpus))
     picked = materialise(sample_records(records, hits, size, seed))
     exported = export_subset(picked, path) if path else 0
-    return Subset(detector.name, hits, picked, detection_stats(records, hits, size), exported)
+    return Subset(detector.name, detector, hits, picked, detection_stats(records, hits, picked), exported)
 
 
-def sample_results(subset: Subset, detector: Detector, n: int = 2, detections: int = 3) -> DataFrame:
+def sample_results(subset: Subset, n: int = 2, detections: int = 3) -> DataFrame:
     """The first records of a subset with the first things the detector found in them."""
     few = materialise(subset.records.orderBy(ID).limit(n))
-    found = detector.details(texts(few, detector))
+    found = subset.detector.details(shown_texts(few, subset.detector))
     return few.join(found, ID, "left").select(
         ID,
         F.lit(subset.name).alias("subset"),

@@ -6,13 +6,13 @@ from gleanery.operators import entities as E
 from gleanery.operators.detectors import EntityDetector
 
 ROWS = [
-    ("Who was Shakespeare?", "Who is William Shakespeare?"),
-    ("What is the capital of Zarathia?", "What is Mythopolis?"),
-    ("Who founded Microsoft?", "Who is Bill Gates?"),
-    ("Where is Mount Everest?", "What is Nepal?"),
-    ("What did Nostradamus predict?", "What are future events?"),
-    ("Who painted the Mona Lisa?", "Who is Leonardo da Vinci?"),
-    ("What is Blorbnoxia famous for? what who where.", "What is nothing?"),
+    ("Where does Halvorsen keep the boats?", "In the bay where Ingrid Halvorsen lives."),
+    ("Which road leads to Quillmoor?", "The one from Brinlow."),
+    ("Where is Elmsey Harbour?", "It is near Tarnby."),
+    ("Which bridge fell near Rudge Mill?", "The old one."),
+    ("What did Oswin write down?", "What the miller said."),
+    ("Which song did Petra Lindqvist sing?", "The one about Vesterholm."),
+    ("What is Dabbleworth known for? what which where the.", "What nobody remembers."),
 ]
 
 
@@ -37,15 +37,15 @@ def test_lower_words(apply):
 
 def test_frequencies(table):
     found = {r.mention: r.dropped for r in E.entity_mentions(table).collect()}
-    assert found["What"] and found["Who"] and not found["Zarathia"]
+    assert found["What"] and found["Where"] and not found["Elmsey Harbour"]
     freq = {r.entity: r.freq for r in E.entity_frequencies(table).collect()}
-    assert freq["zarathia"] == 1 and freq["william shakespeare"] == 1 and "what" not in freq
+    assert freq["quillmoor"] == 1 and freq["ingrid halvorsen"] == 1 and "what" not in freq
     assert freq == {r.entity: r.freq for r in E.frequencies_of(E.entity_mentions(table)).collect()}
 
 
 def test_gazetteer(spark, table):
-    listed = spark.createDataFrame([("zarathia", "GPE"), ("microsoft", "DATE")], "entity string, label string")
-    assert [r.entity for r in E.entity_mentions(table, gazetteer=listed).collect()] == ["zarathia"]
+    listed = spark.createDataFrame([("quillmoor", "GPE"), ("halvorsen", "DATE"), ("quillmoor", "GPE")], "entity string, label string")
+    assert [r.entity for r in E.entity_mentions(table, gazetteer=listed).collect()] == ["quillmoor"]
 
 
 def counted(spark, rows):
@@ -53,18 +53,18 @@ def counted(spark, rows):
 
 
 def test_rare_details(spark):
-    freq = counted(spark, [("zarathia", 1), ("mythopolis", 1), ("shakespeare", 3), ("capital", 2)])
-    text = "What is the capital of Zarathia called Mythopolis? Zarathia"
+    freq = counted(spark, [("quillmoor", 1), ("brinlow", 1), ("oswin", 3), ("road", 2)])
+    text = "The road to Quillmoor leads by Brinlow. Quillmoor"
     df = spark.createDataFrame([(1, text), (2, "nothing"), (3, None)], "record_id long, text string")
     rows = {r.record_id: r for r in E.rare_entity_details(df, freq, threshold=2).collect()}
     found = {e.text: (e.frequency, e.positions) for e in rows[1].unusual_entities_found}
-    assert found == {"zarathia": (1, [23, 51]), "mythopolis": (1, [39]), "capital": (2, [12])}
+    assert found == {"quillmoor": (1, [12, 40]), "brinlow": (1, [31]), "road": (2, [4])}
     assert rows[1].has_unusual and rows[1].unusual_count == 3 and rows[1].text_length == len(text)
     assert not rows[2].has_unusual and rows[3].text_length == 0
 
 
 def test_two_phases_equal_the_nested_loop(spark, table):
-    more = [(100 + i, t) for i, t in enumerate(["renepaled", "xzarathiay", "bill gatesville", "mon alisa", "", None, "İstanbul Nepal"])]
+    more = [(100 + i, t) for i, t in enumerate(["untarnbyed", "xquillmoory", "rudge millers", "tar nby", "", None, "İstanbul Tarnby"])]
     df = table.union(spark.createDataFrame(more, "record_id long, text string"))
     freq = E.entity_frequencies(df)
     rare = [r.entity for r in E.rare_entities(freq).collect()]
@@ -93,11 +93,12 @@ def test_totals_and_bands(spark):
 
 def test_model_mentions(spark, table):
     def load():
-        return lambda text: [(w.strip("?"), "GPE" if w.startswith("Z") else "DATE") for w in text.split() if w[0] in "ZM"]
+        return lambda text: [(w.strip("?"), "GPE" if w.startswith("Q") else "DATE") for w in text.split() if w[0] in "QM"]
 
     out = E.model_mentions(table, load).collect()
-    assert [(r.record_id, r.entity) for r in out] == [(1, "zarathia")]
+    assert [(r.record_id, r.entity) for r in out] == [(1, "quillmoor")]
     detector = EntityDetector(threshold=2, mentions=lambda df: E.model_mentions(df, load))
     assert [r.record_id for r in detector.hits(table).collect()] == [1]
-    with pytest.raises(ValueError):
-        EntityDetector().details(table)
+    other = table.filter("record_id <> 1")
+    assert detector.hits(other).count() == 0  # every corpus is counted by itself
+    assert [r.record_id for r in detector.fit(table).hits(table.filter("record_id < 2")).collect()] == [1]

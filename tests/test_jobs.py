@@ -12,11 +12,11 @@ from gleanery.schema import RECORD_COLUMNS
 from gleanery.streaming.records import flagged_records, record_stream, write_stream
 
 DIGIT_ROWS = [
-    ("SCIENCE", "This element has atomic number 6", "What is Carbon?"),
-    ("HISTORY", "This war ended in 1945", "What is World War II?"),
-    ("SPORTS", "This team won the World Series in 2020", "Who are the Los Angeles Dodgers?"),
-    ("MOVIES", "This movie won Best Picture in 2019", "What is Parasite?"),
-    ("LITERATURE", 'This author wrote "1984"', "Who is George Orwell?"),
+    ("TOWN", "The bakery on Mill Lane has 3 ovens", "Most streets have Fewer"),
+    ("RIVERS", "The Tarn froze over in 1879", "The Miller Walked Across"),
+    ("SHIPS", "The ferry to Elmsey carries 40 people", "Captain Rudge Steers It"),
+    ("BOOKS", "A reader in 2011 found the missing page", "It Was in Brinlow"),
+    ("STAMPS", 'This one is marked "12 ore"', "Printed by Halvorsen"),
 ]
 
 
@@ -49,7 +49,6 @@ def test_samples(spark, monkeypatch):
     assert S.sample_ids(candidates, 20, seed=None).count() == 20
     assert S.sample_ids(candidates, 1000).count() == 500
     assert S.sample_ids(candidates.limit(0), 10).count() == 0
-    monkeypatch.setattr(S, "TOP_K", 10)
     monkeypatch.setattr(S, "_BUCKET_DIGITS", 1)
     for size in (20, 137, 500, 1000):
         assert ids(S.sample_ids(candidates, size)) == sorted(expected_sample(500, size, 42))
@@ -62,7 +61,7 @@ def test_digit_subset(spark, digits, tmp_path):
     assert (stats.total_records, stats.detected_records, stats.detection_rate, stats.subset_size) == (5, 5, 100.0, 3)
     assert stats.sampling_ratio == 0.6
     assert build_subset(digits, digit_detector(), size=2).records.count() == 2
-    shown = sample_results(subset, digit_detector()).collect()
+    shown = sample_results(subset).collect()
     assert len(shown) == 2 and all(r.detected for r in shown)
 
 
@@ -70,13 +69,13 @@ def test_no_match(digits, tmp_path):
     nothing = ColumnDetector("nothing", ["question"], lambda c: c.contains("zzz"))
     subset = build_subset(digits, nothing, path=str(tmp_path / "none"))
     assert subset.exported == 0 and not (tmp_path / "none").exists()
-    stats = detection_stats(digits.limit(0), subset.hits).first()
+    stats = detection_stats(digits.limit(0), subset.hits, subset.records).first()
     assert (stats.detection_rate, stats.subset_size, stats.sampling_ratio) == (0.0, 0, 0.0)
 
 
 def test_flag_columns(spark, digits):
     assert flag_column(digits, digit_detector()).filter("has_numbers_test").count() == 5
-    words = spark.createDataFrame([("this",), ("war",), ("what",), ("is",)], "word string")
+    words = spark.createDataFrame([("this",), ("the",), ("one",), ("is",)], "word string")
     flagged = flag_column(digits, LanguageDetector(words))
     assert flagged.count() == 5 and flagged.filter("has_non_english").count() >= 4
 
@@ -99,7 +98,7 @@ def test_whole_run(spark, source, tmp_path):
     out = str(tmp_path / "out")
     run = curate(spark, source, out, size=2)
     assert run.cleaned.records.count() == 6 and run.cleaned.rejects.count() == 3
-    assert {n: s.records.count() for n, s in run.subsets.items()} == {"numbers": 2, "non_english": 2, "proper_nouns": 2}
+    assert {n: s.records.count() for n, s in run.subsets.items()} == {"numbers": 2, "non_english": 1, "proper_nouns": 2}
     assert run.subsets["numbers"].hits.count() == 5
     report = {(r.section, r.metric): r.value for r in read_report(spark, f"{out}/report/run").collect()}
     assert report["generation", "original_records"] == 9 and report["cleaning", "removal_rate_percent"] == 33.33
@@ -113,6 +112,12 @@ def test_whole_run(spark, source, tmp_path):
     assert not (tmp_path / "out" / "validation" / "low_retention").exists()
 
 
+def test_whole_run_with_own_detectors(spark, source, tmp_path):
+    ferry = ColumnDetector("ferries", ["question"], lambda c: c.contains("ferry"))
+    run = curate(spark, source, str(tmp_path / "own"), detectors=[ferry])
+    assert list(run.subsets) == ["ferries"] and run.subsets["ferries"].records.count() == 1
+
+
 def test_check_run(spark, source, tmp_path):
     out = str(tmp_path / "check")
     cleaned = check(spark, source, out, limit=6)

@@ -4,16 +4,15 @@ from gleanery.functions import words as W
 from gleanery.operators import language as L
 from gleanery.operators.detectors import LanguageDetector
 
-ENGLISH = """what is the capital of this french word meaning hello color german means how do you say in english thank
-pleasure from others misfortune brown be other mean friend my interesting completely normal serve excellent a
-kiss run happy nice big try love able""".split()
+ENGLISH = """the sign on door says in english welcome menu lists with soup sailors call this knot nobody knows why my
+friend is interesting completely normal what it be a kiss run happy nice big try love able old name for good day""".split()
 
 ROWS = [
-    ("What is the capital of France?", "What is Paris?"),
-    ('This French word is "bonjour" meaning hello', "What is hello?"),
-    ("What color is café con leche?", "What is brown?"),
-    ("The German word Schadenfreude means what?", "What is pleasure from others misfortune?"),
-    ("How do you say gracias in English?", "What is thank you?"),
+    ("The sign on the door says Tarnby", "Welcome in English"),
+    ('Sailors call this knot "palstek" in Elmsey', "Nobody knows why"),
+    ("The menu lists crème with soup", "Welcome"),
+    ("The old name for Vesterholm", "Nobody knows"),
+    ("What is vielleicht in English", "Nobody knows"),
 ]
 
 
@@ -53,15 +52,15 @@ def test_base_forms_keep_short_stems(apply):
 
 def test_inline_rows(spark, dictionary):
     df = spark.createDataFrame([(i, f"{q} {a}") for i, (q, a) in enumerate(ROWS)], "record_id long, text string")
-    # France, Paris, Schadenfreude: never in lower case, so proper nouns.
+    # Tarnby, Elmsey, Vesterholm: never in lower case, so proper nouns.
     assert sorted(r.record_id for r in L.non_english_ids(df, L.lexicon(df, dictionary)).collect()) == [1, 2, 4]
     words = {(r.record_id, r.token): r for r in L.non_english_words(df, L.lexicon(df, dictionary)).collect()}
-    assert set(words) == {(1, "bonjour"), (2, "café"), (2, "con"), (2, "leche"), (4, "gracias")}
+    assert set(words) == {(1, "palstek"), (2, "crème"), (4, "vielleicht")}
     for (i, token), r in words.items():
         assert " ".join(ROWS[i])[r.start : r.end] == token
     details = {r.record_id: r for r in L.non_english_details(df, L.lexicon(df, dictionary)).collect()}
-    assert [w.token for w in details[2].non_english_words] == ["café", "con", "leche"]
-    assert details[2].non_ascii_chars == ["é"] and details[0].non_english_words == []
+    assert [w.token for w in details[2].non_english_words] == ["crème"]
+    assert details[2].non_ascii_chars == ["è"] and details[0].non_english_words == []
 
 
 def test_lower_case_elsewhere_makes_a_common_word(spark, dictionary):
@@ -71,11 +70,18 @@ def test_lower_case_elsewhere_makes_a_common_word(spark, dictionary):
 
 def test_verdicts_of_the_corpus_hold_for_a_part(spark, dictionary):
     df = spark.createDataFrame([(1, "Blorb is normal"), (2, "my blorb")], "record_id long, text string")
-    detector = LanguageDetector(dictionary)
-    with pytest.raises(ValueError):
-        detector.details(df)
+    detector = LanguageDetector(dictionary).fit(df)
     assert detector.hits(df).count() == 2
     assert detector.details(df.filter("record_id = 1")).first().detected == ["Blorb"]
+    assert LanguageDetector(dictionary).hits(df.filter("record_id = 1")).count() == 0
+
+
+def test_one_odd_spelling_changes_nothing(spark, dictionary):
+    rows = [(i, "Meet Quentin in english") for i in range(100)]
+    for more in ([], [(100, "quentin")]):
+        df = spark.createDataFrame(rows + more, "record_id long, text string")
+        known = dictionary.union(spark.createDataFrame([("meet",), ("in",)], "word string"))
+        assert L.non_english_ids(df, L.lexicon(df, known)).count() == 0
 
 
 def test_artifacts_and_irregular_forms(spark, dictionary):
@@ -86,10 +92,10 @@ def test_artifacts_and_irregular_forms(spark, dictionary):
 
 
 def test_phrases(spark, dictionary):
-    rows = ["bonjour my friend", "café con leche con", "Schadenfreude is interesting", "completely normal English", "ok xq"]
+    rows = ["palstek my friend", "crème oder brei oder", "Vesterholm is interesting", "completely normal English", "ok xq"]
     df = spark.createDataFrame(list(enumerate(rows)), "record_id long, text string")
     out = {r.record_id: r.non_english_words for r in L.phrase_check(df, dictionary).collect()}
-    assert out == {0: ["bonjour"], 1: ["café", "con", "leche", "con"], 2: [], 3: [], 4: ["ok", "xq"]}
+    assert out == {0: ["palstek"], 1: ["crème", "oder", "brei", "oder"], 2: [], 3: [], 4: ["ok", "xq"]}
 
 
 def test_corpus_dictionary(spark):

@@ -9,12 +9,12 @@ from gleanery.operators.detectors import combined_text, digit_detector, texts
 from gleanery.operators.numbers import number_details, number_mentions
 from pyspark.sql import functions as F
 
-ROWS = [
-    ("This element has atomic number 6", "What is Carbon?", "SCIENCE"),
-    ("This Roman emperor ruled from VI to IX", "Who is Augustus?", "HISTORY"),
-    ("How many sides does a triangle have?", "What is three?", "MATH"),
-    ("What color is the sky?", "What is blue?", "NATURE"),
-    ("This happened in the 1990s", "What is the Internet?", "TECHNOLOGY"),
+ROWS = [  # a digit, a Roman numeral, a written number, none, a decade
+    ("The bakery on Mill Lane opens at 7", "Before the post office", "TOWN"),
+    ("Chapter XIV tells of the flood", "The old bridge fell", "BOOKS"),
+    ("The ferry has twelve seats", "Most of them are wet", "TRAVEL"),
+    ("My sister prefers green tea", "She takes no sugar", "KITCHEN"),
+    ("Nobody wore hats like these after the 1960s", "They were too tall", "FASHION"),
 ]
 
 
