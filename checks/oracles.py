@@ -570,6 +570,17 @@ ORACLES["detected_samples"] = SUBSETS + " union all ".join(
     for n, f in zip(_NAMES, (_NUMBERS_FOUND, _WORDS_FOUND, _NAMES_FOUND), strict=True)
 )
 
+ORACLES |= {
+    "curate_cleaned": ORACLES["accepted"],
+    "curate_subset": f"select * exclude (record_id) from ({ORACLES['sample_numbers']})",
+    "curate_rejects": f"select record_id, stage, reason, errors from ({ORACLES['rejects']})",
+    "check_before_after": over_records("""select n.record_id as record_index, coalesce(n.round, 'None') as original_round,
+      case when c.record_id is null then 'REMOVED' else coalesce(c.round, 'None') end as cleaned_round
+      from (select * from norm order by record_id limit 10) n left join clean c using (record_id)"""),
+    "parquet_records": over_records("select * from raw"),
+    "rejects_without_value": over_records("select record_id, 'metadata' as stage, 'N/A' as shown from norm"),
+}
+
 for _name, _columns in DOUBLES.items():
     _rounding = ", ".join(f"round({c}, 6) as {c}" for c in _columns)
     ORACLES[_name] = f"select * replace ({_rounding}) from ({ORACLES[_name]})"

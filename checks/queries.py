@@ -20,6 +20,7 @@ from gleanery.operators import language as L
 from gleanery.operators import load, profile, sample, validate
 from gleanery.operators.numbers import number_details, number_mentions
 from gleanery.plans.clean import Cleaned
+from gleanery.plans.curate import check, curate
 from gleanery.plans.report import run_report
 from gleanery.plans.subsets import Subset, build_subset, sample_results
 from gleanery.schema import ID, RECORD_COLUMNS
@@ -277,6 +278,64 @@ def detected_samples(spark, sf):
     return out.withColumn("detected", _joined("detected"))
 
 
+def _scratch(spark) -> str:
+    return f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def _raw_lines(spark, sf) -> str:
+    """The raw records as JSON lines with late and partial columns but all keys."""
+    path = _scratch(spark)
+    raw_records(spark, sf).orderBy(F.desc(ID)).write.json(path)
+    return path
+
+
+def curated(part):
+    """What the whole job writes below its output folder, read back."""
+
+    def run(spark, sf):
+        out = _scratch(spark)
+        curate(spark, _raw_lines(spark, sf), out, "jsonl", size=SAMPLE_SIZE, detectors=[D.number_detector()])
+        return part(spark, out)
+
+    return run
+
+
+def _curated_records(spark, out):
+    return read_records(spark, f"{out}/cleaned", "jsonl").select(ID, *RECORD_COLUMNS)
+
+
+def _curated_subset(spark, out):
+    return spark.read.json(f"{out}/subsets/numbers").select(*RECORD_COLUMNS)
+
+
+def _curated_rejects(spark, out):
+    rows = spark.read.json(f"{out}/validation/removed_records")
+    return rows.select(ID, "stage", "reason", _joined("errors").alias("errors"))
+
+
+def checked_table(spark, sf):
+    """The comparison that the check run writes as CSV, read back."""
+    out = _scratch(spark)
+    check(spark, _raw_lines(spark, sf), out, SAMPLE_SIZE, "jsonl")
+    rows = spark.read.csv(f"{out}/before_after", header=True, multiLine=True)
+    return rows.select(F.col("record_index").cast("long"), "original_round", "cleaned_round")
+
+
+def parquet_records(spark, sf):
+    """Raw records written as a table with keys and read back."""
+    path = _scratch(spark)
+    raw_records(spark, sf).write.parquet(path)
+    return read_records(spark, path, "parquet").select(ID, *RECORD_COLUMNS)
+
+
+def rejects_without(column):
+    def run(spark, sf):
+        out = validate.rejects(validate.flag(records(spark, sf).drop(column)))
+        return out.select(ID, "stage", F.col("sample")[column].alias("shown"))
+
+    return run
+
+
 def flag_column(spark, sf):
     clean = cleaned(spark, sf)
     return D.flag_column(clean, D.number_detector()).select(ID, "has_numbers")
@@ -400,6 +459,13 @@ QUERIES = {
     "detection_stats": detection_stats,
     "run_report": run_figures,
     "detected_samples": detected_samples,
+    # jobs and files
+    "curate_cleaned": curated(_curated_records),
+    "curate_subset": curated(_curated_subset),
+    "curate_rejects": curated(_curated_rejects),
+    "check_before_after": checked_table,
+    "parquet_records": parquet_records,
+    "rejects_without_value": rejects_without("value"),
 }
 
 for _name in DOUBLES:

@@ -167,7 +167,7 @@ def rare_entity_ids(df: DataFrame, freq: DataFrame, threshold: int = THRESHOLD,
     Most records that qualify mention a rare entity themselves, and an equi-join
     tells; only the others are searched for rare entities within their words. Which
     mentions the first step looks at changes the speed, never the result. ``freq``
-    should be a written table.
+    should be a written table. All steps but the last run when this is called.
     """
     rare = rare_entities(freq, threshold).select("entity")
     named = df.select(ID, F.explode(_own_mentions(F.col(text))).alias("entity"))
@@ -175,8 +175,7 @@ def rare_entity_ids(df: DataFrame, freq: DataFrame, threshold: int = THRESHOLD,
     hot = hot_keys(materialise(named.groupBy("entity").agg(F.count("*").alias("n"))), "entity")
     own = materialise(salted_join(named, rare, "entity", hot, "left_semi").select(ID).distinct())
     rest = materialise(_lowered(df, text).join(own, ID, "left_anti"))
-    inside = contained_strings(rest, rare.select(F.col("entity").alias("string")))
-    return own.union(inside.select(ID).distinct())
+    return own.union(contained_strings(rest, rare.select(F.col("entity").alias("string")), ids_only=True))
 
 
 def rare_entity_details(df: DataFrame, freq: DataFrame, threshold: int = THRESHOLD, text: str = "text") -> DataFrame:

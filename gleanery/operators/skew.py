@@ -7,31 +7,27 @@ from pyspark.sql import functions as F
 
 from gleanery.schema import ID
 
-# A key is hot when it holds more than 1/HOT_SHARE of the rows. There are fewer
-# than HOT_SHARE such keys, whatever the size of the data.
-HOT_SHARE = 1000
-
-# Tasks a hot key is spread over. Even a key with a third of all rows then weighs
-# no more per task than a few ordinary ones.
-PARTS = 128
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def hot_keys(counts: DataFrame, key: str, n: str = "n") -> list:
     """The hot keys of a table with one row per key and its row count.
 
-    Fewer than HOT_SHARE values come back to the driver. ``counts`` is read twice,
-    so it should be a written table.
+    A key is hot when it holds more rows than an average shuffle partition, so at most as many
+    values as there are partitions come back to the driver. ``counts`` is read twice, so it should be a written table.
     """
     total = counts.agg(F.sum(n)).first()[0]
     if not total:
         return []
-    return [r[0] for r in counts.filter(F.col(n) * HOT_SHARE > total).select(key).collect()]
+    return [r[0] for r in counts.filter(F.col(n) * _partitions(counts) > total).select(key).collect()]
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, hot: list, how: str = "inner") -> DataFrame:
     """Join on ``key``, splitting the ``hot`` keys of ``left`` over many tasks.
 
-    Left rows of a hot key are spread by their record id, and the few matching
+    Left rows of a hot key are spread by their record id over as many parts as there are shuffle
+    partitions, so that even a key with a third of all rows weighs no more than others, and the few matching
     right rows are repeated once per part; all other rows are joined as usual. The
     rows are those of the plain join. ``how`` is inner, left or left_semi. Both sides
     keep their size estimates, so Spark still broadcasts a right side that it
@@ -39,9 +35,9 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, hot: list, how: str
     """
     if not hot:
         return left.join(right, key, how)
-    is_hot = F.col(key).isin(hot)
-    spread = F.when(is_hot, F.pmod(F.xxhash64(ID), F.lit(PARTS)).cast("int")).otherwise(F.lit(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    is_hot, parts = F.col(key).isin(hot), _partitions(left)
+    spread = F.when(is_hot, F.pmod(F.xxhash64(ID), F.lit(parts)).cast("int")).otherwise(F.lit(0))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
     left = left.withColumn("part", spread)
     right = right.withColumn("part", F.explode(copies))
     return left.join(right, [key, "part"], how).drop("part")

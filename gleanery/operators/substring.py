@@ -94,13 +94,16 @@ def _resolve(windows: DataFrame, texts: DataFrame, strings: DataFrame, longest:
     return materialise(whole.union(_completed(found, texts, strings.filter(is_long), key)))
 
 
-def contained_strings(texts: DataFrame, strings: DataFrame, window: int = WINDOW) -> DataFrame:
+def contained_strings(texts: DataFrame, strings: DataFrame, window: int = WINDOW, ids_only: bool = False) -> DataFrame:
     """Distinct (record_id, string) where the text of the record contains the string.
 
+    With ``ids_only`` the distinct record ids alone: a record that holds one of the words
+    is settled and not searched for phrases.
+
     ``texts`` holds (record_id, text), ``strings`` holds distinct non-empty strings
     without blanks at their ends. Both sides are compared as they are: lower-case
     them first for a caseless match. Both are read several times, so neither should
-    be costly to compute.
+    be costly to compute. The steps run when this is called; what ``explain`` shows of the result is the last one.
     """
     texts = texts.select(ID, "text")
     first = F.substring_index("string", " ", 1)
@@ -127,7 +130,8 @@ def contained_strings(texts: DataFrame, strings: DataFrame, window: int = WINDOW
     tokens = F.explode(F.split("text", " ", -1)).alias("token")
     vocab = materialise(texts.select(tokens).filter(F.col("token") != "").groupBy("token").agg(F.count("*").alias("n")))
     hot = hot_keys(vocab, "token")
-    hits = texts.select(ID, F.lit("").alias("string")).limit(0)
+    found = [ID] if ids_only else [ID, "string"]
+    hits = texts.select(ID, F.lit("").alias("string")).limit(0).select(found)
 
     if False in sizes:
         # Step 1: single words inside distinct tokens, then back to the records.
@@ -139,7 +143,12 @@ def contained_strings(texts: DataFrame, strings: DataFrame, window: int = WINDOW
         size = sizes[False]
         inside = _resolve(windows, bodies, strings.filter("not phrase"), size["head"], size["any_long"], "token")
         per_record = texts.select(ID, F.explode(F.array_distinct(F.split("text", " ", -1))).alias("token"))
-        hits = hits.union(salted_join(per_record, inside, "token", hot).select(ID, "string"))
+        if ids_only:
+            settled = salted_join(per_record, inside.select("token").distinct(), "token", hot, "left_semi")
+            hits = materialise(settled.select(ID).distinct())
+            texts = materialise(texts.join(hits, ID, "left_anti"))
+        else:
+            hits = hits.union(salted_join(per_record, inside, "token", hot).select(found))
 
     if True in sizes:
         # Step 2: the suffixes of distinct tokens that are first words of phrases.
@@ -161,6 +170,6 @@ def contained_strings(texts: DataFrame, strings: DataFrame, window: int = WINDOW
         windows = salted_join(places, ends, "token", hot).select(
             ID, F.concat("first", "after").alias("window"), (F.length("first") + 2).alias("least")
         )
-        hits = hits.union(_resolve(windows, texts, phrases, size["head"], size["any_long"], ID))
+        hits = hits.union(_resolve(windows, texts, phrases, size["head"], size["any_long"], ID).select(found))
 
     return hits.distinct()

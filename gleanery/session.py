@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -32,12 +33,12 @@ def _local_folder() -> str:
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may
-    fall back to a temporary folder, because there every task sees the same disk.
+    The cluster names it in ``spark.checkpoint.dir``. Only a session inside this one process may
+    go without, as in tests: there every task sees the same disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = _local_folder()
     return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
