@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import let
+from gleanery.llm.common import bind, let
 from gleanery.session import materialise
 
 FIELD = "<*>"
@@ -21,15 +21,22 @@ LEAST_WORDS = 6
 LEAST_DOCS = 3
 LEAST_ALIKE = 0.6
 
+# Tasks that the lines of one template are dealt to when its documents are looked up.
+PARTS = 32
+
 _GAP = r"\x20\x09\x0B-\x0D"
 # A word that holds a digit; matches begin at word starts only, so the search is linear.
 _VARIABLE = rf"(?<![^\n{_GAP}])[^\n{_GAP}0-9]*+[0-9][^\n{_GAP}]*+"
 
 
-def _masked_lines(text: Column) -> Column:
-    """The lines of a text with single spaces and without variable words, in place."""
-    masked = F.regexp_replace(F.coalesce(text, F.lit("")), _VARIABLE, FIELD)
-    return F.split(F.regexp_replace(masked, rf"[{_GAP}]+", " "), "\n")
+# White space that is not a single blank already: most lines have none.
+_WIDE = rf" [{_GAP}]+|[{_GAP}&&[^ ]][{_GAP}]*+"
+
+
+def _masked(line: Column) -> Column:
+    """A line with single spaces and without variable words; most lines are neither searched nor copied."""
+    spaced = F.trim(F.regexp_replace(line, _WIDE, " "))
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(spaced, _VARIABLE, FIELD)).otherwise(spaced)
 
 
 def _keys(line: Column) -> dict[str, Column]:
@@ -46,16 +53,18 @@ def _keys(line: Column) -> dict[str, Column]:
 def _lines(docs: DataFrame) -> DataFrame:
     """(h, g, doc_id, line_no, line): lines of enough words; h and g stand for id and text of the document."""
     lines = docs.select(
-        F.xxhash64("doc_id", "text").alias("h"), F.hash("text", "doc_id").alias("g"), "doc_id", F.posexplode(_masked_lines(F.col("text"))).alias("line_no", "line")
-    ).withColumn("line", F.trim("line"))
-    return lines.select("*", *[c.alias(k) for k, c in _keys(F.col("line")).items()]).filter(F.col("n") >= LEAST_WORDS)
+        F.xxhash64("doc_id", "text").alias("h"), F.hash("text", "doc_id").alias("g"), "doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "raw")
+    )
+    masked = bind(lines, line=_masked(F.col("raw"))).drop("raw")
+    return bind(masked, **_keys(F.col("line"))).filter(F.col("n") >= LEAST_WORDS)
 
 
 def _general_templates(docs: DataFrame, table: DataFrame) -> DataFrame:
     """(t, u, template): the lines that belong to the template of their leaf."""
     forms = table.groupBy("leaf", "t", "u").agg(F.count("*").alias("n"))
     leaves = forms.groupBy("leaf").agg(F.sum("n").alias("n"), F.count("*").alias("forms"))
-    wide = leaves.filter((F.col("n") >= LEAST_DOCS) & (F.col("forms") > 1)).select("leaf", "forms")
+    # written, so that Spark knows its size when it chooses the join
+    wide = materialise(leaves.filter((F.col("n") >= LEAST_DOCS) & (F.col("forms") > 1)).select("leaf", "forms"))
     lines = materialise(_lines(docs).select("leaf", "line").join(wide, "leaf").distinct())
     at = lines.select("leaf", "forms", F.posexplode(F.split("line", " ")).alias("place", "word"))
     common = at.groupBy("leaf", "forms", "place", "word").agg(F.count("*").alias("n")).filter(F.col("n") * 2 > F.col("forms"))
@@ -88,7 +97,10 @@ def recurring_lines(docs: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("documents"), F.min("document").alias("first"))
         .filter(F.col("documents") >= LEAST_DOCS)
     )
-    gone = named.join(recurring, "template").filter(F.col("document") != F.col("first"))
+    # lines of one template are dealt to several tasks by their document, as copies of its only row on the right
+    parts = recurring.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    dealt = named.withColumn("part", F.pmod(F.xxhash64("document"), F.lit(PARTS)).cast("int"))
+    gone = dealt.join(parts, ["template", "part"]).filter(F.col("document") != F.col("first"))
     return gone.groupBy("h", "g").agg(F.collect_set("line_no").alias("gone"))
 
 
