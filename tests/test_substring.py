@@ -61,7 +61,7 @@ def test_ids_only(spark):
     texts = ["abc de", "xbcx", "de fgh", "e fg", "", "de", None]
     df = spark.createDataFrame(list(enumerate(texts)), "record_id long, text string")
     strings = spark.createDataFrame([("bc",), ("e fg",), ("zz",)], "string string")
-    assert sorted(r.record_id for r in S.contained_strings(df, strings, ids_only=True).collect()) == [0, 1, 2, 3]
+    assert sorted(r.record_id for r in contained_strings(df, strings, ids_only=True).collect()) == [0, 1, 2, 3]
 
 
 def test_salted_join_equals_the_plain_join(spark):
