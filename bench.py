@@ -28,6 +28,7 @@ HEADLINE = [
     "rare_detect",
     "sample_numbers",
     "run_report",
+    "curate_cleaned",
 ]
 
 

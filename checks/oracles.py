@@ -583,6 +583,11 @@ ORACLES |= {
       case when c.record_id is null then 'REMOVED' else coalesce(c.round, 'None') end as cleaned_round
       from (select * from norm order by record_id limit 10) n left join clean c using (record_id)"""),
     "parquet_records": over_records("select * from raw"),
+    "report_fields": " union all ".join(
+        f"""select '{t}' as section, field || '.' || metric as metric, value from (
+          unpivot (select field, try_cast(columns(* exclude field) as double) from ({ORACLES[t]})) on columns(* exclude field) into name metric value value)"""
+        for t in ("field_stats", "cleaning_summary")
+    ),
     "rejects_without_value": over_records("select record_id, 'metadata' as stage, 'N/A' as shown from norm"),
 }
 

@@ -21,7 +21,7 @@ from gleanery.operators import load, profile, sample, validate
 from gleanery.operators.numbers import number_details, number_mentions
 from gleanery.plans.clean import Cleaned
 from gleanery.plans.curate import check, curate
-from gleanery.plans.report import run_report
+from gleanery.plans.report import field_figures, run_report
 from gleanery.plans.subsets import Subset, build_subset, sample_results
 from gleanery.schema import ID, RECORD_COLUMNS
 from gleanery.session import materialise, scratch_dir
@@ -372,6 +372,7 @@ DOUBLES = {
     "frequency_bands": ["percentage"],
     "detection_stats": ["detection_rate", "sampling_ratio"],
     "run_report": ["value"],
+    "report_fields": ["value"],
 }
 
 QUERIES = {
@@ -465,6 +466,7 @@ QUERIES = {
     "curate_rejects": curated(_curated_rejects),
     "check_before_after": checked_table,
     "parquet_records": parquet_records,
+    "report_fields": lambda spark, sf: field_figures(Cleaned(flagged(spark, sf)).report),
     "rejects_without_value": rejects_without("value"),
 }
 

@@ -2,36 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import let
 
 
-# Sums run in groups of this size, so that appending to a growing array does not get
-# quadratic on long texts.
+# Sums run in groups of this size: appending to a growing array is quadratic, and so is only
+# done with a group's values and with the totals of the groups.
 _GROUP = 64
 
 
-def running_sum(values: Column) -> Column:
-    """Running totals of an ``array<int>``."""
+def _appended(values: Column, added: Callable[[Column], Column], inclusive: bool) -> Column:
+    """Running totals of ``added`` over an array, with or without the value itself."""
     zero = F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        total = acc["total"] + x
-        return F.struct(total.alias("total"), F.concat(acc["out"], F.array(total)).alias("out"))
+        total = acc["total"] + added(x)
+        kept = total if inclusive else acc["total"]
+        return F.struct(total.alias("total"), F.concat(acc["out"], F.array(kept)).alias("out"))
 
-    def join(acc: Column, group: Column) -> Column:
-        shifted = F.transform(group["out"], lambda x: x + acc["total"])
-        return F.struct((acc["total"] + group["total"]).alias("total"), F.concat(acc["out"], shifted).alias("out"))
+    return F.aggregate(values, zero, step, lambda acc: acc["out"])
+
+
+def running_sum(values: Column) -> Column:
+    """Running totals of an ``array<int>``."""
 
     def run(xs: Column) -> Column:
-        n = F.size(xs)
-        grouped = F.transform(
-            F.sequence(F.lit(1), n, F.lit(_GROUP)), lambda i: F.aggregate(F.slice(xs, i, F.lit(_GROUP)), zero, step)
-        )
-        plain = F.aggregate(xs, zero, step, lambda acc: acc["out"])
-        return F.when(n > _GROUP, F.aggregate(grouped, zero, join, lambda acc: acc["out"])).otherwise(plain)
+        starts = F.sequence(F.lit(1), F.greatest(F.size(xs), F.lit(1)), F.lit(_GROUP))
+        groups = F.transform(starts, lambda i: _appended(F.slice(xs, i, F.lit(_GROUP)), lambda x: x, True))
+        return let(groups, joined)
+
+    def joined(groups: Column) -> Column:
+        before = _appended(groups, lambda g: F.coalesce(F.try_element_at(g, F.lit(-1)), F.lit(0)), False)
+        return F.flatten(F.zip_with(groups, before, lambda g, b: F.transform(g, lambda x: x + b)))
 
     return let(values, run)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gleanery.operators import load, profile, validate
 from gleanery.operators.detectors import Detector, EntityDetector, LanguageDetector, accent_detector, number_detector
 from gleanery.plans.clean import Cleaned, clean_and_validate, debug_if_low, sample_rejects
-from gleanery.plans.report import run_report, with_speed
+from gleanery.plans.report import field_figures, run_report, subset_times, with_speed
 from gleanery.plans.subsets import Subset, build_subset
 from gleanery.sources.records import read_records
 from gleanery.sources.sinks import write_before_after, write_jsonl, write_report
@@ -71,11 +71,14 @@ def curate(
     write_jsonl(cleaned.records, f"{output}/cleaned")
 
     detectors = default_detectors(dictionary, threshold) if detectors is None else detectors
-    subsets = {
-        d.name: build_subset(cleaned.records, d, size, seed, f"{output}/subsets/{d.name}") for d in detectors
-    }
+    subsets, seconds = {}, {}
+    for d in detectors:
+        begun = time.time()
+        subsets[d.name] = build_subset(cleaned.records, d, size, seed, f"{output}/subsets/{d.name}")
+        seconds[d.name] = time.time() - begun
     freq = next((s.detector.freq for s in subsets.values() if hasattr(s.detector, "freq")), None)
     report = run_report(cleaned.flagged, list(subsets.values()), freq, threshold)
+    report = report.unionByName(field_figures(cleaned.report)).unionByName(subset_times(spark, seconds))
     report = with_speed(report, time.time() - started, len(subsets))
     write_report({"run": report}, f"{output}/report")
     return Run(cleaned, subsets, report)

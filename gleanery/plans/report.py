@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.operators import entities, profile
@@ -56,6 +56,26 @@ def run_report(
     return reduce(DataFrame.unionByName, parts)
 
 
+def field_figures(cleaned: dict[str, DataFrame]) -> DataFrame:
+    """The field tables of a cleaning report as rows (section, metric, value); a metric names its field first."""
+    parts = []
+    for section in ("field_stats", "cleaning_summary"):
+        df = cleaned[section]
+        pairs = [
+            F.struct(F.concat_ws(".", "field", F.lit(c)).alias("metric"), F.col(c).cast("double").alias("value"))
+            for c, kind in df.dtypes
+            if kind != "string"
+        ]
+        parts.append(df.select(F.lit(section).alias("section"), F.inline(F.array(*pairs))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def subset_times(spark: SparkSession, seconds: dict[str, float]) -> DataFrame:
+    """The run time of each subset."""
+    rows = [(name, "processing_time", round(s, 2)) for name, s in seconds.items()]
+    return spark.createDataFrame(rows, "section string, metric string, value double")
+
+
 def with_speed(report: DataFrame, seconds: float, subsets: int = 3) -> DataFrame:
     """Add the run time and the records per second over all detectors."""
     cleaned = report.filter((F.col("section") == "generation") & (F.col("metric") == "cleaned_records"))

@@ -103,7 +103,8 @@ def test_whole_run(spark, source, tmp_path):
     report = {(r.section, r.metric): r.value for r in read_report(spark, f"{out}/report/run").collect()}
     assert report["generation", "original_records"] == 9 and report["cleaning", "removal_rate_percent"] == 33.33
     assert report["numbers", "candidates_found"] == 5 and report["proper_nouns", "total_entities_analyzed"] > 5
-    assert report["performance", "total_processing_time"] > 0
+    assert report["performance", "total_processing_time"] > 0 and report["numbers", "processing_time"] > 0
+    assert report["field_stats", "value.error_records"] == 0 and report["cleaning_summary", "question.empty_after_cleaning"] >= 1
     clean = read_report(spark, f"{out}/cleaned").filter("category = 'ART'").first()
     assert clean.question == "[BLANK] & café"
     assert read_report(spark, f"{out}/subsets/numbers").columns == sorted(RECORD_COLUMNS)
