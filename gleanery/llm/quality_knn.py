@@ -111,8 +111,8 @@ class Model:
 
     def __init__(self, rows: np.ndarray, labels: np.ndarray, seed: int = 1):
         self.labels = labels.astype(np.float32)
-        used = (rows > 0).sum(axis=0)
-        idf = np.log((1 + len(rows)) / (1 + used)) + 0.1
+        used = np.count_nonzero(rows, axis=0)
+        idf = (np.log((1 + len(rows)) / (1 + used)) + 0.1).astype(np.float32)
         scaled = rows * idf
         rank = min(DIMENSIONS, *rows.shape)
         # randomised subspace iteration
@@ -120,6 +120,7 @@ class Model:
         for _ in range(4):
             basis = np.linalg.qr(scaled.T @ (scaled @ basis))[0]
         _, _, right = np.linalg.svd(scaled @ basis, full_matrices=False)
+        del scaled
         self.projection = (idf[:, None] * (basis @ right[:rank].T)).astype(np.float32)
         self.vectors = self.project(rows)
 
@@ -162,11 +163,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     found = sample.mapInArrow(_term_batches, "label int, places binary, weights binary").collect()
     if not found:
         return None
+    found.sort(key=lambda r: (r.label, r.places, r.weights))  # not as they arrived
     rows = np.zeros((len(found), TERMS), np.float32)
     for row, r in zip(rows, found, strict=True):
         row[np.frombuffer(r.places, "<u2")] = np.frombuffer(r.weights, "<f4")
-    order = np.lexsort((rows @ np.arange(TERMS, dtype=np.float32), [r.label for r in found]))  # not as they arrived
-    return Model(rows[order], np.array([r.label for r in found])[order])
+    return Model(rows, np.array([r.label for r in found]))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
