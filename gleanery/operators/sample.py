@@ -28,7 +28,7 @@ def sample_ids(candidates: DataFrame, size: int = 1000, seed: int | None = 42) -
     counted when this is called; one row of it comes to the driver. Without a seed one is drawn.
     """
     seed = random.getrandbits(63) if seed is None else seed
-    keyed = candidates.select(ID, sample_key(seed).alias("key"))
+    keyed = materialise(candidates.select(ID, sample_key(seed).alias("key")))  # read twice
     bucket = F.left("key", F.lit(_BUCKET_DIGITS))
     counts = keyed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
     cut = _cut(counts, size)
