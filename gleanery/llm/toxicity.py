@@ -1,6 +1,6 @@
 """Toxicity of documents by a recurrent network over overlapping windows.
 
-A word enters the network as its own log odds in the training texts, if they have it often
+A word, or each piece of a long one, enters the network as its own log odds in the training texts, if they have it often
 enough, beside the mean vector of its character trigrams. The score of a text follows from its most toxic window,
 so a single bad passage in a long text counts. Training knows labels of documents only:
 in every round the windows that score highest in each document carry its label. A part
@@ -10,6 +10,7 @@ windows, into a probability.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -30,6 +31,7 @@ MOST_CHARS = 20_000
 
 WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_SIZE, CHAR_SIZE, TRIGRAMS = 10, 2, 8, 8192
+MOST_BYTES = 64  # of a word; a longer one counts as several
 LEAST_DOCS = 3
 MOST_WORDS = 50_000
 ROUNDS, BATCH, RATE = 10, 128, 0.01
@@ -40,6 +42,34 @@ CALIBRATED = 5  # every so many-th training document
 _SLICE_BYTES = 1 << 20
 _WINDOWS_AT_ONCE = 8192
 
+# Punctuation and blanks beyond ASCII: Latin-1, general, CJK, and full-width forms of those of ASCII.
+_STOPS = re.compile(rb"(?:\xC2[\xA0-\xBF]|\xE2[\x80\x81][\x80-\xBF]|\xE3\x80[\x80-\xBF]|\xEF\xBC[\x81-\x8F\x9A-\xA0])+")
+
+
+def pieces_of(text: str | None) -> list[bytes]:
+    """The words of a text, long ones as consecutive pieces of at most ``MOST_BYTES`` bytes and of whole characters.
+
+    All bytes beyond ASCII are word characters, so that sentences in scripts without blanks are single words.
+    A long word is cut behind its punctuation and blanks first: the same passage gives mostly the same pieces anywhere.
+    """
+    pieces = []
+    for w in words_of(text):
+        if len(w) <= MOST_BYTES:
+            pieces.append(w)
+            continue
+        at = 0
+        for stop in [*(m.end() for m in _STOPS.finditer(w)), len(w)]:
+            while stop - at > MOST_BYTES:
+                end = at + MOST_BYTES
+                while end > at + MOST_BYTES - 4 and w[end] & 0xC0 == 0x80:
+                    end -= 1
+                pieces.append(w[at:end])
+                at = end
+            if stop > at:
+                pieces.append(w[at:stop])
+            at = stop
+    return pieces
+
 
 def _trigrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed trigrams of words with their edges, one word after another, and how many each has; of longer words up to byte 64."""
@@ -77,7 +107,7 @@ class Model:
 
     def __init__(self, texts: list[str], labels: np.ndarray, rng: np.random.Generator):
         self.vocabulary: dict[bytes, int] = {}  # row 0 stands for all other words
-        split = [set(words_of(t)) for t in texts]
+        split = [set(pieces_of(t)) for t in texts]
         count = Counter(w for words in split for w in words)
         known = sorted((w for w, n in count.items() if n >= LEAST_DOCS), key=lambda w: (-count[w], w))[:MOST_WORDS]
         self.vocabulary = {w: i + 1 for i, w in enumerate(known)}
@@ -144,7 +174,7 @@ def _sigmoid(logits: np.ndarray) -> np.ndarray:
 def _numbered(texts: list[str | None]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
     """Numbers of the different words, from 1; the text of each window, and the windows. A text without words has none."""
     number: dict[bytes, int] = {}
-    ids = [np.array([number.setdefault(w, len(number) + 1) for w in words_of(t)], np.int64) for t in texts]
+    ids = [np.array([number.setdefault(w, len(number) + 1) for w in pieces_of(t)], np.int64) for t in texts]
     windows = [windows_of(i) if len(i) else np.zeros((0, WINDOW), np.int64) for i in ids]
     return number, np.repeat(np.arange(len(texts)), [len(w) for w in windows]), np.concatenate(windows)
 

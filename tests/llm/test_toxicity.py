@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gleanery.llm import gru, toxicity
 
@@ -52,6 +53,15 @@ def test_trigrams_are_those_of_each_word():
     assert flat.tolist() == [t for x in alone for t in x]
 
 
+def test_long_words_are_read_whole():
+    words = ["a", "z" * 64, "z" * 200, "漢字" * 300, "é" * 33 + "x", "🙂" * 50, "漢字、" * 40, "a\u00a0" * 50]
+    pieces = toxicity.pieces_of(" ".join(words))
+    assert b"".join(pieces) == "".join(words).encode() and max(map(len, pieces)) <= toxicity.MOST_BYTES
+    assert [p for p in pieces if p.decode()] == pieces  # whole characters
+    number, _, windows = toxicity._numbered(["z" * 200])
+    assert toxicity._trigrams(list(number))[1].sum() == 64 + 8 and (windows > 0).sum() == 4
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
     r = random.Random(6)
@@ -82,6 +92,16 @@ def test_held_out_rows(spark, tables):
     assert (scores >= 0.3).all()
 
 
+def test_a_bad_passage_late_in_a_sentence_without_blanks(spark, tables):
+    docs, labels = tables
+    clean = "これはとても静かな朝の話です。" * 30
+    bad = "悪党ならず者卑怯者恥知らず嘘つき。"
+    marked = docs.withColumn("text", F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit(clean + bad), "text")).otherwise(F.concat(F.lit(clean), "text")))
+    model = toxicity.fit(marked.withColumn("text", F.regexp_replace("text", "wretch|villain|scoundrel|knave", "word")), labels)
+    scores = model.scores([clean, clean + bad, clean * 2 + bad + clean])
+    assert scores[0] < 0.3 <= scores[1] and scores[2] >= 0.3
+
+
 def test_defined_cases(spark, tables):
     docs, labels = tables
     model = toxicity.fit(docs.limit(200), labels)
