@@ -31,7 +31,7 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows with their texts without lines of templates that recur across documents; rows of which nothing is left go."""
-    changed = template_lines.drop_recurring_lines(docs)
+    changed = template_lines.drop_recurring_lines(docs, template_lines.EVERY_LINE)
     left = (F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return _with_text(docs, changed.filter(left))
 

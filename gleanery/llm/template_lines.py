@@ -5,10 +5,15 @@ words, with words that hold a digit replaced by ``<*>``. A leaf's template keeps
 that most of its different lines have at a place, and a ``<*>`` elsewhere; a line that agrees
 with it in few places is a template by itself. Lines of a template that occurs in several
 documents are dropped, but for the first of these documents.
+
+``Rules`` say which lines count. Those of op5 are fixed by its SQL; ``EVERY_LINE`` leaves out none.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +29,25 @@ LEAST_ALIKE = 0.6
 # Tasks that the lines of one template are dealt to when its documents are looked up.
 PARTS = 32
 
+
+
+class Rules(NamedTuple):
+    """Least words of a line that is counted, and documents that a template of n words must be in."""
+
+    least_words: int
+    least_docs: Callable[[Column], Column]
+
+
+def docs_for(n: Column) -> Column:
+    """Documents that a template of ``n`` words must be in: two from 12 words on, three from 6, below twice as many for each word less."""
+    return F.when(n >= 2 * LEAST_WORDS, 2).when(n >= LEAST_WORDS, LEAST_DOCS).otherwise(
+        (F.lit(LEAST_DOCS) * F.pow(F.lit(2.0), F.lit(LEAST_WORDS) - n)).cast("int")
+    )
+
+
+OP5 = Rules(LEAST_WORDS, lambda n: F.lit(LEAST_DOCS))
+EVERY_LINE = Rules(1, docs_for)
+
 _GAP = r"\x20\x09\x0B-\x0D"
 # A word that holds a digit; matches begin at word starts only, so the search is linear.
 _VARIABLE = rf"(?<![^\n{_GAP}])[^\n{_GAP}0-9]*+[0-9][^\n{_GAP}]*+"
@@ -50,22 +74,23 @@ def _keys(line: Column) -> dict[str, Column]:
     }
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(h, g, doc_id, line_no, line): lines of enough words; h and g stand for id and text of the document."""
+def _lines(docs: DataFrame, rules: Rules) -> DataFrame:
+    """(h, g, doc_id, line_no, line): lines of enough words, but no empty ones; h and g stand for id and text of the document."""
     lines = docs.select(
         F.xxhash64("doc_id", "text").alias("h"), F.hash("text", "doc_id").alias("g"), "doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "raw")
     )
     masked = bind(lines, line=_masked(F.col("raw"))).drop("raw")
-    return bind(masked, **_keys(F.col("line"))).filter(F.col("n") >= LEAST_WORDS)
+    return bind(masked, **_keys(F.col("line"))).filter((F.col("n") >= rules.least_words) & (F.col("line") != ""))
 
 
-def _general_templates(docs: DataFrame, table: DataFrame) -> DataFrame:
-    """(t, u, template): the lines that belong to the template of their leaf."""
-    forms = table.groupBy("leaf", "t", "u").agg(F.count("*").alias("n"))
+def _general_templates(docs: DataFrame, table: DataFrame, rules: Rules) -> DataFrame:
+    """(t, u, template): the lines that belong to a template of their leaf."""
+    long = table.filter(F.col("n") >= LEAST_WORDS)  # of shorter ones the leading words alone would be a template
+    forms = long.groupBy("leaf", "t", "u").agg(F.count("*").alias("n"))
     leaves = forms.groupBy("leaf").agg(F.sum("n").alias("n"), F.count("*").alias("forms"))
     # written, so that Spark knows its size when it chooses the join
     wide = materialise(leaves.filter((F.col("n") >= LEAST_DOCS) & (F.col("forms") > 1)).select("leaf", "forms"))
-    lines = materialise(_lines(docs).select("leaf", "line").join(wide, "leaf").distinct())
+    lines = materialise(_lines(docs, rules).select("leaf", "line").join(wide, "leaf").distinct())
     at = lines.select("leaf", "forms", F.posexplode(F.split("line", " ")).alias("place", "word"))
     common = at.groupBy("leaf", "forms", "place", "word").agg(F.count("*").alias("n")).filter(F.col("n") * 2 > F.col("forms"))
     constant = common.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "word"))).alias("constant"))
@@ -78,24 +103,25 @@ def _general_templates(docs: DataFrame, table: DataFrame) -> DataFrame:
     )
 
 
-def recurring_lines(docs: DataFrame) -> DataFrame:
+def recurring_lines(docs: DataFrame, rules: Rules = OP5) -> DataFrame:
     """(h, g, gone): for each document that loses lines, by the hashes of its id and text, their numbers from 0."""
-    table = materialise(_lines(docs).drop("line"))
+    table = materialise(_lines(docs, rules).drop("line"))
     template = F.when(F.col("template").isNull(), F.struct(F.col("t").alias("a"), F.col("u").alias("b"))).otherwise(
         F.struct(F.col("template").alias("a"), F.lit(0).alias("b"))
     )
     document = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "g")
     named = materialise(
-        table.join(_general_templates(docs, table), ["t", "u"], "left").select(
-            "h", "g", "line_no", document.alias("document"), template.alias("template")
+        table.join(_general_templates(docs, table, rules), ["t", "u"], "left").select(
+            "h", "g", "line_no", "n", document.alias("document"), template.alias("template")
         )
     )
     # counted per document first, so that a template of very many lines is combined in each task
-    documents = named.select("template", "document").distinct()
+    documents = named.select("template", "n", "document").distinct()
     recurring = (
-        documents.groupBy("template")
+        documents.groupBy("template", "n")  # a template has lines of one length only
         .agg(F.count("*").alias("documents"), F.min("document").alias("first"))
-        .filter(F.col("documents") >= LEAST_DOCS)
+        .filter(F.col("documents") >= rules.least_docs(F.col("n")))
+        .drop("n")
     )
     # lines of one template are dealt to several tasks by their document, as copies of its only row on the right
     parts = recurring.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
@@ -104,17 +130,16 @@ def recurring_lines(docs: DataFrame) -> DataFrame:
     return gone.groupBy("h", "g").agg(F.collect_set("line_no").alias("gone"))
 
 
-def drop_recurring_lines(docs: DataFrame) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, rules: Rules = OP5) -> DataFrame:
     """(row, text, n_lines, n_dropped) of each row of ``docs`` (doc_id, text): the row as it was, and its text without recurring lines.
 
-    A line is dropped when its template occurs in ``LEAST_DOCS`` documents or more and this is not the
-    first of them, by id (null last). Lines of fewer than ``LEAST_WORDS`` words stay: they recur by
-    chance. Rows of the same id and text are one document and lose the same lines. A null text
+    A line is dropped when its template occurs in enough documents (``rules.least_docs``) and this is not the
+    first of them, by id (null last). Lines of fewer than ``rules.least_words`` words stay. Rows of the same id and text are one document and lose the same lines. A null text
     stays null; an empty table gives an empty result. Scratch tables are written when this is called. Texts are
     shuffled once, to meet the numbers of their dropped lines.
     """
     keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("h"), F.hash("text", "doc_id").alias("g"))
-    joined = keyed.join(recurring_lines(docs), ["h", "g"], "left")
+    joined = keyed.join(recurring_lines(docs, rules), ["h", "g"], "left")
     lines = F.split("row.text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(

@@ -53,3 +53,16 @@ def test_defined_cases(spark):
     assert out[(9, long)] == (long.split("\n")[-1], 3001, 3000)
     assert out[(None, None)] == (None, 0, 0) and out[(5, "")] == ("", 1, 0) and out[(10, "\n\n")] == ("\n\n", 3, 0)
     assert dropped(spark, []) == []
+
+
+def dropped_by_all_rules(spark, texts):
+    out = template_lines.drop_recurring_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), template_lines.EVERY_LINE)
+    return [r.n_dropped for r in out.orderBy("row.doc_id").collect()]
+
+
+@pytest.mark.parametrize(("words", "docs"), [(1, 96), (2, 48), (3, 24), (4, 12), (5, 6), (6, 3), (11, 3), (12, 2), (60, 2)])
+def test_lines_of_any_length_count_from_so_many_documents(spark, words, docs):
+    line = " ".join(chr(97 + k % 26) * 3 for k in range(words))
+    texts = [f"{'q' * (i + 1)} {i}x\n\n{line}" for i in range(docs)]
+    assert dropped_by_all_rules(spark, texts) == [0] + [1] * (docs - 1)
+    assert dropped_by_all_rules(spark, texts[1:]) == [0] * (docs - 1)
