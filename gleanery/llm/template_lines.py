@@ -6,7 +6,8 @@ that most of its different lines have at a place, and a ``<*>`` elsewhere; a lin
 with it in few places is a template by itself. Lines of a template that occurs in several
 documents are dropped, but for the first of these documents.
 
-``Rules`` say which lines count. Those of op5 are fixed by its SQL; ``EVERY_LINE`` leaves out none.
+``Rules`` say which lines count. Those of op5 are fixed by its SQL; ``EVERY_LINE`` leaves out none and keeps
+several templates per leaf.
 """
 
 from __future__ import annotations
@@ -32,10 +33,11 @@ PARTS = 32
 
 
 class Rules(NamedTuple):
-    """Least words of a line that is counted, and documents that a template of n words must be in."""
+    """Least words of a line that is counted, documents that a template of n words must be in, and whether a leaf has families."""
 
     least_words: int
     least_docs: Callable[[Column], Column]
+    families: bool
 
 
 def docs_for(n: Column) -> Column:
@@ -45,8 +47,8 @@ def docs_for(n: Column) -> Column:
     )
 
 
-OP5 = Rules(LEAST_WORDS, lambda n: F.lit(LEAST_DOCS))
-EVERY_LINE = Rules(1, docs_for)
+OP5 = Rules(LEAST_WORDS, lambda n: F.lit(LEAST_DOCS), False)
+EVERY_LINE = Rules(1, docs_for, True)
 
 _GAP = r"\x20\x09\x0B-\x0D"
 # A word that holds a digit; matches begin at word starts only, so the search is linear.
@@ -83,6 +85,28 @@ def _lines(docs: DataFrame, rules: Rules) -> DataFrame:
     return bind(masked, **_keys(F.col("line"))).filter((F.col("n") >= rules.least_words) & (F.col("line") != ""))
 
 
+def _families(lines: DataFrame, general: DataFrame, docs_of: DataFrame) -> DataFrame:
+    """(t, u, template): the lines outside the template of their leaf that share enough words with others.
+
+    The support of a word at a place of a leaf is the number of documents of the lines that have it there. A line's constant words
+    have at least half the support that enough of its words for a template (``LEAST_ALIKE``) reach; its other words are fields.
+    """
+    named = lines.select("leaf", "line", F.xxhash64("line").alias("t"), F.hash("line").alias("u"))
+    known = materialise(named.join(docs_of, ["t", "u"]))
+    at = known.select("leaf", "docs", F.posexplode(F.split("line", " ")).alias("place", "word"))
+    support = at.groupBy("leaf", "place", "word").agg(F.sum("docs").alias("support")).filter(F.col("support") >= LEAST_DOCS)
+    rest = known.join(general, ["t", "u"], "left_anti")
+    words = rest.select("t", "u", "leaf", F.size(F.split("line", " ")).alias("n"), F.posexplode(F.split("line", " ")).alias("place", "word"))
+    held = words.join(support, ["leaf", "place", "word"])
+    of_line = held.groupBy("t", "u", "leaf", "n").agg(F.collect_list(F.struct("place", "word", "support")).alias("held"))
+    enough = F.ceil(LEAST_ALIKE * F.col("n")).cast("int")
+    least = F.try_element_at(F.sort_array(F.col("held.support"), asc=False), enough)
+    constant = bind(of_line.filter(F.size("held") >= enough), least=least)
+    kept = F.filter("held", lambda h: h.support * 2 >= F.col("least"))
+    places = F.array_sort(F.transform(kept, lambda h: F.struct(h.place, h.word)))
+    return constant.select("t", "u", F.xxhash64("leaf", "n", places).alias("template"))
+
+
 def _general_templates(docs: DataFrame, table: DataFrame, rules: Rules) -> DataFrame:
     """(t, u, template): the lines that belong to a template of their leaf."""
     long = table.filter(F.col("n") >= LEAST_WORDS)  # of shorter ones the leading words alone would be a template
@@ -98,9 +122,14 @@ def _general_templates(docs: DataFrame, table: DataFrame, rules: Rules) -> DataF
     template = F.transform(words, lambda _, i: F.coalesce(F.try_element_at("constant", i), F.lit(FIELD)))
     compared = lines.join(constant, "leaf").select("line", words.alias("words"), template.alias("template"))
     alike = F.size(F.filter(F.zip_with("words", "template", lambda w, t: w == t), lambda same: same))
-    return compared.filter(alike >= LEAST_ALIKE * F.size("words")).select(
+    general = compared.filter(alike >= LEAST_ALIKE * F.size("words")).select(
         F.xxhash64("line").alias("t"), F.hash("line").alias("u"), F.xxhash64("template").alias("template")
     )
+    if not rules.families:
+        return general
+    general = materialise(general)
+    docs_of = long.select("t", "u", "h", "g").distinct().groupBy("t", "u").agg(F.count("*").alias("docs"))
+    return general.unionByName(_families(lines, general, docs_of))
 
 
 def recurring_lines(docs: DataFrame, rules: Rules = OP5) -> DataFrame:

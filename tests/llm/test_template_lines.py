@@ -66,3 +66,11 @@ def test_lines_of_any_length_count_from_so_many_documents(spark, words, docs):
     texts = [f"{'q' * (i + 1)} {i}x\n\n{line}" for i in range(docs)]
     assert dropped_by_all_rules(spark, texts) == [0] + [1] * (docs - 1)
     assert dropped_by_all_rules(spark, texts[1:]) == [0] * (docs - 1)
+
+
+def test_families_beside_others_in_a_leaf(spark):
+    word = lambda i: "".join(chr(97 + (i * 7919 + 13) // 26**k % 26) for k in range(4))
+    family = [f"This article was written by {word(i)} for our readers" for i in range(20)]
+    second = [f"This article was taken from {word(i + 50)} with kind permission" for i in range(20)]
+    others = [f"This article was {' '.join(word(i * 6 + k + 100) for k in range(6))}" for i in range(45)]
+    assert dropped_by_all_rules(spark, family + second + others) == [0] + [1] * 19 + [0] + [1] * 19 + [0] * 45
