@@ -2,7 +2,7 @@
 
 A page becomes a tree of elements. Every element has a density: its characters per tag,
 raised or lowered by the share of characters and tags that are links. The element with the
-largest sum of its children's densities holds the main text; elements beside its path to the
+largest sum of its children's densities holds the main text, where ``article`` and ``main`` weigh more; elements beside its path to the
 body that are at least as dense as the thinnest element of that path belong to it too.
 """
 
@@ -41,9 +41,10 @@ BLOCKS = frozenset(
     " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary"
     " table tbody td tfoot th thead tr ul".split()
 )
-# Elements that can be the main text, and those that bound it where an author marked it.
+# Elements that can be the main text, and those that weigh more because an author marked it.
 HOLDERS = frozenset("article body center div main section table tbody td tr blockquote html".split())
 MARKED = frozenset(["article", "main"])
+MARK_WEIGHT = 2
 # A start tag ends these open elements, up to the nearest one of the second set.
 ENDS = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
@@ -176,12 +177,13 @@ def _outside(tree: _Tree) -> list[bool]:
 
 
 def _densities(tree: _Tree, out: list[bool]) -> tuple[list[int], list[float], list[float]]:
-    """Characters, composite density and sum of the children's densities of every element."""
+    """Characters, composite density and sum of the children's densities of every element; its own text counts as a child."""
     n = len(tree.names)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     for i, text in tree.runs:
         if i >= 0 and not out[i]:
             chars[i] += len(text) - text.count(" ") - text.count("\n")
+    own = chars[:]
     linked = [False] * n
     for i in range(1, n):
         linked[i] = linked[tree.parents[i]] or tree.names[i] == "a"
@@ -196,13 +198,18 @@ def _densities(tree: _Tree, out: list[bool]) -> tuple[list[int], list[float], li
         link_chars[up] += link_chars[i]
         link_tags[up] += link_tags[i] + (tree.names[i] == "a")
     page_share = link_chars[0] / max(chars[0], 1)
+
+    def composite(c: int, lc: int, t: int, lt: int) -> float:
+        base = math.log(c * lc / max(c - lc, 1) + page_share * c + math.e)
+        share = (c / max(lc, 1)) * (max(t, 1) / max(lt, 1))
+        return c / max(t, 1) * (math.log(share) / math.log(base) if base > 1 and share > 0 else 1.0)
+
     density, sums = [0.0] * n, [0.0] * n
     for i in range(n - 1, -1, -1):
-        c, lc = chars[i], link_chars[i]
-        if c and not out[i]:
-            base = math.log(c * lc / max(c - lc, 1) + page_share * c + math.e)
-            share = (c / max(lc, 1)) * (max(tags[i], 1) / max(link_tags[i], 1))
-            density[i] = c / max(tags[i], 1) * (math.log(share) / math.log(base) if base > 1 and share > 0 else 1.0)
+        if chars[i] and not out[i]:
+            density[i] = composite(chars[i], link_chars[i], tags[i], link_tags[i])
+        if own[i]:
+            sums[i] += composite(own[i], own[i] if linked[i] else 0, 0, 0)
         if i:
             sums[tree.parents[i]] += density[i]
     return chars, density, sums
@@ -212,26 +219,24 @@ def _chosen(tree: _Tree, out: list[bool]) -> list[bool]:
     """The elements whose own text is main text."""
     n = len(tree.names)
     chars, density, sums = _densities(tree, out)
+    holders = [i for i in range(n) if tree.names[i] in HOLDERS and not out[i] and chars[i]]
+    if not holders:
+        return [not o for o in out]
     marked = [False] * n
     for i in range(1, n):
-        marked[i] = marked[tree.parents[i]] or (tree.names[i] in MARKED and not out[i] and chars[i] > 0)
-    bounded = any(marked)
-    holders = [i for i in range(n) if tree.names[i] in HOLDERS and not out[i] and chars[i] and (marked[i] or not bounded)]
-    if not holders:
-        return [not o and not bounded for o in out]
-    best = max(holders, key=lambda i: (sums[i], -i))
+        marked[i] = marked[tree.parents[i]] or tree.names[i] in MARKED
+    best = max(holders, key=lambda i: (sums[i] * (MARK_WEIGHT if marked[i] else 1), -i))
     path = [best]
     while path[-1] > 0:
         path.append(tree.parents[path[-1]])
-    bound = [i for i in path if tree.names[i] in MARKED]
-    keep = [False] * n
-    if bound:  # the author's mark takes the whole article
-        root = bound[0]
-        for i in range(n):
-            keep[i] = not out[i] and (i == root or (i > 0 and keep[tree.parents[i]]))
-        return keep
+    # a mark around the choice that is about as dense is the choice: its short blocks belong to it
+    for i in path[1:]:
+        if tree.names[i] in MARKED and density[i] * MARK_WEIGHT >= density[best]:
+            best = i
+    path = path[path.index(best) :]
     thinnest = min([density[i] for i in path if i], default=density[0])
     on_path, above = set(path), set(path[1:])
+    keep = [False] * n
     for i in range(n):
         if out[i]:
             continue

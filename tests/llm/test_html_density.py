@@ -81,3 +81,25 @@ def test_given_pages(spark):
         blocks = [re.sub("<[^>]+>", "", b) for b in re.split(r"</?(?:p|h1)>", body.replace("<br>", " "))]
         blocks = [" ".join(h.unescape(b).split()) for b in blocks]
         assert found[r.page_id] == "\n".join(b for b in blocks if b)
+
+
+STORY = [f"The {w} paragraph of this story tells at some length what happened on that day, and who saw it, and why." for w in ("first", "second", "third", "fourth")]
+PARAS = "".join(f"<p>{p}</p>" for p in STORY)
+CARDS = "".join(f"<article><h3><a href=/{i}>Another story {i}</a></h3><p>Read it now.</p></article>" for i in range(6))
+
+
+@pytest.mark.parametrize("body", [f"<div class=story>{PARAS}</div>{CARDS}", f"{CARDS}<div class=story>{PARAS}</div>", f"<main>{CARDS}<div>{PARAS}</div></main>"])
+def test_dense_text_wins_over_marked_cards(body):
+    assert extract(f"<html><body>{NOISE[0]}{body}{NOISE[-1]}</body></html>") == "\n".join(STORY)
+
+
+@pytest.mark.parametrize("wrap", ["%s", "<div>%s</div>"])
+def test_a_text_in_several_articles(wrap):
+    parts = [f"<article><h2>Part</h2>{PARAS}</article>"] * 3
+    page = f"<body>{NOISE[0]}{wrap % f'<main><h1>Title</h1>{"".join(parts)}</main>'}{NOISE[-1]}"
+    assert extract(page) == "\n".join(["Title", *["Part", *STORY] * 3])
+
+
+@pytest.mark.parametrize("text", ["plain text that stands in its article without a tag", "one line<br>another line<br>a third line"])
+def test_own_text_counts(text):
+    assert extract(f"<body><div><a href=/>Home</a></div><article>{text}</article>") == text.replace("<br>", " ")
