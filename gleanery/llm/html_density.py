@@ -8,6 +8,7 @@ body that are at least as dense as the thinnest element of that path belong to i
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import re
@@ -45,6 +46,8 @@ BLOCKS = frozenset(
 HOLDERS = frozenset("article body center div main section table tbody td tr blockquote html".split())
 MARKED = frozenset(["article", "main"])
 MARK_WEIGHT = 2
+# A named element with more than so many times the text of all that is not named is no surroundings.
+LEAST_LEFT = 10
 # A start tag ends these open elements, up to the nearest one of the second set.
 ENDS = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
@@ -66,15 +69,16 @@ _STATES = frozenset("has with no not without is".split())
 _TITLED = frozenset("article post entry content story".split())
 
 
-def _names_around(value: str, within: bool) -> bool:
-    """Whether one of the names in a class, id or role names surroundings."""
+def _names_around(value: str, within: bool) -> int:
+    """Whether one of the names in a class, id or role names surroundings: 1 beside other words, 2 in words for them alone, else 0."""
+    found = 0
     for name in value.split():
         words = _NAME.findall(name)
         if words and words[0] not in _STATES:
             header = "header" in words and not within and _TITLED.isdisjoint(words)
             if header or not AROUND.isdisjoint(words):
-                return True
-    return False
+                found = max(found, 2 if all(w in AROUND or w == "header" or w.isdigit() for w in words) else 1)
+    return found
 
 
 class _Tree:
@@ -153,13 +157,18 @@ class _Tree:
 
 
 def _outside(tree: _Tree) -> list[bool]:
-    """Which elements belong to the surroundings, by name or by what their attributes say."""
+    """Which elements belong to the surroundings, by name or by what their attributes say.
+
+    What a class, id or role names goes, unless little text would be left without it, or its name has other words as well
+    and it holds most of the page's text outside links: that is a layout around the text, and the elements named inside it
+    are judged each.
+    """
     n = len(tree.names)
     holds, within = [False] * n, [False] * n
     for i in range(n - 1, 0, -1):
         if holds[i] or tree.names[i] in MARKED:
             holds[tree.parents[i]] = True
-    out = [False] * n
+    out, named = [False] * n, [0] * n
     for i in range(1, n):
         name, up = tree.names[i], tree.parents[i]
         within[i] = within[up] or name in MARKED
@@ -170,12 +179,63 @@ def _outside(tree: _Tree) -> list[bool]:
             for key, *values in _ATTRIBUTE.findall(tree.attributes[i]):
                 key, value = key.lower(), (values[0] or values[1] or values[2]).lower()
                 if key in ("class", "id", "role"):
-                    out[i] = out[i] or _names_around(value, within[up])
+                    named[i] = max(named[i], _names_around(value, within[up]))
                 elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and _HIDDEN.search(value)):
                     out[i] = True
+    pruned = _pruned(tree, out, named)
+    for i in range(1, n):
+        out[i] = out[i] or pruned[i] or out[tree.parents[i]]
     return out
 
 
+def _pruned(tree: _Tree, out: list[bool], named: list[int]) -> list[bool]:
+    """Which of the ``named`` elements are surroundings: the largest are opened as long as they hold the page's text."""
+    n = len(tree.names)
+    size, linked, top = [0] * n, [False] * n, [-1] * n  # top: the nearest named element, itself or above
+    for i in range(1, n):
+        up = tree.parents[i]
+        linked[i] = linked[up] or tree.names[i] == "a"
+        top[i] = i if named[i] and not out[i] else top[up]
+    own = [0] * n
+    for i, text in tree.runs:
+        if i >= 0 and not out[i] and not linked[i]:
+            own[i] += len(text) - sum(map(text.count, " \n\t\r"))
+    for i in range(n - 1, -1, -1):
+        size[i] += own[i]
+        if i:
+            size[tree.parents[i]] += size[i]
+    loose, inner = [0] * n, [[] for _ in range(n)]  # text of a named element outside named ones in it; these
+    plain, heaps = 0, ([], [])  # by name: with other words, without
+    for i in range(n):
+        if top[i] < 0:
+            plain += own[i]
+            continue
+        loose[top[i]] += own[i]
+        if top[i] == i:
+            above = top[tree.parents[i]]
+            if above < 0:
+                heaps[named[i] - 1].append((-size[i], i))
+            else:
+                inner[above].append(i)
+    for heap in heaps:
+        heapq.heapify(heap)
+    while True:
+        first = [heap[0][1] if heap and size[heap[0][1]] else 0 for heap in heaps]
+        if first[0] and (2 * size[first[0]] > size[0] or size[first[0]] > LEAST_LEFT * plain):
+            i = heapq.heappop(heaps[0])[1]
+        elif first[1] and size[first[1]] > LEAST_LEFT * plain:
+            i = heapq.heappop(heaps[1])[1]
+        else:
+            break
+        plain += loose[i]
+        for k in inner[i]:
+            heapq.heappush(heaps[named[k] - 1], (-size[k], k))
+    pruned = [False] * n
+    for _, i in [*heaps[0], *heaps[1]]:
+        pruned[i] = True
+    return pruned
+
+
 def _densities(tree: _Tree, out: list[bool]) -> tuple[list[int], list[float], list[float]]:
     """Characters, composite density and sum of the children's densities of every element; its own text counts as a child."""
     n = len(tree.names)

@@ -103,3 +103,16 @@ def test_a_text_in_several_articles(wrap):
 @pytest.mark.parametrize("text", ["plain text that stands in its article without a tag", "one line<br>another line<br>a third line"])
 def test_own_text_counts(text):
     assert extract(f"<body><div><a href=/>Home</a></div><article>{text}</article>") == text.replace("<br>", " ")
+
+
+@pytest.mark.parametrize("name", ["id='content-sidebar-wrap'", "class=layout-sidebar", "class='right-sidebar'", "class='share-page'"])
+@pytest.mark.parametrize("inner", ["%s", "<div class=content>%s</div>", "<div class='page-comments'><div>%s</div></div>"])
+def test_a_layout_that_names_surroundings_keeps_its_text(name, inner):
+    page = f"<body>{NOISE[0]}<div {name}>{NOISE[4]}{inner % PARAS}{NOISE[6]}{NOISE[9]}</div>{NOISE[5]}{NOISE[-1]}"
+    assert extract(page) == "\n".join(STORY)
+
+
+def test_a_layout_beside_longer_comments():
+    comments = "".join(f"<div class=comment>{PARAS.replace('story', f'comment {i}')}</div>" for i in range(9))
+    page = f"<body><div class=layout-sidebar><div>{PARAS}</div></div><section id=comments>{comments}</section>"
+    assert extract(page) == "\n".join(STORY)
