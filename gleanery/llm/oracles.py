@@ -117,9 +117,80 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged j join verdicts v on j.source is not distinct from v.source
 """
 
+# Costs in seven digits before the audit, so that the least string is the cheapest and then the first.
+def _more(best: str, cost: str, letter: str) -> str:
+    return f"(lpad(cast(cast(left({best}, 7) as int) + {cost} as varchar), 7, '0') || substr({best}, 8) || '{letter}')"
+
+
+OP12 = rf"""
+with recursive damaged as (
+  select *, xor(list_reduce([4294967295::bigint] || list_transform(range(1, length(k) + 1), lambda i: ascii(k[i])::bigint),
+    lambda c, b: list_reduce([xor(c, b)] || range(0, 8),
+      lambda x, j: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295) % 20 as deal
+  from (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+      coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations)),
+kept as (
+  select conv_id, turn, case when deal = 4 then 'user' else role end as role,
+    case when deal = 1 then '' when deal = 2 then translate(text, '.!?', '') else text end as text
+  from (select *, unnest(case when deal = 3 then [1, 2] else [1] end) from damaged where deal <> 0)),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(length(role) || ':' || role || text)) as i,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as final, left(role, 1) as ini from kept),
+coded as (
+  select *, case when final = '' then 'blank' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+    when final not in ('.', '!', '?') then 'truncated' else 'none' end as fault from placed),
+paths as (
+  select conv_id, 0::bigint as i, '0000000' as z, null::varchar as s, null::varchar as u, null::varchar as a from (select distinct conv_id from coded)
+  union all
+  select conv_id, i, {_more("z", "4", "D")},
+    least({_more("s", "4", "D")}, case when stays and ini = 's' then {_more("z", "t", "K")} end),
+    least({_more("u1", "4", "D")},
+      case when stays and ini = 'u' then least({_more("z", "t", "K")}, {_more("s", "t", "K")}, {_more("a1", "t", "K")}) end,
+      case when stays then least({_more("z", "3 + t", "R")}, {_more("s", "3 + t", "R")}, {_more("a1", "3 + t", "R")}) end),
+    least({_more("a1", "4", "D")},
+      case when stays and ini = 'a' then {_more("u1", "t", "K")} end,
+      case when stays then {_more("u1", "3 + t", "R")} end)
+  from (
+    select n.conv_id, c.i, z, s, u1, a1, ini, fault in ('none', 'truncated') as stays, case when fault = 'truncated' then 3 else 0 end as t
+    from (select *, least(a, {_more("u1", "3", "I")}) as a1 from (
+      select *, least(u, {_more("z", "3", "I")}, {_more("s", "3", "I")}, {_more("a", "3", "I")}) as u1 from paths)) n
+    join coded c on c.conv_id is not distinct from n.conv_id and c.i = n.i + 1)),
+ends as (
+  select conv_id, arg_max(z, i) as z, arg_max(s, i) as s, arg_max(u, i) as u, arg_max(a, i) as a from (
+    select conv_id, i, coalesce(z, 'x') as z, coalesce(s, 'x') as s, coalesce(u, 'x') as u, coalesce(a, 'x') as a from paths) group by conv_id),
+known as (select conv_id, z, nullif(s, 'x') as s, nullif(u, 'x') as u, nullif(a, 'x') as a from ends),
+best as (
+  select conv_id, least(z, a, {_more("u1", "3", "I")}) as best from (
+    select *, least(u, {_more("z", "3", "I")}, {_more("s", "3", "I")}, {_more("a", "3", "I")}) as u1 from known)),
+edits as (
+  select conv_id, p, e, sum((e <> 'I')::int) over w as i, sum((e <> 'D')::int) over w as n from (
+    select conv_id, unnest(range(8, length(best) + 1)) as p, substr(best, p, 1) as e from best)
+  window w as (partition by conv_id order by p)),
+spoken as (
+  select e.conv_id, e.p, e.e, e.n, c.role, case when e.e = 'I' then '' else c.text end as text,
+    max((e.n = 1 and e.e = 'K' and c.ini = 's')::int) over (partition by e.conv_id) as led
+  from edits e left join coded c on c.conv_id is not distinct from e.conv_id and c.i = e.i and e.e <> 'I' where e.e <> 'D'),
+repaired as (
+  select conv_id, sha256(string_agg(case when e = 'K' then role when (n - led) % 2 = 1 then 'user' else 'assistant' end
+    || ':' || text, chr(10) order by p)) as digest from spoken group by conv_id),
+counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (ini || after not in ('su', 'ua', 'au')) as illegal
+  from (select *, lead(ini) over (partition by conv_id order by i) as after from coded) group by conv_id)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(cast(left(best, 7) as bigint), 0) as cost,
+  coalesce(substr(best, 8), '') as audit, coalesce(digest, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counted c on c.conv_id is not distinct from o.conv_id
+left join best b on b.conv_id is not distinct from o.conv_id
+left join repaired r on r.conv_id is not distinct from o.conv_id
+"""
+
 ORACLES = {
     "op3_decontaminate": OP3,
     "op5_template_lines": OP5,
     "op7_chat_windows": OP7,
     "op9_host_rules": OP9,
+    "op12_conversation_repair": OP12,
 }

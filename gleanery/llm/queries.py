@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gleanery.llm import (
     chat,
+    conversation_repair,
     decontaminate,
     host_rules,
     html_density,
@@ -82,6 +83,15 @@ def op10_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_density.main_texts(_table(spark, sf_dir, "pages"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversation_repair.digests(conversation_repair.damage(turns))
+    every = turns.select(F.struct("conv_id").alias("conv")).distinct().join(found, "conv", "left")  # some lose all their turns
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return every.select("conv.conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -93,4 +103,5 @@ QUERIES = {
     "op8_token_blocks": op8_token_blocks,
     "op9_host_rules": op9_host_rules,
     "op10_html_density": op10_html_density,
+    "op12_conversation_repair": op12_conversation_repair,
 }
