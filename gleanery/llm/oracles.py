@@ -117,6 +117,38 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged j join verdicts v on j.source is not distinct from v.source
 """
 
+def _nearest(i: int) -> str:
+    return f"""
+assigned{i} as (
+  select r, arg_min(cluster, d * 64 + cluster) as cluster, min(d) as distance from (
+    select r, cluster, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as d
+    from kept, centroids{i}) group by r),"""
+
+
+def _moved(i: int) -> str:
+    return f"""
+centroids{i + 1} as (
+  select cluster, coalesce(m, c) as c from centroids{i} left join (
+    select cluster, list(m order by p) as m from (
+      select cluster, p, floor(sum(v[p])::double / count(*))::bigint as m
+      from (select cluster, v, unnest(range(1, 65)) as p from kept join assigned{i} using (r)) group by cluster, p)
+    group by cluster) using (cluster)),"""
+
+
+OP11 = f"""
+with whole as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+kept as (select r, vec_id, list_transform(e, lambda x: floor(256 * x)::bigint) as v from whole),
+centroids0 as (
+  select row_number() over (order by sha256('2:' || vec_id)) - 1 as cluster, v as c from kept
+  order by sha256('2:' || vec_id) limit 40),{"".join(_nearest(i) + _moved(i) for i in range(5))}{_nearest(5)}
+inertias as (select cluster, sum(distance)::bigint as cluster_inertia from assigned5 group by cluster)
+select vec_id, cluster::int as cluster, distance, cluster_inertia, (select sum(distance)::bigint from assigned5) as inertia,
+  sha256(array_to_string(c, ',')) as centroid_sha256
+from kept join assigned5 using (r) join inertias using (cluster) join centroids5 using (cluster)
+"""
+
 # Costs in seven digits before the audit, so that the least string is the cheapest and then the first.
 def _more(best: str, cost: str, letter: str) -> str:
     return f"(lpad(cast(cast(left({best}, 7) as int) + {cost} as varchar), 7, '0') || substr({best}, 8) || '{letter}')"
@@ -192,5 +224,6 @@ ORACLES = {
     "op5_template_lines": OP5,
     "op7_chat_windows": OP7,
     "op9_host_rules": OP9,
+    "op11_clustering": OP11,
     "op12_conversation_repair": OP12,
 }

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from gleanery.llm import (
     chat,
+    clustering,
     conversation_repair,
     decontaminate,
     host_rules,
     html_density,
+    mixing,
     packing,
     quality_knn,
     simhash,
@@ -83,6 +85,10 @@ def op10_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_density.main_texts(_table(spark, sf_dir, "pages"))
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.digests(clustering.cluster(_table(spark, sf_dir, "embeddings")))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     found = conversation_repair.digests(conversation_repair.damage(turns))
@@ -92,6 +98,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.select("conv.conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.Mix(_table(spark, sf_dir, "documents"))
+    return mix.taken().select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -103,5 +114,7 @@ QUERIES = {
     "op8_token_blocks": op8_token_blocks,
     "op9_host_rules": op9_host_rules,
     "op10_html_density": op10_html_density,
+    "op11_clustering": op11_clustering,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_mixing": op13_mixing,
 }
