@@ -29,7 +29,7 @@ SLOTS = 4096
 SEED = 13
 
 # Documents of a source that are numbered in one task.
-PART = 20_000
+PART = 2_000
 # Slots of a cell in which an interval is looked up: with as many sources at most, each slot meets few of them.
 CELL = 16
 
