@@ -575,6 +575,9 @@ ORACLES["detected_samples"] = SUBSETS + " union all ".join(
     for n, f in zip(_NAMES, (_NUMBERS_FOUND, _WORDS_FOUND, _NAMES_FOUND), strict=True)
 )
 
+# Keyless records are numbered from 0 in the order in which they were written.
+NUMBERED = "select * replace (row_number() over (order by record_id) - 1 as record_id) from raw"
+
 ORACLES |= {
     "curate_cleaned": ORACLES["accepted"],
     "curate_subset": f"select * exclude (record_id) from ({ORACLES['sample_numbers']})",
@@ -583,6 +586,10 @@ ORACLES |= {
       case when c.record_id is null then 'REMOVED' else coalesce(c.round, 'None') end as cleaned_round
       from (select * from norm order by record_id limit 10) n left join clean c using (record_id)"""),
     "parquet_records": over_records("select * from raw"),
+    "json_array": over_records("select * from raw"),
+    "numbered_array": over_records(NUMBERED),
+    "numbered_lines": over_records(NUMBERED),
+    "first_of_input": over_records(f"select * from ({NUMBERED}) where record_id < {SAMPLE_SIZE}"),
     "report_fields": " union all ".join(
         f"""select '{t}' as section, field || '.' || metric as metric, value from (
           unpivot (select field, try_cast(columns(* exclude field) as double) from ({ORACLES[t]})) on columns(* exclude field) into name metric value value)"""

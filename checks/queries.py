@@ -328,6 +328,46 @@ def parquet_records(spark, sf):
     return read_records(spark, path, "parquet").select(ID, *RECORD_COLUMNS)
 
 
+# Records of one file of those that the reader of arrays and of keyless lines is given.
+FILE_RECORDS = 2000
+
+
+def _files(spark, sf, form, keyed=True) -> str:
+    """The raw records as many files, in order of their keys over all files; ``form`` makes a file's text from its objects."""
+    path = _scratch(spark)
+    block = F.lpad(F.floor(F.col(ID) / FILE_RECORDS).cast("string"), 9, "0").alias("block")
+    shown = [ID, *RECORD_COLUMNS] if keyed else RECORD_COLUMNS
+    line = F.to_json(F.struct(*shown), {"ignoreNullFields": "false"}).alias("line")
+    files = raw_records(spark, sf).select(block, F.struct(ID, line).alias("row")).groupBy("block").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    files.select("block", form(F.col("rows.line")).alias("value")).write.partitionBy("block").text(path)
+    return path
+
+
+def json_array(spark, sf):
+    """Array files read in ranges."""
+    path = _files(spark, sf, lambda lines: F.concat(F.lit("[\n"), F.array_join(lines, ",\n"), F.lit("\n]")))
+    return read_records(spark, path).select(ID, *RECORD_COLUMNS)
+
+
+def numbered_rows(kind):
+    """Files without keys: every record by its number in the input."""
+
+    def run(spark, sf):
+        forms = {
+            "json": lambda lines: F.concat(F.lit("["), F.array_join(lines, ","), F.lit("]")),
+            "jsonl": lambda lines: F.array_join(lines, "\n"),
+        }
+        return read_records(spark, _files(spark, sf, forms[kind], keyed=False), kind).select(ID, *RECORD_COLUMNS)
+
+    return run
+
+
+def first_of_input(spark, sf):
+    """The first records of files without keys."""
+    path = _files(spark, sf, lambda lines: F.array_join(lines, "\n"), keyed=False)
+    return read_records(spark, path, "jsonl", limit=SAMPLE_SIZE).select(ID, *RECORD_COLUMNS)
+
+
 def rejects_without(column):
     def run(spark, sf):
         out = validate.rejects(validate.flag(records(spark, sf).drop(column)))
@@ -466,6 +506,10 @@ QUERIES = {
     "curate_rejects": curated(_curated_rejects),
     "check_before_after": checked_table,
     "parquet_records": parquet_records,
+    "json_array": json_array,
+    "numbered_array": numbered_rows("json"),
+    "numbered_lines": numbered_rows("jsonl"),
+    "first_of_input": first_of_input,
     "report_fields": lambda spark, sf: field_figures(Cleaned(flagged(spark, sf)).report),
     "rejects_without_value": rejects_without("value"),
 }

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +14,8 @@ from gleanery.operators.language import word_list
 from gleanery.operators.load import check_columns, first_rows
 from gleanery.schema import ID, RECORD_COLUMNS, RECORDS
 from gleanery.session import materialise
+from gleanery.sources.arrays import read_objects
+from gleanery.sources.numbering import FILE, PART, POSITION, number_rows, place_lines, place_parquet
 
 
 def check_keys(df: DataFrame) -> None:
@@ -32,58 +36,82 @@ def _require(spark: SparkSession, path: str) -> None:
         raise FileNotFoundError(f"File not found: {path}")
 
 
-def with_ids(df: DataFrame) -> DataFrame:
-    """Give every row a key, unless rows have one; given keys are checked once.
+def _json_line_columns(spark: SparkSession, path: str) -> list[str]:
+    """Which of the expected columns occur in JSON lines, by one pass over all of them."""
+    return _present(spark.read.text(path).select(*_has(F.col("value"))))
 
-    Keys are unique, not consecutive, and follow the layout of the input. The keyed
-    table is written out, so the keys stay the same however often it is read.
-    """
-    if ID not in df.columns:
-        return materialise(df.withColumn(ID, F.monotonically_increasing_id()))
-    check_keys(df)
-    return df
 
+def _has(text: Column) -> list[Column]:
+    """Whether a JSON object has each of the expected columns."""
+    keys = F.json_object_keys(text)
+    return [F.coalesce(F.array_contains(keys, c), F.lit(False)).alias(f"has_{c}") for c in (ID, *RECORD_COLUMNS)]
+
+
+def _present(flags: DataFrame) -> list[str]:
+    found = flags.agg(*[F.bool_or(f"has_{c}").alias(c) for c in (ID, *RECORD_COLUMNS)]).first()
+    return [c for c in (ID, *RECORD_COLUMNS) if found[c]]
 
-def _json_line_columns(spark: SparkSession, path: str) -> list[str]:
-    """Which of the expected columns occur in JSON lines, by one pass over all of them."""
-    keys = spark.read.text(path).select(F.json_object_keys("value").alias("keys"))
-    expected = [ID, *RECORD_COLUMNS]
-    found = keys.agg(*[F.bool_or(F.array_contains("keys", c)).alias(c) for c in expected]).first()
-    return [c for c in expected if found[c]]
 
+def _schema(columns: list[str]) -> T.StructType:
+    return T.StructType(([T.StructField(ID, T.LongType())] if ID in columns else []) + RECORDS.fields)
 
-def _read_json(spark: SparkSession, path: str, lines: bool) -> DataFrame:
-    reader = spark.read.options(multiLine=not lines, mode="FAILFAST", primitivesAsString=True)
+
+def _read_lines(spark: SparkSession, path: str) -> DataFrame:
     # An explicit schema would hide absent columns, so their names are looked up first.
-    columns = _json_line_columns(spark, path) if lines else reader.json(path).columns
+    columns = _json_line_columns(spark, path)
+    check_columns(columns)
+    reader = spark.read.options(mode="FAILFAST", primitivesAsString=True).schema(_schema(columns))
+    return _keyed(reader.json(path), place_lines)
+
+
+def _read_arrays(spark: SparkSession, path: str) -> DataFrame:
+    schema = _schema([ID])
+    options = {"mode": "FAILFAST", "primitivesAsString": "true"}
+    parsed = F.from_json("text", schema, options)
+    objects = read_objects(spark, path)
+    rows = materialise(objects.select("*", F.explode(F.array(parsed)).alias("row")).select(FILE, PART, POSITION, "row.*", *_has(F.col("text"))))
+    columns = _present(rows)
     check_columns(columns)
-    key = [T.StructField(ID, T.LongType())] if ID in columns else []
-    return reader.schema(T.StructType(key + RECORDS.fields)).json(path)
+    if ID in columns:
+        rows = rows.select(ID, *RECORD_COLUMNS)
+        check_keys(rows)
+        return rows
+    return number_rows(rows.select(FILE, PART, POSITION, *RECORD_COLUMNS))
+
+
+def _read_table(spark: SparkSession, path: str) -> DataFrame:
+    df = spark.read.parquet(path)
+    check_columns(df.columns)
+    return _keyed(df, place_parquet)
+
+
+def _keyed(df: DataFrame, place: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Records with their own keys, checked, or with their numbers in the input."""
+    text = [F.col(c).cast("string") for c in RECORD_COLUMNS]
+    if ID in df.columns:
+        df = df.select(ID, *text)
+        check_keys(df)
+        return df
+    return number_rows(materialise(place(df).select(FILE, PART, POSITION, *text)))
 
 
 def read_records(spark: SparkSession, path: str, kind: str = "json", limit: int | None = None) -> DataFrame:
     """Records as seven text columns and a key.
 
-    ``kind`` is ``json`` (a whole-file array; such a file is read by one task, so
-    convert large ones once), ``jsonl`` or ``parquet``. All values are read as text,
-    so ``"0012"`` stays as it is. ``limit`` takes the first rows. Raises
+    ``kind`` is ``json`` (files that are an array of objects each, cut into ranges like any text), ``jsonl``
+    or ``parquet``. All values are read as text, so ``"0012"`` stays as it is. Records without a key
+    (``record_id``) get their number in the input, from 0: by name of the file, then by place in it; the numbered table is written, so that
+    keys stay the same however often it is read. ``limit`` takes the first rows by key. Raises
     FileNotFoundError for a missing path and ValueError for malformed input, missing
-    columns, and keys (``record_id``) that are NULL or not unique.
+    columns, and keys that are NULL or not unique.
     """
     _require(spark, path)
+    readers = {"json": _read_arrays, "jsonl": _read_lines, "parquet": _read_table}
+    if kind not in readers:
+        raise ValueError(f"unknown kind: {kind}")
     try:
-        if kind == "parquet":
-            df = spark.read.parquet(path)
-            check_columns(df.columns)
-            keep = [F.col(c).cast("string") for c in RECORD_COLUMNS]
-            df = df.select(*([ID] if ID in df.columns else []), *keep)
-        elif kind in ("json", "jsonl"):
-            df = _read_json(spark, path, lines=kind == "jsonl")
-        else:
-            raise ValueError(f"unknown kind: {kind}")
-        if limit is not None:
-            df = first_rows(df, limit) if ID in df.columns else df.limit(limit)
-        return with_ids(df)
+        df = readers[kind](spark, path)
+        return df if limit is None else first_rows(df, limit)
     except (PySparkException, Py4JError) as e:
         raise ValueError(f"Failed to load {kind} data: {e}") from e
 
