@@ -81,14 +81,14 @@ def record(i):
     return dict.fromkeys(RECORD_COLUMNS, "x") | {"question": f'{i} "}}],[{{" \\ é☃' * (i % 4), "answer": f"a{i}", "value": None if i % 3 else i, "more": {"n": [i, {}]}}
 
 
-@pytest.mark.parametrize("size", [100, 5_000, 1 << 20])
+@pytest.mark.parametrize("size", [900, 5_000, 1 << 20])
 def test_one_file_over_many_tasks(spark, tmp_path, small_ranges, size):
     rows = [record(i) for i in range(150)] + [record(1) | {"question": "long " * 3_000}]
     (tmp_path / "b.json").write_text(json.dumps(rows, ensure_ascii=False))
     (tmp_path / "a.json").write_text(json.dumps(rows[:7], indent=2))
     (tmp_path / "c.json").write_text(" [ ] ")
     small_ranges(size)
-    if size < 1000:
+    if size == 900:
         assert arrays._lines(spark, str(tmp_path)).rdd.getNumPartitions() > 20
     got = [r.asDict() for r in read_records(spark, str(tmp_path)).orderBy("record_id").collect()]
     want = [{"record_id": i} | {c: None if r[c] is None else str(r[c]) for c in RECORD_COLUMNS} for i, r in enumerate(rows[:7] + rows)]

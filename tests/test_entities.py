@@ -5,27 +5,28 @@ from gleanery.functions.names import lower_words, mentions
 from gleanery.operators import entities as E
 from gleanery.operators.detectors import EntityDetector
 
+# Log lines: ships and places as names, ordinary words at the beginning of sentences, names inside others.
 ROWS = [
-    ("Where does Halvorsen keep the boats?", "In the bay where Ingrid Halvorsen lives."),
-    ("Which road leads to Quillmoor?", "The one from Brinlow."),
-    ("Where is Elmsey Harbour?", "It is near Tarnby."),
-    ("Which bridge fell near Rudge Mill?", "The old one."),
-    ("What did Oswin write down?", "What the miller said."),
-    ("Which song did Petra Lindqvist sing?", "The one about Vesterholm."),
-    ("What is Dabbleworth known for? what which where the.", "What nobody remembers."),
+    "Fog lifted. The Kestrel left Marrow Point at dawn.",
+    "Kestrel took on coal. Coal was dear, and fog came back.",
+    "Nets were torn near Osk. Divers from Lundy Sound mended nets.",
+    "Marrow Point answered; kestrelling gulls circled the mast.",
+    "Fog again. Captain Ada Brisk sent for divers.",
+    "",
+    "all quiet, no ships. Quiet night.",
 ]
 
 
 @pytest.fixture(scope="module")
 def table(spark):
-    return spark.createDataFrame([(i, f"{q} {a}") for i, (q, a) in enumerate(ROWS)], "record_id long, text string")
+    return spark.createDataFrame(list(enumerate(ROWS)), "record_id long, text string")
 
 
 def test_mentions(apply):
-    text = "The Mona Lisa's smile. Paris' iPhone 5Phone in New York-City! X-Ray U.S. O’Hara"
+    text = "The Red Wharf's lamp. Olm' iBuoy 5Mast in Low Head-Bay! T-Beam N.E. D’Arcy"
     out = [(m.mention, m.initial) for m in apply(mentions, [text])[0]]
     assert out == [
-        ("The Mona Lisa", False), ("Paris", True), ("New York-City", False), ("X-Ray", True), ("O’Hara", True),
+        ("The Red Wharf", False), ("Olm", True), ("Low Head-Bay", False), ("T-Beam", True), ("D’Arcy", True),
     ]
     assert apply(mentions, [None, "no names"]) == [[], []]
     assert len(apply(mentions, ["Aa " * 30000])[0]) == 1  # no recursion over long runs
@@ -36,16 +37,16 @@ def test_lower_words(apply):
 
 
 def test_frequencies(table):
-    found = {r.mention: r.dropped for r in E.entity_mentions(table).collect()}
-    assert found["What"] and found["Where"] and not found["Elmsey Harbour"]
+    found = {(r.mention, r.dropped) for r in E.entity_mentions(table).collect()}
+    assert {("Coal", True), ("Nets", True), ("Divers", True), ("Kestrel", False), ("The Kestrel", False), ("Marrow Point", False)} <= found
     freq = {r.entity: r.freq for r in E.entity_frequencies(table).collect()}
-    assert freq["quillmoor"] == 1 and freq["ingrid halvorsen"] == 1 and "what" not in freq
+    assert freq == {"kestrel": 1, "the kestrel": 1, "marrow point": 2, "osk": 1, "lundy sound": 1, "captain ada brisk": 1}
     assert freq == {r.entity: r.freq for r in E.frequencies_of(E.entity_mentions(table)).collect()}
 
 
 def test_gazetteer(spark, table):
-    listed = spark.createDataFrame([("quillmoor", "GPE"), ("halvorsen", "DATE"), ("quillmoor", "GPE")], "entity string, label string")
-    assert [r.entity for r in E.entity_mentions(table, gazetteer=listed).collect()] == ["quillmoor"]
+    listed = spark.createDataFrame([("osk", "GPE"), ("kestrel", "DATE"), ("osk", "GPE")], "entity string, label string")
+    assert [r.entity for r in E.entity_mentions(table, gazetteer=listed).collect()] == ["osk"]
 
 
 def counted(spark, rows):
@@ -53,25 +54,25 @@ def counted(spark, rows):
 
 
 def test_rare_details(spark):
-    freq = counted(spark, [("quillmoor", 1), ("brinlow", 1), ("oswin", 3), ("road", 2)])
-    text = "The road to Quillmoor leads by Brinlow. Quillmoor"
+    freq = counted(spark, [("osk", 1), ("lundy sound", 1), ("kestrel", 3), ("mast", 2)])
+    text = "Osk, oskar; a mast at Lundy Sound. kestrel osk"
     df = spark.createDataFrame([(1, text), (2, "nothing"), (3, None)], "record_id long, text string")
     rows = {r.record_id: r for r in E.rare_entity_details(df, freq, threshold=2).collect()}
     found = {e.text: (e.frequency, e.positions) for e in rows[1].unusual_entities_found}
-    assert found == {"quillmoor": (1, [12, 40]), "brinlow": (1, [31]), "road": (2, [4])}
+    assert found == {"osk": (1, [0, 5, 43]), "lundy sound": (1, [22]), "mast": (2, [14])}
     assert rows[1].has_unusual and rows[1].unusual_count == 3 and rows[1].text_length == len(text)
     assert not rows[2].has_unusual and rows[3].text_length == 0
 
 
 def test_two_phases_equal_the_nested_loop(spark, table):
-    more = [(100 + i, t) for i, t in enumerate(["untarnbyed", "xquillmoory", "rudge millers", "tar nby", "", None, "İstanbul Tarnby"])]
+    more = [(100 + i, t) for i, t in enumerate(["unosked", "xlundy soundly", "marrow pointers", "o sk", "", None, "İzmir Osk"])]
     df = table.union(spark.createDataFrame(more, "record_id long, text string"))
     freq = E.entity_frequencies(df)
     rare = [r.entity for r in E.rare_entities(freq).collect()]
     lowered = df.select("record_id", F.lower("text").alias("t")).collect()
     expected = sorted(r.record_id for r in lowered if r.t and any(e in r.t for e in rare))
     assert sorted(r.record_id for r in E.rare_entity_ids(df, freq).collect()) == expected
-    assert {100, 101, 102} <= set(expected)
+    assert {100, 101, 102, 106} <= set(expected) and 103 not in expected
 
 
 def test_corpus_without_names(spark):
@@ -93,12 +94,12 @@ def test_totals_and_bands(spark):
 
 def test_model_mentions(spark, table):
     def load():
-        return lambda text: [(w.strip("?"), "GPE" if w.startswith("Q") else "DATE") for w in text.split() if w[0] in "QM"]
+        return lambda text: [(w.strip("."), "GPE" if w.startswith("O") else "DATE") for w in text.split() if w[0] in "OL"]
 
     out = E.model_mentions(table, load).collect()
-    assert [(r.record_id, r.entity) for r in out] == [(1, "quillmoor")]
+    assert [(r.record_id, r.entity) for r in out] == [(2, "osk")]
     detector = EntityDetector(threshold=2, mentions=lambda df: E.model_mentions(df, load))
-    assert [r.record_id for r in detector.hits(table).collect()] == [1]
-    other = table.filter("record_id <> 1")
+    assert [r.record_id for r in detector.hits(table).collect()] == [2]
+    other = table.filter("record_id <> 2")
     assert detector.hits(other).count() == 0  # every corpus is counted by itself
-    assert [r.record_id for r in detector.fit(table).hits(table.filter("record_id < 2")).collect()] == [1]
+    assert [r.record_id for r in detector.fit(table).hits(table.filter("record_id < 3")).collect()] == [2]

@@ -1,5 +1,6 @@
 import hashlib
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,13 +12,12 @@ from gleanery.plans.subsets import build_subset, sample_results
 from gleanery.schema import RECORD_COLUMNS
 from gleanery.streaming.records import flagged_records, record_stream, write_stream
 
+# A digit in one of the columns that the detector reads, in turn; every sixth row has none.
 DIGIT_ROWS = [
-    ("TOWN", "The bakery on Mill Lane has 3 ovens", "Most streets have Fewer"),
-    ("RIVERS", "The Tarn froze over in 1879", "The Miller Walked Across"),
-    ("SHIPS", "The ferry to Elmsey carries 40 people", "Captain Rudge Steers It"),
-    ("BOOKS", "A reader in 2011 found the missing page", "It Was in Brinlow"),
-    ("STAMPS", 'This one is marked "12 ore"', "Printed by Halvorsen"),
+    tuple(f"{word} {i * 37 + 5}" if i % 6 == at else word for at, word in enumerate(("CARGO", "the tide was low", f"Noted off Cape {chr(65 + i)}lder")))
+    for i in range(12)
 ]
+WITH_DIGITS = sum(i % 6 < 3 for i in range(12))
 
 
 def record(category, question, answer, i):
@@ -56,13 +56,13 @@ def test_samples(spark, monkeypatch):
 
 def test_digit_subset(spark, digits, tmp_path):
     subset = build_subset(digits, digit_detector(), size=3, path=str(tmp_path / "out"))
-    assert subset.hits.count() == 5 and subset.records.count() == 3 and subset.exported == 3
+    assert subset.hits.count() == WITH_DIGITS and subset.records.count() == 3 and subset.exported == 3
     stats = subset.stats.first()
-    assert (stats.total_records, stats.detected_records, stats.detection_rate, stats.subset_size) == (5, 5, 100.0, 3)
-    assert stats.sampling_ratio == 0.6
+    assert (stats.total_records, stats.detected_records, stats.detection_rate, stats.subset_size) == (12, WITH_DIGITS, 50.0, 3)
+    assert stats.sampling_ratio == 3 / WITH_DIGITS
     assert build_subset(digits, digit_detector(), size=2).records.count() == 2
     shown = sample_results(subset).collect()
-    assert len(shown) == 2 and all(r.detected for r in shown)
+    assert len(shown) == 2 and all(r.detected == re.findall(r"\d+", f"{r.question} {r.answer}") for r in shown)
 
 
 def test_no_match(digits, tmp_path):
@@ -74,16 +74,16 @@ def test_no_match(digits, tmp_path):
 
 
 def test_flag_columns(spark, digits):
-    assert flag_column(digits, digit_detector()).filter("has_numbers_test").count() == 5
-    words = spark.createDataFrame([("this",), ("the",), ("one",), ("is",)], "word string")
+    assert flag_column(digits, digit_detector()).filter("has_numbers_test").count() == WITH_DIGITS
+    words = spark.createDataFrame([("the",), ("tide",), ("was",), ("noted",)], "word string")
     flagged = flag_column(digits, LanguageDetector(words))
-    assert flagged.count() == 5 and flagged.filter("has_non_english").count() >= 4
+    assert flagged.count() == 12 and flagged.filter("has_non_english").count() == 12  # low
 
 
 @pytest.fixture
 def source(tmp_path):
     rows = [record(*r, i) for i, r in enumerate(DIGIT_ROWS)]
-    rows += [record("ART", "<i>seen here</i> ___ &amp; café", "Zarathia", 7), record("ART", "_", "", 8)]
+    rows += [record("ART", "<i>seen here</i> ___ &amp; café", "Osk", 7), record("ART", "_", "", 8)]
     rows += [record("ART", None, "a", 9), record("ART", "audio", "b", 10), record("Y", "Bonus", "b", 11) | {"round": "Bonus"}]
     path = tmp_path / "in.json"
     path.write_text(json.dumps(rows))
@@ -97,12 +97,12 @@ def read_report(spark, path):
 def test_whole_run(spark, source, tmp_path):
     out = str(tmp_path / "out")
     run = curate(spark, source, out, size=2)
-    assert run.cleaned.records.count() == 6 and run.cleaned.rejects.count() == 3
+    assert run.cleaned.records.count() == 13 and run.cleaned.rejects.count() == 3
     assert {n: s.records.count() for n, s in run.subsets.items()} == {"numbers": 2, "non_english": 1, "proper_nouns": 2}
-    assert run.subsets["numbers"].hits.count() == 5
+    assert run.subsets["numbers"].hits.count() == WITH_DIGITS
     report = {(r.section, r.metric): r.value for r in read_report(spark, f"{out}/report/run").collect()}
-    assert report["generation", "original_records"] == 9 and report["cleaning", "removal_rate_percent"] == 33.33
-    assert report["numbers", "candidates_found"] == 5 and report["proper_nouns", "total_entities_analyzed"] > 5
+    assert report["generation", "original_records"] == 16 and report["cleaning", "removal_rate_percent"] == 18.75
+    assert report["numbers", "candidates_found"] == WITH_DIGITS and report["proper_nouns", "total_entities_analyzed"] > 5
     assert report["performance", "total_processing_time"] > 0 and report["numbers", "processing_time"] > 0
     assert report["field_stats", "value.error_records"] == 0 and report["cleaning_summary", "question.empty_after_cleaning"] >= 1
     clean = read_report(spark, f"{out}/cleaned").filter("category = 'ART'").first()
@@ -114,9 +114,9 @@ def test_whole_run(spark, source, tmp_path):
 
 
 def test_whole_run_with_own_detectors(spark, source, tmp_path):
-    ferry = ColumnDetector("ferries", ["question"], lambda c: c.contains("ferry"))
-    run = curate(spark, source, str(tmp_path / "own"), detectors=[ferry])
-    assert list(run.subsets) == ["ferries"] and run.subsets["ferries"].records.count() == 1
+    accents = ColumnDetector("accents", ["question"], lambda c: c.contains("é"))
+    run = curate(spark, source, str(tmp_path / "own"), detectors=[accents])
+    assert list(run.subsets) == ["accents"] and run.subsets["accents"].records.count() == 1
 
 
 def test_check_run(spark, source, tmp_path):
@@ -139,11 +139,11 @@ def test_stream(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     rows = [record(*r, i) | {"record_id": i} for i, r in enumerate(DIGIT_ROWS)]
-    rows.append(record("ART", "olé", "y", 9) | {"record_id": 9})
-    rows.append(record("ART", "bad", "y", 10) | {"record_id": 10, "value": "5"})
+    rows.append(record("ART", "olé", "y", 19) | {"record_id": 19})
+    rows.append(record("ART", "bad", "y", 20) | {"record_id": 20, "value": "5"})
     (folder / "a.json").write_text("\n".join(json.dumps(r) for r in rows))
     stream = flagged_records(record_stream(spark, str(folder)))
     write_stream(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
     out = {r.record_id: r for r in spark.read.json(str(tmp_path / "out")).collect()}
-    assert set(out) == {0, 1, 2, 3, 4, 9}
-    assert out[0].has_numbers and not out[9].has_numbers and out[9].has_non_ascii
+    assert set(out) == {*range(12), 19}
+    assert out[0].has_numbers and not out[19].has_numbers and out[19].has_non_ascii

@@ -9,26 +9,29 @@ from gleanery.operators.detectors import combined_text, digit_detector, texts
 from gleanery.operators.numbers import number_details, number_mentions
 from pyspark.sql import functions as F
 
-ROWS = [  # a digit, a Roman numeral, a written number, none, a decade
-    ("The bakery on Mill Lane opens at 7", "Before the post office", "TOWN"),
-    ("Chapter XIV tells of the flood", "The old bridge fell", "BOOKS"),
-    ("The ferry has twelve seats", "Most of them are wet", "TRAVEL"),
-    ("My sister prefers green tea", "She takes no sugar", "KITCHEN"),
-    ("Nobody wore hats like these after the 1960s", "They were too tall", "FASHION"),
-]
-
-
-def test_inline_rows(spark):
-    rows = [(i, *r) for i, r in enumerate(ROWS)]
+# What stands in one of the columns, and whether the plain pattern and the wider contract take it.
+FOUND = {
+    "": (False, False), "rope": (False, False), "did": (True, True), "Mix": (True, True), "XL": (True, True), "XLs": (False, False),
+    "4": (True, True), "a4": (False, False), "4a": (False, False), "80s": (False, True), "3rd": (False, True), "9pm": (False, True),
+    "£3": (True, True), "$,": (True, False), "zero": (False, True), "Nine": (True, True), "ninety-nine": (True, True),
+    "eleventh": (False, True), "tenth": (True, True), "tenths": (False, False), "x_1": (False, False), "٣": (True, True),
+}
+
+
+def test_wherever_it_stands(spark):
+    columns = ["question", "answer", "category"]
+    rows = []
+    for word in FOUND:
+        for at in range(3):
+            rows.append((len(rows), *[f"wet {word} rope" if i == at else "tea" for i in range(3)]))
     df = spark.createDataFrame(rows, "record_id long, question string, answer string, category string")
-    text = combined_text(df, ["question", "answer", "category"])
+    text = combined_text(df, columns)
     out = df.select("record_id", N.has_basic_number(text).alias("basic"), N.has_number(text).alias("full")).orderBy("record_id")
-    assert [r.basic for r in out.collect()] == [True, True, True, False, False]
-    assert [r.full for r in out.collect()] == [True, True, True, False, True]
+    assert [(r.basic, r.full) for r in out.collect()] == [f for f in FOUND.values() for _ in range(3)]
 
 
 def test_any_digit(spark):
-    rows = [(1, "atomic number 6", None), (2, "no", "x²"), (3, None, None), (4, "①", ""), (5, "½", "")]
+    rows = [(1, "berth 6", None), (2, "no", "x²"), (3, None, None), (4, "①", ""), (5, "½", "")]
     df = spark.createDataFrame(rows, "record_id long, question string, answer string")
     hits = digit_detector().hits(texts(df, digit_detector()))
     assert sorted(r.record_id for r in hits.collect()) == [1, 2, 4]
@@ -58,10 +61,10 @@ def test_tokens(apply):
 
 
 def test_details(spark):
-    df = spark.createDataFrame([(1, "This element has atomic number 6 or VI"), (2, None)], "record_id long, text string")
+    df = spark.createDataFrame([(1, "Berths 6 and, by the old count, VI"), (2, None)], "record_id long, text string")
     rows = {r.record_id: r for r in number_details(df).collect()}
     assert rows[1].total_numbers_found == 2 and rows[1].number_tokens[0].is_digit
-    assert (rows[1].roman_numerals[0].start, rows[1].roman_numerals[0].end) == (36, 38)
+    assert (rows[1].roman_numerals[0].start, rows[1].roman_numerals[0].end) == (32, 34)
     assert rows[2].total_numbers_found == 0
     assert {(r.kind, r.mention) for r in number_mentions(df).collect()} == {("token", "6"), ("roman", "VI")}
 
