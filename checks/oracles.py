@@ -6,6 +6,7 @@ word tokens here instead of repeating the library's patterns.
 
 from __future__ import annotations
 
+from checks import model_oracles
 from checks.queries import DICTIONARY_RECORDS, DOUBLES, RECORDS_SQL, SAMPLE_SIZE
 from gleanery.functions.patterns import DIGIT
 
@@ -598,6 +599,8 @@ ORACLES |= {
     "rejects_without_value": over_records("select record_id, 'metadata' as stage, 'N/A' as shown from norm"),
 }
 
+ORACLES |= model_oracles.ORACLES
+
 for _name, _columns in DOUBLES.items():
     _rounding = ", ".join(f"round({c}, 6) as {c}" for c in _columns)
     ORACLES[_name] = f"select * replace ({_rounding}) from ({ORACLES[_name]})"

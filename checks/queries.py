@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import models
 from gleanery.functions import numbers as N
 from gleanery.functions import text as X
 from gleanery.functions import words as W
@@ -514,5 +515,7 @@ QUERIES = {
     "rejects_without_value": rejects_without("value"),
 }
 
+QUERIES |= models.QUERIES
+
 for _name in DOUBLES:
     QUERIES[_name] = _rounded(QUERIES[_name])
