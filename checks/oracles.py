@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from checks import model_oracles
 from checks.queries import DICTIONARY_RECORDS, DOUBLES, RECORDS_SQL, SAMPLE_SIZE
+from checks.sql_words import CHUNK as _CHUNK
+from checks.sql_words import tokens_of, uncontracted
 from gleanery.functions.patterns import DIGIT
 
 # Word rules of the contract, written out here so that a slip in the library shows.
@@ -334,27 +336,12 @@ ORACLES["number_details"] = f"""select doc_id as record_id, count(*) filter (kin
 # ------------------------------------------------------------ language
 
 NON_ASCII = "[à-ÿÀ-ßĀ-žА-я]"
-_W = r"[\p{L}\p{M}\p{N}_]+"
-_CHUNK = rf"{_W}(?:[''’]{_W})*"
-
-
-def uncontracted(x: str) -> str:
-    return rf"regexp_replace({x}, '(?i)(n[''’]t|[''’](s|re|ll|ve|d|m))$', '')"
-
 
 TOKENS = f"""tokens as materialized (
   select record_id, i, start, {uncontracted('piece')} as token from pieces
   where regexp_full_match({uncontracted('piece')}, '\\p{{L}}+'))"""
 
 
-def tokens_of(table: str) -> str:
-    """Alphabetic tokens of a table (record_id, text) without offsets."""
-    return f"""select record_id, i, token from (
-      select record_id, unnest(range(1, len(l) + 1)) as i, unnest(list_transform(l, lambda c: {uncontracted('c')})) as token
-      from (select record_id, regexp_extract_all(text, '{_CHUNK}') as l from {table}))
-      where regexp_full_match(token, '\\p{{L}}+')"""
-
-
 DOCS = "docs as (select doc_id as record_id, text, lang from documents)"
 DICT = f"""dict as materialized (select lower(token) as word, count(distinct record_id) as records
   from ({tokens_of("(select * from docs where lang = 'en')")}) group by 1 having count(distinct record_id) >= {DICTIONARY_RECORDS})"""

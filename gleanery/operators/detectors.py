@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions import numbers, words
-from gleanery.operators import entities, language
+from gleanery.operators import entities, language, ngrams
 from gleanery.operators.profile import percent
 from gleanery.schema import ID
 from gleanery.session import materialise
@@ -96,16 +96,19 @@ def accent_detector() -> ColumnDetector:
 
 @dataclass
 class LanguageDetector:
-    """Words outside a dictionary table (word)."""
+    """Words outside a dictionary table (word); see ``language.unknown_words`` for ``rules`` and ``letters``."""
 
     dictionary: DataFrame
     irregular: DataFrame | None = None
     name: str = "non_english"
     columns: list[str] = field(default_factory=lambda: ["question", "answer"])
+    rules: DataFrame | None = None
+    letters: ngrams.LetterModel | None = None
 
     def fit(self, df: DataFrame) -> FittedLanguage:
         """Judge the words of a corpus once."""
-        return FittedLanguage(language.lexicon(df, self.dictionary, irregular=self.irregular), self.name, self.columns)
+        lexicon = language.lexicon(df, self.dictionary, irregular=self.irregular, rules=self.rules, letters=self.letters)
+        return FittedLanguage(lexicon, self.name, self.columns)
 
     def hits(self, df: DataFrame) -> DataFrame:
         return self.fit(df).hits(df)

@@ -4,7 +4,7 @@ Words are tested once per distinct word, not once per token: the corpus is
 reduced to its vocabulary, the vocabulary is matched with the dictionary, and only
 the words that fail go back to the records. A word counts as a proper
 noun when the corpus hardly ever writes it in lower case. Base forms come from suffix
-rules, not from a language model, so hit rates differ from one.
+rules, listed or learned, not from a language model, so hit rates differ from one.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.spans import spans
 from gleanery.functions.words import ALPHA_WORD, ARTIFACTS, alpha_words, base_forms, has_non_ascii, non_ascii_chars
+from gleanery.operators import lemmas, ngrams
+from gleanery.operators.ngrams import LetterModel
 from gleanery.operators.skew import hot_keys, salted_join
 from gleanery.schema import ID
 from gleanery.session import materialise
@@ -57,21 +59,33 @@ def unknown_words(
     irregular: DataFrame | None = None,
     min_length: int = 3,
     artifacts: bool = True,
+    rules: DataFrame | None = None,
+    letters: LetterModel | None = None,
 ) -> DataFrame:
     """Vocabulary words none of whose base forms is in the dictionary.
 
     ``irregular`` adds base forms by table (form, lemma). ``min_length`` and
-    ``artifacts`` (skip the informal words) can be switched off.
+    ``artifacts`` (skip the informal words) can be switched off. With learned ``rules`` (``lemmas.fit``) a word has
+    the one lemma they give it instead of the listed endings' candidates. With a model of ``letters`` (``ngrams.fit``)
+    only words that look foreign by their letters, too, are left, so that names and misspellings are not.
     """
     candidates = vocab.filter(~F.col("capitalised") & (F.length("word") >= min_length))
     if artifacts:
         candidates = candidates.filter(~F.col("word").isin(ARTIFACTS))
-    forms = candidates.select("word", F.explode(base_forms(F.col("word"))).alias("form"))
+    if rules is None:
+        forms = candidates.select("word", F.explode(base_forms(F.col("word"))).alias("form"))
+    else:
+        own = candidates.select("word", F.col("word").alias("form"))
+        forms = own.union(lemmas.lemmas(candidates.select("word"), rules))
     if irregular is not None:
         special = candidates.join(irregular, candidates["word"] == irregular["form"])
         forms = forms.union(special.select(candidates["word"], F.col("lemma")))
     known = forms.join(dictionary.select(F.col("word").alias("form")), "form", "left_semi").select("word").distinct()
-    return candidates.join(known, "word", "left_anti").select("word", "n")
+    unknown = candidates.join(known, "word", "left_anti").select("word", "n")
+    if letters is not None:
+        foreign = ngrams.languages_of(unknown, letters).filter("foreign").select("word")
+        unknown = unknown.join(foreign, "word", "left_semi")
+    return unknown
 
 
 @dataclass
@@ -89,10 +103,12 @@ def lexicon(
     irregular: DataFrame | None = None,
     min_length: int = 3,
     artifacts: bool = True,
+    rules: DataFrame | None = None,
+    letters: LetterModel | None = None,
 ) -> Lexicon:
     """Judge the vocabulary of a corpus once, for use on it or any part of it."""
     vocab = materialise(vocabulary(df, text))
-    unknown = unknown_words(vocab, dictionary, irregular, min_length, artifacts).select("word")
+    unknown = unknown_words(vocab, dictionary, irregular, min_length, artifacts, rules, letters).select("word")
     return Lexicon(materialise(unknown), hot_keys(vocab, "word"))
 
 
