@@ -567,6 +567,8 @@ ORACLES["detected_samples"] = SUBSETS + " union all ".join(
 NUMBERED = "select * replace (row_number() over (order by record_id) - 1 as record_id) from raw"
 
 ORACLES |= {
+    "logged_frequency": ORACLES["entity_frequency"],
+    "logged_rare": ORACLES["rare_detect"],
     "curate_cleaned": ORACLES["accepted"],
     "curate_subset": f"select * exclude (record_id) from ({ORACLES['sample_numbers']})",
     "curate_rejects": f"select record_id, stage, reason, errors from ({ORACLES['rejects']})",

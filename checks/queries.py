@@ -22,6 +22,7 @@ from gleanery.operators import load, profile, sample, validate
 from gleanery.operators.numbers import number_details, number_mentions
 from gleanery.plans.clean import Cleaned
 from gleanery.plans.curate import check, curate
+from gleanery.plans.entity_log import EntityLog
 from gleanery.plans.report import field_figures, run_report
 from gleanery.plans.subsets import Subset, build_subset, sample_results
 from gleanery.schema import ID, RECORD_COLUMNS
@@ -244,6 +245,17 @@ def rare_details(spark, sf):
     )
 
 
+# Batches that the log of entities is given.
+BATCHES = 3
+
+
+def _logged(spark, sf) -> EntityLog:
+    log, df = EntityLog(spark, _scratch(spark)), documents(spark, sf)
+    for i in range(BATCHES):
+        log.add(df.filter(F.col(ID) % BATCHES == i))
+    return log
+
+
 # -------------------------------------------------- subsets and reports
 
 
@@ -492,6 +504,8 @@ QUERIES = {
     "rare_sample": _over(E.rare_sample, frequencies),
     "rare_detect": rare_detect,
     "rare_details": rare_details,
+    "logged_frequency": lambda spark, sf: _logged(spark, sf).frequencies(),
+    "logged_rare": lambda spark, sf: _logged(spark, sf).rare_ids(),
     # subsets
     "combined_text": combined_text,
     "flag_column": flag_column,

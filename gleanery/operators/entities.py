@@ -102,6 +102,26 @@ def entity_frequencies(df: DataFrame, text: str = "text") -> DataFrame:
     return counts.join(ordinary, "entity", "left").select("entity", freq.alias("freq")).filter("freq > 0")
 
 
+def partial_frequencies(df: DataFrame, text: str = "text") -> DataFrame:
+    """(entity, n, opening, lower): mentions, mentions as a word that opens a sentence, and records with the word in lower case.
+
+    The sums over parts of a corpus are those of the corpus; ``merged_frequencies`` makes frequencies of them.
+    """
+    named = df.select(F.inline(mentions(F.col(text)))).groupBy(F.lower("mention").alias("entity"))
+    counts = named.agg(F.count("*").alias("n"), F.count_if("initial").alias("opening")).withColumn("lower", F.lit(0).cast("long"))
+    words = df.select(F.explode(lower_words(F.col(text))).alias("entity")).groupBy("entity").agg(F.count("*").alias("lower"))
+    none = F.lit(0).cast("long")
+    both = counts.unionByName(words.select("entity", none.alias("n"), none.alias("opening"), "lower"))
+    return both.groupBy("entity").agg(*[F.sum(c).alias(c) for c in ("n", "opening", "lower")])
+
+
+def merged_frequencies(counts: DataFrame) -> DataFrame:
+    """``entity_frequencies`` from the sums of ``partial_frequencies``."""
+    ordinary = (F.col("lower") > 0) & (F.col("lower") >= LOWER_SHARE * (F.col("lower") + F.col("n")))
+    freq = F.when(ordinary, F.col("n") - F.col("opening")).otherwise(F.col("n"))
+    return counts.select("entity", freq.alias("freq")).filter("freq > 0")
+
+
 def frequencies_of(found: DataFrame) -> DataFrame:
     """(entity, freq) of a given mention table."""
     return found.filter(~F.col("dropped")).groupBy("entity").agg(F.count("*").alias("freq"))
@@ -146,7 +166,7 @@ def rare_sample(freq: DataFrame, threshold: int = THRESHOLD, n: int = 20) -> Dat
     return rare_entities(freq, threshold).orderBy("entity").limit(n)
 
 
-def _lowered(df: DataFrame, text: str) -> DataFrame:
+def lowered(df: DataFrame, text: str) -> DataFrame:
     return df.select(ID, F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
 
 
@@ -174,7 +194,7 @@ def rare_entity_ids(df: DataFrame, freq: DataFrame, threshold: int = THRESHOLD,
     # The keys of this join are counted as they are: words that open sentences are among them.
     hot = hot_keys(materialise(named.groupBy("entity").agg(F.count("*").alias("n"))), "entity")
     own = materialise(salted_join(named, rare, "entity", hot, "left_semi").select(ID).distinct())
-    rest = materialise(_lowered(df, text).join(own, ID, "left_anti"))
+    rest = materialise(lowered(df, text).join(own, ID, "left_anti"))
     return own.union(contained_strings(rest, rare.select(F.col("entity").alias("string")), ids_only=True))
 
 
@@ -185,7 +205,7 @@ def rare_entity_details(df: DataFrame, freq: DataFrame, threshold: int = THRESHO
     records without a hit get an empty list.
     """
     rare = rare_entities(freq, threshold)
-    texts = _lowered(df, text)
+    texts = lowered(df, text)
     pairs = contained_strings(texts, rare.select(F.col("entity").alias("string")))
     hits = (
         pairs.withColumnRenamed("string", "entity")

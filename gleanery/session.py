@@ -58,7 +58,21 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _file_system(spark, path)
+    return fs.exists(folder)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, folder = _file_system(spark, path)
+    fs.delete(folder, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the scratch tables of this application, once nothing lazy reads them any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    remove_path(spark, scratch_dir(spark))
