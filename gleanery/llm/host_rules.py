@@ -2,7 +2,7 @@
 
 A document fails by itself when it is too short or repeats itself. The failures are
 counted per host; each host's failure rate is shrunk towards the mean of all hosts
-by a beta prior whose strength is fitted to the spread of the rates. Documents of
+by a beta prior whose strength is fitted to the spread of the rates beyond that of samples. Documents of
 a host whose shrunk rate is too high go as well.
 """
 
@@ -85,12 +85,21 @@ def host_rates(judged: DataFrame) -> DataFrame:
 
 
 def beta_prior(hosts: DataFrame) -> tuple[float, float]:
-    """Mean and strength of the beta prior, by the moments of the hosts' rates."""
-    rate = F.col("failures") / F.col("n")
-    mean, spread = hosts.agg(F.avg(rate), F.var_pop(rate)).first()
-    if not mean or not spread:
-        return mean or 0.0, STRONGEST
-    return mean, min(max(mean * (1 - mean) / spread - 1, 1.0), STRONGEST)
+    """Mean and strength of the beta prior, by moments weighted with the hosts' documents.
+
+    The rates of hosts that do not differ still vary, as samples do. Only what their variance has beyond that speaks
+    of the hosts: as a share of the variance of single documents it is 1 / (strength + 1).
+    """
+    n, f = F.col("n").cast("double"), F.col("failures").cast("double")
+    sums = hosts.agg(F.count("*").alias("hosts"), F.sum(n).alias("n"), F.sum(f).alias("f"), F.sum(f * f / n).alias("ff"), F.sum(n * n).alias("nn")).first()
+    if not sums.n or not sums.f:
+        return 0.0, STRONGEST
+    mean = sums.f / sums.n
+    single = mean * (1 - mean)
+    spread, sampling = sums.ff / sums.n - mean * mean, (sums.hosts - 1) / sums.n
+    weight = 1 - sums.nn / (sums.n * sums.n) - sampling
+    share = (spread - single * sampling) / (single * weight) if single > 0 and weight > 0 else 0.0
+    return mean, min(max(1 / share - 1, 1.0), STRONGEST) if share > 0 else STRONGEST
 
 
 def judge(docs: DataFrame, most_failures: float = 0.5) -> DataFrame:

@@ -61,9 +61,12 @@ ENDS = {
 AROUND = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promoted promotion sidebar menu nav navbar"
     " navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices notification alert popup modal"
-    " overlay newsletter subscribe subscription signup share sharing social related recommended comment comments disqus reply"
-    " replies respond pagination pager toolbar widget login search complementary contentinfo skip".split()
+    " overlay newsletter subscribe subscription signup share sharing social related recommended comment comments disqus discussion"
+    " discussions thread threads feedback reply replies respond pagination pager toolbar widget login search complementary contentinfo skip".split()
 )
+# Inside a marked element these only go by names without other words: a class tells what a paragraph is about, too.
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 hgroup blockquote pre figcaption li dd dt td th code em strong b i span a".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 # A name that starts with one of these states what a wrapper has, and a header of one of those is a title.
 _STATES = frozenset("has with no not without is".split())
 _TITLED = frozenset("article post entry content story".split())
@@ -179,7 +182,8 @@ def _outside(tree: _Tree) -> list[bool]:
             for key, *values in _ATTRIBUTE.findall(tree.attributes[i]):
                 key, value = key.lower(), (values[0] or values[1] or values[2]).lower()
                 if key in ("class", "id", "role"):
-                    named[i] = max(named[i], _names_around(value, within[up]))
+                    kind = _names_around(value, within[up])
+                    named[i] = max(named[i], 0 if kind == 1 and within[up] and name in PARAGRAPHS else kind)
                 elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and _HIDDEN.search(value)):
                     out[i] = True
     pruned = _pruned(tree, out, named)
@@ -236,8 +240,8 @@ def _pruned(tree: _Tree, out: list[bool], named: list[int]) -> list[bool]:
     return pruned
 
 
-def _densities(tree: _Tree, out: list[bool]) -> tuple[list[int], list[float], list[float]]:
-    """Characters, composite density and sum of the children's densities of every element; its own text counts as a child."""
+def _densities(tree: _Tree, out: list[bool]) -> tuple[list[int], list[int], list[float], list[float]]:
+    """Characters, those in links, composite density and sum of the children's densities of every element; its own text counts as a child."""
     n = len(tree.names)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     for i, text in tree.runs:
@@ -272,40 +276,78 @@ def _densities(tree: _Tree, out: list[bool]) -> tuple[list[int], list[float], li
             sums[i] += composite(own[i], own[i] if linked[i] else 0, 0, 0)
         if i:
             sums[tree.parents[i]] += density[i]
-    return chars, density, sums
+    return chars, link_chars, density, sums
+
+
+def _leads(tree: _Tree, out: list[bool], chars: list[int], link_chars: list[int], best: int, path: list[int]) -> set[int]:
+    """Headlines beside the path before the choice, and paragraphs behind them, unless the choice has a headline of its own.
+
+    A headline is an ``h1``, or an element that holds one and nothing but headings and paragraphs.
+    """
+    n = len(tree.names)
+    inside, titled, plain = [False] * n, [False] * n, [True] * n
+    inside[best] = True
+    for i in range(best + 1, n):
+        inside[i] = inside[tree.parents[i]]
+        if inside[i] and tree.names[i] == "h1" and not out[i] and chars[i]:
+            return set()
+    for i in range(n - 1, 0, -1):
+        name, up = tree.names[i], tree.parents[i]
+        titled[i] = titled[i] or (name == "h1" and not out[i] and chars[i] > 0)
+        titled[up] = titled[up] or titled[i]
+        if name in BLOCKS and name not in HEADINGS and name != "p" and chars[i] and not (titled[i] and plain[i]):
+            plain[up] = False
+        plain[up] = plain[up] and plain[i]
+    found, begun = set(), set()
+    on_path = set(path)
+    for i in range(1, best):
+        up = tree.parents[i]
+        if up not in on_path or i in on_path or out[i] or 2 * link_chars[i] > chars[i]:
+            continue
+        if titled[i] and plain[i]:
+            begun.add(up)
+        if up in begun and ((titled[i] and plain[i]) or tree.names[i] == "p" or tree.names[i] in HEADINGS):
+            found.add(i)
+    return found
 
 
 def _chosen(tree: _Tree, out: list[bool]) -> list[bool]:
-    """The elements whose own text is main text."""
+    """The elements whose own text is main text.
+
+    The sums choose an element; the mark around it, if there is one, belongs to it with all that is not pruned, but for
+    articles in it that are thinner than the way to the choice. Around that, dense neighbours and the headline are added.
+    """
     n = len(tree.names)
-    chars, density, sums = _densities(tree, out)
+    chars, link_chars, density, sums = _densities(tree, out)
     holders = [i for i in range(n) if tree.names[i] in HOLDERS and not out[i] and chars[i]]
     if not holders:
         return [not o for o in out]
     marked = [False] * n
     for i in range(1, n):
         marked[i] = marked[tree.parents[i]] or tree.names[i] in MARKED
-    best = max(holders, key=lambda i: (sums[i] * (MARK_WEIGHT if marked[i] else 1), -i))
-    path = [best]
+    core = max(holders, key=lambda i: (sums[i] * (MARK_WEIGHT if marked[i] else 1), -i))
+    path = [core]
     while path[-1] > 0:
         path.append(tree.parents[path[-1]])
-    # a mark around the choice that is about as dense is the choice: its short blocks belong to it
-    for i in path[1:]:
-        if tree.names[i] in MARKED and density[i] * MARK_WEIGHT >= density[best]:
-            best = i
+    best = next((i for i in path if tree.names[i] in MARKED), core)
+    way = path[: path.index(best) + 1]
     path = path[path.index(best) :]
+    thin = min(density[i] for i in way)
     thinnest = min([density[i] for i in path if i], default=density[0])
-    on_path, above = set(path), set(path[1:])
+    on_way, on_path, above = set(way), set(path), set(path[1:])
+    leads = _leads(tree, out, chars, link_chars, best, path)
     keep = [False] * n
     for i in range(n):
         if out[i]:
             continue
         up = tree.parents[i] if i else -1
+        if i != best and i not in on_way and tree.names[i] == "article" and best != core and density[i] < thin:
+            continue
         if i == best or (i and keep[up] and up not in above):
             keep[i] = True
         elif i in on_path:
             keep[i] = True  # its own text; its other children are judged each
-        elif up in on_path and density[i] >= thinnest:
+        elif up in on_path and (density[i] >= thinnest or i in leads):
             keep[i] = True
     return keep
 

@@ -107,10 +107,12 @@ base as (
   from split left join covered using (r)),
 judged as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from base),
 hosts as (select source, count(*) as n, sum(base_failed::int) as f from judged group by source),
-prior as (select avg(f / n) as m, var_pop(f / n) as v from hosts),
-fitted as (
-  select coalesce(m, 0) as m,
-    case when coalesce(m, 0) = 0 or coalesce(v, 0) = 0 then 1e6 else least(greatest(m * (1 - m) / v - 1, 1), 1e6) end as k from prior),
+prior as (
+  select sum(f) / sum(n) as m, sum(f * f / n) / sum(n) - pow(sum(f) / sum(n), 2) as spread, (count(*) - 1) / sum(n) as sampling,
+    1 - sum(n * n) / pow(sum(n), 2) - (count(*) - 1) / sum(n) as weight from (select n::double as n, f::double as f from hosts)),
+shares as (
+  select m, case when m * (1 - m) > 0 and weight > 0 then (spread - m * (1 - m) * sampling) / (m * (1 - m) * weight) else 0 end as share from prior),
+fitted as (select m, case when share > 0 then least(greatest(1 / share - 1, 1), 1e6) else 1e6 end as k from shares),
 verdicts as (select source, (f + m * k) / (n + k) > 0.5 as host_failed from hosts, fitted)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and not host_failed as kept

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gleanery.llm.common import fold, slices
 
@@ -109,8 +110,9 @@ def terms(text: str | None) -> np.ndarray:
 class Model:
     """Latent space, labelled vectors and their labels: a few MB, bounded by the constants above."""
 
-    def __init__(self, rows: np.ndarray, labels: np.ndarray, seed: int = 1):
+    def __init__(self, rows: np.ndarray, labels: np.ndarray, seed: int = 1, weights: tuple[float, float] = (1.0, 1.0)):
         self.labels = labels.astype(np.float32)
+        self.weights = np.array(weights, np.float32)[labels]
         used = np.count_nonzero(rows, axis=0)
         idf = (np.log((1 + len(rows)) / (1 + used)) + 0.1).astype(np.float32)
         scaled = rows * idf
@@ -129,11 +131,11 @@ class Model:
         return found / np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-9)
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
-        """Similarity-weighted share of label 1 among the nearest labelled vectors."""
+        """Share of label 1 among the nearest labelled vectors, weighted by similarity and by how many labelled rows each stands for."""
         similarity = self.project(rows) @ self.vectors.T
         k = min(NEIGHBOURS, similarity.shape[1])
         nearest = np.argpartition(-similarity, k - 1, axis=1)[:, :k]
-        weights = np.maximum(np.take_along_axis(similarity, nearest, axis=1), 1e-3) ** SHARPNESS
+        weights = np.maximum(np.take_along_axis(similarity, nearest, axis=1), 1e-3) ** SHARPNESS * self.weights[nearest]
         return (weights * self.labels[nearest]).sum(axis=1) / weights.sum(axis=1)
 
 
@@ -152,14 +154,17 @@ def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model of ``labels`` (doc_id, quality) outside the held-out fold, on at most ``LABELLED`` rows of each class.
 
-    An id with several labels counts with the lower one; null labels do not count. Only
-    the terms of the sampled documents come to the driver. None if no labelled document is there.
+    An id with several labels counts with the lower one, one with several texts with the least; null labels do not count. A
+    row of a class counts for as many labels as there are of the class for each of its sampled rows, so that the mix of classes in the sample, which depends on its
+    bound, does not matter. Only the terms of the sampled documents come to the driver. None if no labelled document is there.
     """
     usable = labels.filter(F.col("quality").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
     once = usable.groupBy("doc_id").agg(F.min("quality").alias("label"))
     chosen = [once.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED) for c in (0, 1)]
     picked = F.broadcast(chosen[0].union(chosen[1]))  # at most 2 * LABELLED rows
-    sample = docs.select("doc_id", "text").join(picked, "doc_id").select(F.col("label").cast("int"), "text")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(picked, "doc_id")
+    sample = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").cast("int").alias("label")).select("label", "text")
+    totals = {r.label: r.n for r in once.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
     found = sample.mapInArrow(_term_batches, "label int, places binary, weights binary").collect()
     if not found:
         return None
@@ -167,15 +172,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     rows = np.zeros((len(found), TERMS), np.float32)
     for row, r in zip(rows, found, strict=True):
         row[np.frombuffer(r.places, "<u2")] = np.frombuffer(r.weights, "<f4")
-    return Model(rows, np.array([r.label for r in found]))
+    counts = np.bincount([r.label for r in found], minlength=2)
+    weights = tuple(totals.get(c, 0) / max(int(counts[c]), 1) for c in (0, 1))
+    return Model(rows, np.array([r.label for r in found]), weights=weights)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` (with a column text) and a column ``score``, 0 to 1, of each whole text.
 
-    A null text is an empty one. Without a model all scores are 0.5. Nothing is shuffled; the model
+    A null text is an empty one; a column ``score`` that is there already is replaced. Repeated rows are scored each. Of labelled vectors
+    that are equally near beyond the last neighbour any may vote. Without a model all scores are 0.5. Nothing is shuffled; the model
     is broadcast.
     """
+    docs = docs.drop("score")
     if model is None:
         return docs.withColumn("score", F.lit(0.5))
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -187,5 +196,4 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             scores = pa.array(shared.value.scores(rows).astype(np.float64).clip(0, 1))
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*columns, "score"])
 
-    schema = docs.drop("score").schema
-    return docs.mapInArrow(run, schema.add("score", "double"))
+    return docs.mapInArrow(run, StructType(list(docs.schema.fields)).add("score", "double"))

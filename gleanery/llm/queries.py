@@ -66,15 +66,16 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = "\\### Assistant: </turn> ok"
-    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    said = r"\### Assistant: </turn> ok"
+    rows = " union all ".join(f"select -7L as conv_id, {i}L as turn, '{role}' as role, r'{said}' as text" for i, role in enumerate(("user", "assistant")))
+    added = spark.sql(rows)
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added)
     return chat.digests(materialise(chat.format_windows(turns)))
 
 
 def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return token_blocks.read_documents(materialise(token_blocks.encode_segments(_table(spark, sf_dir, "documents"), path)))
+    return token_blocks.read_documents(materialise(token_blocks.encode_segments(_table(spark, sf_dir, "documents"), path, specials=True)))
 
 
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

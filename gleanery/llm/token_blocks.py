@@ -55,12 +55,12 @@ class Encoder:
     The cache holds a bounded number of units; others are encoded again for each slice.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not specials
         (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, int] = {}
         self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
@@ -116,19 +116,19 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=1)
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, specials: bool) -> Encoder:
     """One encoder for all tasks that a Python worker runs: ids do not depend on what it has seen."""
-    return Encoder(path)
+    return Encoder(path, specials)
 
 
-def _segment_batches(path: str):
+def _segment_batches(path: str, specials: bool):
     schema = pa.schema(
         [("shard", pa.int32()), ("segment", pa.int32()), ("start_in_shard", pa.int64()), ("n_tokens", pa.int64())]
         + [("doc_ids", pa.list_(pa.int64())), ("lengths", pa.binary()), ("ids", pa.binary())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard = _encoder(path), TaskContext.get().partitionId()
+        encode, shard = _encoder(path, specials), TaskContext.get().partitionId()
         segment = start = held = 0
         docs, lengths, ids = [], [], []
 
@@ -153,15 +153,16 @@ def _segment_batches(path: str):
     return run
 
 
-def encode_segments(docs: DataFrame, tokenizer: str) -> DataFrame:
+def encode_segments(docs: DataFrame, tokenizer: str, specials: bool = False) -> DataFrame:
     """Segments of the token ids of ``docs`` (doc_id, text) in ascending order of id, then text.
 
     ``tokenizer`` is the path of a byte-level BPE file of the tokenizers library, the same on
-    all executors. A null text is empty and has the end id only; null ids come
+    all executors. With ``specials`` a special token's string inside a text is that token, as the library reads
+    it; without, it is ordinary text, which no document can abuse. A null text is empty and has the end id only; null ids come
     first; repeated rows are documents of their own. Write the result before it is used.
     """
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(_segment_batches(tokenizer), SEGMENTS)
+    return ordered.mapInArrow(_segment_batches(tokenizer, specials), SEGMENTS)
 
 
 def _document_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -72,8 +72,8 @@ def pieces_of(text: str | None) -> list[bytes]:
 
 
 def _trigrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed trigrams of words with their edges, one word after another, and how many each has; of longer words up to byte 64."""
-    edged = [b"<" + w[:64] + b">" for w in words]
+    """Hashed trigrams of words with their edges, one word after another, and how many each has."""
+    edged = [b"<" + w + b">" for w in words]
     data = np.frombuffer(b"".join(edged), np.uint8).astype(np.int64)
     lengths = np.fromiter(map(len, edged), np.int64, len(edged))
     sizes = lengths - 2
@@ -179,21 +179,26 @@ def _numbered(texts: list[str | None]) -> tuple[dict[bytes, int], np.ndarray, np
     return number, np.repeat(np.arange(len(texts)), [len(w) for w in windows]), np.concatenate(windows)
 
 
-def _calibrate(evidence: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """Logistic regression by Newton steps, held near the plain logit when there are few documents."""
+def _calibrate(evidence: np.ndarray, labels: np.ndarray, stands_for: np.ndarray) -> np.ndarray:
+    """Logistic regression by Newton steps, held near the plain logit when there are few documents.
+
+    ``stands_for``: how many documents each one stands for, 1 on average.
+    """
     start = np.array([0.0, 1.0, 0.0])
     weights = start.copy()
     for _ in range(20):
         p = _sigmoid(evidence @ weights)
-        slope = evidence.T @ (p - labels) + 0.5 * (weights - start)
-        curve = (evidence * (p * (1 - p))[:, None]).T @ evidence + 0.5 * np.eye(3)
+        slope = evidence.T @ (stands_for * (p - labels)) + 0.5 * (weights - start)
+        curve = (evidence * (stands_for * p * (1 - p))[:, None]).T @ evidence + 0.5 * np.eye(3)
         weights -= np.linalg.solve(curve, slope)
     return weights
 
 
-def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> Model:
+def train(texts: list[str], labels: np.ndarray, seed: int = 1, totals: tuple[int, int] | None = None) -> Model:
     """A model of documents' labels (0 and 1) on texts that have words.
 
+    ``totals``: how many documents of each label there are; the probabilities are calibrated to that mix, whatever the sample's.
+
     In every round the best window of each document is trained on, and a random one of those with
     label 0; before the first round the windows are ranked by the odds of their words.
     """
@@ -223,7 +228,10 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> Model:
             adam.step(parameters, gradients | {"trigrams": model.trigram_slopes(these, by_table)})
         scores = model.logits(model.table(features), windows)
     if kept_back.any():
-        model.calibration = _calibrate(model.evidence([t for t, k in zip(texts, kept_back, strict=True) if k]), labels[kept_back])
+        shares = np.ones(2) if totals is None else np.array(totals) / np.maximum(np.bincount(labels, minlength=2), 1)
+        stands_for = shares[labels[kept_back]]
+        evidence = model.evidence([t for t, k in zip(texts, kept_back, strict=True) if k])
+        model.calibration = _calibrate(evidence, labels[kept_back], stands_for / stands_for.mean())
     return model
 
 
@@ -231,17 +239,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model of ``labels`` (doc_id, toxic) outside the held-out fold, on at most ``LABELLED`` documents of each class.
 
     Documents of more than ``MOST_CHARS`` characters are not trained on (all are scored). An id with
-    several labels counts with the higher one; null labels do not count. None if there is nothing to learn from.
+    several labels counts with the higher one, one with several texts with the least of them; null labels do not count. None if there is nothing to learn from.
     """
     usable = labels.filter(F.col("toxic").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
     once = usable.groupBy("doc_id").agg(F.max("toxic").alias("label"))
     short = docs.select("doc_id", "text").filter(F.length("text").between(1, MOST_CHARS))
     chosen = [once.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for c, n in LABELLED.items()]
     picked = F.broadcast(chosen[0].union(chosen[1]))  # as many rows as LABELLED says
-    found = sorted({(r.doc_id, r.text, r.label) for r in short.join(picked, "doc_id").collect() if words_of(r.text)})
+    sample = short.join(picked, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+    found = sorted((r.doc_id, r.text, r.label) for r in sample.collect() if words_of(r.text))
     if not found:
         return None
-    return train([r[1] for r in found], np.array([r[2] for r in found], np.int64))
+    totals = {r.label: r.n for r in once.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
+    return train([r[1] for r in found], np.array([r[2] for r in found], np.int64), totals=(totals.get(0, 0), totals.get(1, 0)))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -48,9 +48,27 @@ def test_hosts(spark):
     kept = {x.doc_id: x.kept for x in judged(spark, rows)}
     assert not any(kept[i] for i in range(200))  # its host fails, so good documents go as well
     assert all(kept[1000 + i] == bool(i % 40) for i in range(400)) and kept[5001]
-    # a host with a single failure is drawn to the mean of all hosts
-    mean, strength = host_rules.beta_prior(spark.createDataFrame([("a", 10, 5), ("b", 10, 1), ("c", 1, 1)], "source string, n long, failures long"))
-    assert 0.5 < mean < 0.6 and strength >= 1 and (1 + mean * strength) / (1 + strength) < 1
+    # a host with a single failure is drawn to the mean of all documents
+    mean, strength = prior(spark, [(10, 5), (10, 1), (1, 1)])
+    assert mean == 7 / 21 and strength >= 1 and (1 + mean * strength) / (1 + strength) < 1
+
+
+def prior(spark, counts):
+    return host_rules.beta_prior(spark.createDataFrame([(f"h{i}", *c) for i, c in enumerate(counts)], "source string, n long, failures long"))
+
+
+def test_prior_of_simulated_hosts(spark):
+    """Hosts that fail alike have a strong prior however small they are; of hosts that differ the strength comes back."""
+    r = random.Random(7)
+
+    def fails(n, rate):
+        return n, sum(r.random() < rate for _ in range(n))
+
+    mean, strength = prior(spark, [fails(3, 0.3) for _ in range(300)] + [fails(3000, 0.3)])
+    assert abs(mean - 0.3) < 0.03 and strength > 15
+    for true in (2, 10, 40):
+        found = [prior(spark, [fails(r.choice([3, 20, 60]), r.betavariate(0.3 * true, 0.7 * true)) for _ in range(600)])[1] for _ in range(2)]
+        assert all(0.6 * true < f < 1.7 * true for f in found)
 
 
 def test_empty_table_and_hosts_that_agree(spark):

@@ -1,5 +1,6 @@
 """Main texts of pages whose article is known."""
 
+import random
 import re
 import time
 
@@ -116,3 +117,65 @@ def test_a_layout_beside_longer_comments():
     comments = "".join(f"<div class=comment>{PARAS.replace('story', f'comment {i}')}</div>" for i in range(9))
     page = f"<body><div class=layout-sidebar><div>{PARAS}</div></div><section id=comments>{comments}</section>"
     assert extract(page) == "\n".join(STORY)
+
+
+LONG = "These words stand in a long paragraph of the story, with commas, and go on for a while so that it is dense. "
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        # all of an article, however thin its other parts are
+        (f"<article><h1>T</h1><p>Intro.</p><div><p>{LONG * 3}</p><p>{LONG * 4}</p></div><p>End.</p></article>", f"T\nIntro.\n{LONG * 3}\n{LONG * 4}\nEnd."),
+        (f"<article><section><p>{LONG * 5}</p></section><section><h2>B</h2><p>Tiny.</p></section></article>", f"{LONG * 5}\nB\nTiny."),
+        (f"<main><section><p>{LONG * 5}</p></section><section><h2>B</h2><p>Tiny.</p></section></main>", f"{LONG * 5}\nB\nTiny."),
+        # headline and lead beside the text
+        (f"<body><h1>Head</h1><p class=lead>Lead.</p><div class=body><p>{LONG * 3}</p><p>{LONG * 4}</p></div></body>", f"Head\nLead.\n{LONG * 3}\n{LONG * 4}"),
+        (f"<body><div class=top><h1>Head</h1></div><div class=body><p>{LONG * 3}</p><p>{LONG * 4}</p></div></body>", f"Head\n{LONG * 3}\n{LONG * 4}"),
+        # a site's name is no headline if the text has its own
+        (f"<body><h1>Site</h1><p>Claim</p><div class=body><h1>Head</h1><p>{LONG * 3}</p><p>{LONG * 4}</p></div></body>", f"Head\n{LONG * 3}\n{LONG * 4}"),
+        # a word of a class says what a paragraph is about
+        (f'<article><p>{LONG * 3}</p><p class="search-results">{LONG}</p><p class="ad">Buy.</p></article>', f"{LONG * 3}\n{LONG}"),
+        # reader comments by other names
+        (f"<article><p>{LONG * 3}</p></article><section class=discussion><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></section>", LONG * 3),
+        # cards beside a story
+        (f"<main><article><a href=x>Card</a></article><div class=story><p>{LONG * 5}</p><p>{LONG * 4}</p></div><article><a href=y>Other card</a></article></main>", f"{LONG * 5}\n{LONG * 4}"),
+    ],
+)
+def test_whole_articles(page, text):
+    assert extract(page) == "\n".join(line.strip() for line in text.split("\n"))
+
+
+def test_generated_pages(spark):
+    """Articles of known text in many layouts, with surroundings that carry names."""
+    r = random.Random(11)
+
+    def words(n):
+        return " ".join(r.choice(["river", "stone", "and", "light,", "over", "slow", "boats."]) for _ in range(n))
+
+    for _ in range(150):
+        title, parts, html = words(4), [], ""
+        for _ in range(r.randint(2, 6)):
+            kind, said = r.choice([("p", words(r.randint(30, 90))), ("p", words(r.randint(40, 120))), ("blockquote", words(30)), ("h2", words(3)), ("p", words(5))])
+            parts.append(said)
+            html += f"<{kind}>{said}</{kind}>"
+        parts.append(words(80))
+        html += f"<p>{parts[-1]}</p>"
+        around = r.choice(["article", "main"])
+        inner = f"<{around}><h1>{title}</h1>{html}</{around}>"
+        if r.random() < 0.5:
+            inner = f'<div class="layout-sidebar"><div class=wrap>{inner}</div></div>'
+        links = "".join(f"<li><a href=/{i}>{words(2)}</a></li>" for i in range(r.randint(2, 9)))
+        page = f"<html><body><nav><ul>{links}</ul></nav><header><h1>Site</h1></header>{inner}<aside><p>{words(40)}</p></aside>"
+        page += f'<div class="comments"><p>{words(60)}</p></div><footer>{words(9)}</footer></body></html>'
+        assert extract(page) == "\n".join([title, *parts])
+
+
+def test_deep_nesting():
+    deep = "<div>" * 20_000 + f"<p>{LONG}</p>" + "</div>" * 20_000
+    assert extract(deep) == LONG.strip()
+
+
+def test_clashing_columns(spark):
+    rows = spark.createDataFrame([(1, "u", f"<p>{LONG}</p>", "x", 3), (2, None, None, "y", 4)], "page_id long, url string, html string, text string, n_chars int")
+    assert sorted((r.page_id, r.text) for r in main_texts(rows).collect()) == [(1, LONG.strip()), (2, "")]

@@ -31,9 +31,9 @@ def test_pfor_keeps_blocks_narrow_in_spite_of_outliers():
         pfor.decode(b"\0" * 40)
 
 
-def library_ids(texts):
+def library_ids(texts, specials=False):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = not specials
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
 
 
