@@ -31,20 +31,40 @@ split as (
     list_transform(list_filter(regexp_split_to_array(lines[p], '[\x20\x09\x0B-\x0D]+'), lambda w: w <> ''),
       lambda w: case when regexp_matches(w, '[0-9]') then '<*>' else w end) as ws
   from (select *, unnest(range(1, len(lines) + 1)) as p from docs)),
-lines as (
-  select *, array_to_string(ws, ' ') as line, len(ws) || ' ' || array_to_string(ws[1:3], ' ') as leaf from split where len(ws) >= 6),
-forms as (select leaf, line, any_value(ws) as ws, count(*) as n from lines group by leaf, line),
+lines as materialized (
+  select *, len(ws) as n, array_to_string(ws, ' ') as line, len(ws) || ' ' || array_to_string(ws[1:3], ' ') as leaf from split where len(ws) > 0),
+forms as (select leaf, line, any_value(ws) as ws, count(*) as n, count(distinct (doc_id, text)) as docs from lines where n >= 6 group by leaf, line),
 leaves as (select leaf, count(*) as forms from forms group by leaf having sum(n) >= 3 and count(*) > 1),
-words as (select leaf, line, ws, forms, p, ws[p] as w from (select *, unnest(range(1, len(ws) + 1)) as p from forms join leaves using (leaf))),
+words as materialized (
+  select leaf, line, ws, forms, docs, p, ws[p] as w from (select *, unnest(range(1, len(ws) + 1)) as p from forms join leaves using (leaf))),
 common as (select leaf, p, w from words group by leaf, forms, p, w having count(*) * 2 > forms),
 placed as (
   select leaf, line, list(coalesce(c.w, '<*>') order by p) as template, count(*) filter (where words.w = coalesce(c.w, '<*>')) as alike
   from words left join common c using (leaf, p) group by leaf, line),
-general as (select line, 'g' || leaf || chr(10) || array_to_string(template, ' ') as template from placed where alike >= 0.6 * len(template)),
-named as (select doc_id, text, line_no, coalesce(template, 't' || line) as template from lines left join general using (line)),
+general as materialized (select line, 'g' || leaf || chr(10) || array_to_string(template, ' ') as template from placed
+  where alike >= 0.6 * len(template) and leaf in (select leaf from common)),
+support as (select leaf, p, w, sum(docs) as support from words group by leaf, p, w having sum(docs) >= 3),
+held as (
+  select leaf, line, len(ws) as n, list(struct_pack(p, w, s := support) order by p) as held, list(support order by support desc) as supports
+  from words join support using (leaf, p, w) where line not in (select line from general) group by leaf, line, ws),
+family as (
+  select line, 'f' || leaf || chr(10) || list_transform(list_filter(held, lambda h: h.s * 2 >= supports[cast(ceil(0.6 * n) as int)]), lambda h: (h.p, h.w))::varchar as template
+  from held where len(held) >= ceil(0.6 * n)),
+named as materialized (
+  select doc_id, text, line_no, n, line, coalesce(g.template, f.template, 't' || line) as template
+  from lines left join general g using (line) left join family f using (line)),
+frequent as (
+  select template, n, min(doc_id) as first, count(*) as docs, min(line) as line from (select distinct template, n, doc_id, text, case when n < 6 then line end as line from named)
+  group by template, n having count(*) >= case when n >= 12 then 2 when n >= 6 then 3 else 3 * pow(2, 6 - n) end),
+short as (select line, n, count(*) as uses from lines where n < 6 group by line, n),
+each as (select n, uses, unnest(string_split(line, ' ')) as w from short),
+uses as (select n, w, sum(uses) as uses from each where n > 1 group by n, w union all select 1, w, sum(uses) from each group by w),
+lengths as (select n, sum(uses) as lines, case when n > 1 then sum(n * uses) else (select sum(uses) from each) end as every from short group by n),
+chances as (
+  select template, any_value(docs) as docs, any_value(lines) * exp(sum(ln(uses.uses / every))) as chance
+  from (select template, n, docs, unnest(string_split(line, ' ')) as w from frequent where n < 6) f join uses using (n, w) join lengths using (n) group by template),
 recurring as (
-  select template, min(doc_id) as first from (select distinct template, doc_id, text from named)
-  group by template having count(*) >= 3),
+  select template, first from frequent where n >= 6 or template in (select template from chances where docs > chance + 4 * sqrt(chance))),
 gone as (select distinct doc_id, text, line_no from named join recurring using (template) where doc_id <> first),
 dropped as (select doc_id, text, list(line_no) as gone from gone group by doc_id, text)
 select doc_id, len(lines)::int as n_lines, coalesce(len(gone), 0)::int as n_dropped,

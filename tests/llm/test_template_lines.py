@@ -1,5 +1,7 @@
 """Recurring lines on small documents."""
 
+import random
+
 import pytest
 
 from gleanery.llm import template_lines
@@ -39,7 +41,7 @@ def test_same_leaf_is_not_enough(spark):
 
 
 @pytest.mark.parametrize("line", ["one two three four five", "1 2 3", "", " \t"])
-def test_short_lines_stay(spark, line):
+def test_short_lines_of_few_documents_stay(spark, line):
     assert all(r[4] == 0 for r in dropped(spark, [(i, f"{own(i)}\n{line}") for i in range(5)]))
 
 
@@ -55,17 +57,17 @@ def test_defined_cases(spark):
     assert dropped(spark, []) == []
 
 
-def dropped_by_all_rules(spark, texts):
-    out = template_lines.drop_recurring_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), template_lines.EVERY_LINE)
+def n_dropped(spark, texts):
+    out = template_lines.drop_recurring_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     return [r.n_dropped for r in out.orderBy("row.doc_id").collect()]
 
 
-@pytest.mark.parametrize(("words", "docs"), [(1, 96), (2, 48), (3, 24), (4, 12), (5, 6), (6, 3), (11, 3), (12, 2), (60, 2)])
+@pytest.mark.parametrize(("words", "docs"), [(1, 96), (3, 24), (5, 6), (6, 3), (12, 2)])
 def test_lines_of_any_length_count_from_so_many_documents(spark, words, docs):
     line = " ".join(chr(97 + k % 26) * 3 for k in range(words))
     texts = [f"{'q' * (i + 1)} {i}x\n\n{line}" for i in range(docs)]
-    assert dropped_by_all_rules(spark, texts) == [0] + [1] * (docs - 1)
-    assert dropped_by_all_rules(spark, texts[1:]) == [0] * (docs - 1)
+    assert n_dropped(spark, texts) == [0] + [1] * (docs - 1)
+    assert n_dropped(spark, texts[1:]) == [0] * (docs - 1)
 
 
 def test_families_beside_others_in_a_leaf(spark):
@@ -73,4 +75,15 @@ def test_families_beside_others_in_a_leaf(spark):
     family = [f"This article was written by {word(i)} for our readers" for i in range(20)]
     second = [f"This article was taken from {word(i + 50)} with kind permission" for i in range(20)]
     others = [f"This article was {' '.join(word(i * 6 + k + 100) for k in range(6))}" for i in range(45)]
-    assert dropped_by_all_rules(spark, family + second + others) == [0] + [1] * 19 + [0] + [1] * 19 + [0] * 45
+    assert n_dropped(spark, family + second + others) == [0] + [1] * 19 + [0] + [1] * 19 + [0] * 45
+
+
+def test_short_lines_that_chance_makes_stay_in_any_corpus(spark):
+    """Ordinary sentences of few words recur as the corpus grows, lines that always say the same go."""
+    for size in (90, 900):
+        chance = random.Random(size)
+        words = ["rain", "fell", "slowly", "again"]
+        unique = ["".join(chr(97 + int(c)) for c in str(i)) for i in range(size)]
+        texts = [f"{u}\n{chance.choice(words)} {chance.choice(words)}" for u in unique]
+        marked = [f"{t}\nRights reserved" if i % 8 == 0 else t for i, t in enumerate(texts)]
+        assert n_dropped(spark, marked) == [int(size == 900 and 0 < i and i % 8 == 0) for i in range(size)]
