@@ -567,6 +567,8 @@ ORACLES["detected_samples"] = SUBSETS + " union all ".join(
 NUMBERED = "select * replace (row_number() over (order by record_id) - 1 as record_id) from raw"
 
 ORACLES |= {
+    "number_function": ORACLES["number_mentions"],
+    "sketched_categories": over_records("select 'category' as column, count(distinct category) as unique_count, true as within from norm"),
     "logged_frequency": ORACLES["entity_frequency"],
     "logged_rare": ORACLES["rare_detect"],
     "curate_cleaned": ORACLES["accepted"],

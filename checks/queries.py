@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from checks import models
 from gleanery.functions import numbers as N
+from gleanery.functions import tables
 from gleanery.functions import text as X
 from gleanery.functions import words as W
 from gleanery.operators import detectors as D
 from gleanery.operators import entities as E
 from gleanery.operators import language as L
-from gleanery.operators import load, profile, sample, validate
+from gleanery.operators import load, profile, sample, sketches, validate
 from gleanery.operators.numbers import number_details, number_mentions
 from gleanery.plans.clean import Cleaned
 from gleanery.plans.curate import check, curate
@@ -183,6 +184,12 @@ def numbers_details(spark, sf):
     return out.select(ID, *sizes, F.col("total_numbers_found").cast("long"))
 
 
+def number_function(spark, sf):
+    """The mentions by a table function in SQL."""
+    tables.register(spark)
+    return spark.sql("select record_id, m.* from {texts}, lateral number_mentions(text) m", texts=documents(spark, sf))
+
+
 # -------------------------------------------------------------- language
 
 
@@ -381,6 +388,16 @@ def first_of_input(spark, sf):
     return read_records(spark, path, "jsonl", limit=SAMPLE_SIZE).select(ID, *RECORD_COLUMNS)
 
 
+def sketched_categories(spark, sf):
+    """Categories over all loads, by one sketch a load: within three standard errors of the exact number."""
+    path, df = _scratch(spark), records(spark, sf)
+    for i in range(BATCHES):
+        sketches.add_load(df.filter(F.col(ID) % BATCHES == i), ["category"], f"load{i}", path)
+    exact = profile.distinct_categories(df).first().unique_count
+    within = F.abs(F.col("unique_count") - exact) <= 3 * sketches.STANDARD_ERROR * exact
+    return sketches.merged_counts(spark, path).select("column", F.lit(exact).cast("long").alias("unique_count"), within.alias("within"))
+
+
 def rejects_without(column):
     def run(spark, sf):
         out = validate.rejects(validate.flag(records(spark, sf).drop(column)))
@@ -473,6 +490,7 @@ QUERIES = {
     "round_distribution": _over(profile.round_distribution, records),
     "distinct_categories": _over(profile.distinct_categories, records),
     "top_categories": _over(profile.top_categories, records),
+    "sketched_categories": sketched_categories,
     "text_lengths": _over(profile.text_lengths, records),
     "first_record": _over(profile.first_record, records),
     # numbers
@@ -483,6 +501,7 @@ QUERIES = {
     "numbers_detect": _document(N.has_number),
     "number_mentions": _over(number_mentions, documents),
     "number_details": numbers_details,
+    "number_function": number_function,
     # language
     "non_ascii": _document(W.has_non_ascii),
     "dictionary_build": dictionary,
