@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from inspect import signature
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -32,9 +33,19 @@ class Detector(Protocol):
     def details(self, df: DataFrame) -> DataFrame: ...
 
 
-def fitted(detector: Detector, df: DataFrame) -> Detector:
-    """The detector as it stands for a corpus (record_id, text)."""
-    return detector.fit(df) if hasattr(detector, "fit") else detector
+Keep = Callable[[str, Callable[[], DataFrame]], DataFrame]
+
+
+def written(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """Keep a table that a detector makes while it is fitted: as a scratch table."""
+    return materialise(make())
+
+
+def fitted(detector: Detector, df: DataFrame, keep: Keep = written) -> Detector:
+    """The detector as it stands for a corpus (record_id, text); ``keep`` says where its tables go, if its ``fit`` takes that."""
+    if not hasattr(detector, "fit"):
+        return detector
+    return detector.fit(df, keep) if "keep" in signature(detector.fit).parameters else detector.fit(df)
 
 
 def combined_text(df: DataFrame, columns: list[str]) -> Column:
@@ -105,9 +116,9 @@ class LanguageDetector:
     rules: DataFrame | None = None
     letters: ngrams.LetterModel | None = None
 
-    def fit(self, df: DataFrame) -> FittedLanguage:
+    def fit(self, df: DataFrame, keep: Keep = written) -> FittedLanguage:
         """Judge the words of a corpus once."""
-        lexicon = language.lexicon(df, self.dictionary, irregular=self.irregular, rules=self.rules, letters=self.letters)
+        lexicon = language.lexicon(df, self.dictionary, irregular=self.irregular, rules=self.rules, letters=self.letters, keep=keep)
         return FittedLanguage(lexicon, self.name, self.columns)
 
     def hits(self, df: DataFrame) -> DataFrame:
@@ -142,10 +153,13 @@ class EntityDetector:
     name: str = "proper_nouns"
     columns: list[str] = field(default_factory=lambda: ["question", "answer"])
 
-    def fit(self, df: DataFrame) -> FittedEntities:
+    def fit(self, df: DataFrame, keep: Keep = written) -> FittedEntities:
         """Count the entities of a corpus once."""
-        counted = entities.entity_frequencies(df) if self.mentions is None else entities.frequencies_of(self.mentions(df))
-        return FittedEntities(materialise(counted), self.threshold, self.name, self.columns)
+
+        def counted() -> DataFrame:
+            return entities.entity_frequencies(df) if self.mentions is None else entities.frequencies_of(self.mentions(df))
+
+        return FittedEntities(keep("frequencies", counted), self.threshold, self.name, self.columns)
 
     def hits(self, df: DataFrame) -> DataFrame:
         return self.fit(df).hits(df)

@@ -9,6 +9,7 @@ rules, listed or learned, not from a language model, so hit rates differ from on
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -105,11 +106,12 @@ def lexicon(
     artifacts: bool = True,
     rules: DataFrame | None = None,
     letters: LetterModel | None = None,
+    keep: Callable[[str, Callable[[], DataFrame]], DataFrame] = lambda name, make: materialise(make()),
 ) -> Lexicon:
-    """Judge the vocabulary of a corpus once, for use on it or any part of it."""
-    vocab = materialise(vocabulary(df, text))
-    unknown = unknown_words(vocab, dictionary, irregular, min_length, artifacts, rules, letters).select("word")
-    return Lexicon(materialise(unknown), hot_keys(vocab, "word"))
+    """Judge the vocabulary of a corpus once, for use on it or any part of it. ``keep`` says where the tables for it go."""
+    vocab = keep("vocabulary", lambda: vocabulary(df, text))
+    unknown = keep("unknown", lambda: unknown_words(vocab, dictionary, irregular, min_length, artifacts, rules, letters).select("word"))
+    return Lexicon(unknown, hot_keys(vocab, "word"))
 
 
 def non_english_ids(df: DataFrame, words: Lexicon, text: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,9 @@ from gleanery.operators import load, profile, validate
 from gleanery.operators.detectors import Detector, EntityDetector, LanguageDetector, accent_detector, number_detector
 from gleanery.plans.clean import Cleaned, clean_and_validate, debug_if_low, sample_rejects
 from gleanery.plans.report import field_figures, run_report, subset_times, with_speed
+from gleanery.plans.resume import Stages, input_facts
 from gleanery.plans.subsets import Subset, build_subset
+from gleanery.session import materialise
 from gleanery.sources.records import read_records
 from gleanery.sources.sinks import write_before_after, write_jsonl, write_report
 
@@ -43,13 +46,21 @@ def curate(
     seed: int | None = 42,
     threshold: int = 3,
     detectors: list[Detector] | None = None,
+    resume: str | None = None,
 ) -> Run:
     """Load, clean, draw a subset per detector and write all reports below ``output``.
 
-    ``detectors`` replaces the three that ``dictionary`` and ``threshold`` set up.
+    ``detectors`` replaces the three that ``dictionary`` and ``threshold`` set up. ``resume`` is a shared folder for the keyed input, the
+    judged records and what each detector was fitted to and found: after a run that broke off, one with
+    the same input and parameters goes on from the last of these that is complete. When a run ends, those of other runs are removed.
     """
     started = time.time()
-    raw = read_records(spark, source, kind)
+    stages = None if resume is None else Stages(spark, resume, input_facts(spark, source), kind)
+
+    def keep(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        return materialise(make()) if stages is None else stages.table(name, make)
+
+    raw = read_records(spark, source, kind) if stages is None else stages.table("raw", lambda: read_records(spark, source, kind))
     records = load.normalise(raw)
     write_report(
         {
@@ -63,7 +74,7 @@ def curate(
         },
         f"{output}/load",
     )
-    cleaned = clean_and_validate(records)
+    cleaned = Cleaned(keep("judged", lambda: validate.flag(records)))
     suspicious = debug_if_low(records, cleaned)
     if suspicious is not None:
         write_report({"low_retention": suspicious}, f"{output}/validation")
@@ -74,13 +85,15 @@ def curate(
     subsets, seconds = {}, {}
     for d in detectors:
         begun = time.time()
-        subsets[d.name] = build_subset(cleaned.records, d, size, seed, f"{output}/subsets/{d.name}")
+        subsets[d.name] = build_subset(cleaned.records, d, size, seed, f"{output}/subsets/{d.name}", stages)
         seconds[d.name] = time.time() - begun
     freq = next((s.detector.freq for s in subsets.values() if hasattr(s.detector, "freq")), None)
     report = run_report(cleaned.flagged, list(subsets.values()), freq, threshold)
     report = report.unionByName(field_figures(cleaned.report)).unionByName(subset_times(spark, seconds))
     report = with_speed(report, time.time() - started, len(subsets))
     write_report({"run": report}, f"{output}/report")
+    if stages is not None:
+        stages.finish()
     return Run(cleaned, subsets, report)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gleanery.operators.detectors import Detector, detection_stats, fitted, shown_texts, texts
 from gleanery.operators.sample import sample_records
+from gleanery.plans.resume import Stages, object_facts
 from gleanery.schema import ID
 from gleanery.session import materialise
 from gleanery.sources.sinks import export_subset
@@ -25,16 +27,22 @@ class Subset:
 
 
 def build_subset(
-    records: DataFrame, detector: Detector, size: int = 1000, seed: int | None = 42, path: str | None = None
+    records: DataFrame, detector: Detector, size: int = 1000, seed: int | None = 42, path: str | None = None, stages: Stages | None = None
 ) -> Subset:
     """Sample ``size`` of the records a detector matches and write them to ``path``.
 
-    The detector is fitted to these records. Ids of the matches are written once; statistics and sample come from them.
+    The detector is fitted to these records. Ids of the matches are written once; statistics and sample come from them. With ``stages``
+    what was fitted, the ids and the sample are tables that a rerun takes up.
     """
     corpus = texts(records, detector)
-    detector = fitted(detector, corpus)
-    hits = materialise(detector.hits(corpus))
-    picked = materialise(sample_records(records, hits, size, seed))
+    name, facts = detector.name, object_facts(detector) if stages else []
+
+    def keep(step: str, make: Callable[[], DataFrame], *more) -> DataFrame:
+        return materialise(make()) if stages is None else stages.table(f"{step}-{name}", make, facts, *more)
+
+    detector = fitted(detector, corpus, keep)
+    hits = keep("hits", lambda: detector.hits(corpus))
+    picked = keep("picked", lambda: sample_records(records, hits, size, seed), size, seed)
     exported = export_subset(picked, path) if path else 0
     return Subset(detector.name, detector, hits, picked, detection_stats(records, hits, picked), exported)
 

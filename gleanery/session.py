@@ -68,6 +68,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(folder)
 
 
+def list_files(spark: SparkSession, path: str, folders: bool = False) -> list:
+    """[name, size, time] of all files below a path or pattern, in order of name; with ``folders`` the names of what is directly in it."""
+    fs, folder = _file_system(spark, path)
+    if folders:
+        return sorted(s.getPath().toString() for s in (fs.listStatus(folder) if fs.exists(folder) else []))
+    found = []
+    for top in fs.globStatus(folder) or []:
+        files = fs.listFiles(top.getPath(), True)
+        while files.hasNext():
+            f = files.next()
+            if not f.getPath().getName().startswith(("_", ".")):
+                found.append([f.getPath().toString(), f.getLen(), f.getModificationTime()])
+    return sorted(found)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, folder = _file_system(spark, path)
     fs.delete(folder, True)
