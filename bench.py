@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from checks.queries import QUERIES
@@ -37,12 +38,8 @@ def main() -> None:
     cores = os.environ.get("BENCH_CPUS", "8")
     spark = local_session("bench", cores=cores, shuffle_partitions=int(cores))
     spark.sparkContext.setLogLevel("ERROR")
-    spark.read.parquet(f"{folder}/documents.parquet").count()  # start the executors
-    times = {}
-    for name in HEADLINE:
-        started = time.time()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - started, 3)
+    with tempfile.TemporaryDirectory(prefix="bench-") as dealt:
+        times = run(spark, dealt_tables(spark, folder, dealt, int(cores)))
     total = round(sum(times.values()), 3)
     print(
         json.dumps(
@@ -52,5 +49,21 @@ def main() -> None:
     spark.stop()
 
 
+def dealt_tables(spark, folder: str, dealt: str, cores: int) -> str:
+    """The tables in as many files as a cluster would have; the given ones have one row group each, which one task reads."""
+    for name in ("documents", "pages", "conversations"):
+        spark.read.parquet(f"{folder}/{name}.parquet").repartition(2 * cores).write.parquet(f"{dealt}/{name}.parquet")
+    return dealt
+
+
+def run(spark, folder: str) -> dict[str, float]:
+    times = {}
+    for name in HEADLINE:
+        started = time.time()
+        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        times[name] = round(time.time() - started, 3)
+    return times
+
+
 if __name__ == "__main__":
     main()

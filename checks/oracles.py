@@ -402,7 +402,7 @@ ORACLES |= {
       array_to_string(list_sort(list_distinct(regexp_extract_all(any_value(text), '{NON_ASCII}'))), '') as chars
       from docs d left join ({_FOUND}) f on f.record_id = d.record_id group by 1""",
     "phrase_check": f"""with {DOCS},
-      turns as (select conv_id * 100000 + turn as record_id, text from conversations),
+      turns as (select conv_id * 4294967296 + turn as record_id, text from conversations),
       {DICT},
       tokens as materialized ({tokens_of('turns')}),
       vocab as materialized ({vocab_of('tokens')}),

@@ -51,35 +51,36 @@ select doc_id as record_id,
 from {documents}
 """
 
+# More turns than a conversation has.
+TURNS = 1 << 32
+
 # Words in at least this many English documents make up the dictionary.
 DICTIONARY_RECORDS = 5
 SAMPLE_SIZE = 100
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A given table; the files have one row group each, so rows are dealt to all cores by their key."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.repartition(spark.sparkContext.defaultParallelism, key)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark, sf_dir) -> DataFrame:
     """(record_id, text, lang)"""
-    df = table(spark, sf_dir, "documents", "doc_id")
+    df = table(spark, sf_dir, "documents")
     return df.select(F.col("doc_id").alias(ID), "text", "lang")
 
 
 def pages(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "pages", "page_id").select(F.col("page_id").alias(ID), "html")
+    return table(spark, sf_dir, "pages").select(F.col("page_id").alias(ID), "html")
 
 
 def phrases(spark, sf_dir) -> DataFrame:
     """Turns of conversations as phrases."""
-    df = table(spark, sf_dir, "conversations", "conv_id")
-    return df.select((F.col("conv_id") * 100000 + F.col("turn")).alias(ID), "text")
+    df = table(spark, sf_dir, "conversations")
+    return df.select((F.col("conv_id") * TURNS + F.col("turn")).alias(ID), "text")
 
 
 def raw_records(spark, sf_dir) -> DataFrame:
-    df = table(spark, sf_dir, "documents", "doc_id")
+    df = table(spark, sf_dir, "documents")
     return spark.sql(RECORDS_SQL.format(documents="{documents}"), documents=df)
 
 

@@ -233,6 +233,10 @@ def squeeze_space(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, f"{NOT_PRINTABLE}(?: {SPACE}+|{OTHER_SPACE}{SPACE}*)", " "))
 
 
+# What the steps of the cleaning but markers, brackets and white space look for; most texts hold none of it.
+_TRIGGERS = "[_&\\\\\u2013-\u2015\u2018\u2019\u201a\u201b\u2032\u2035]|http|[.!?]{2}"
+
+
 def clean_text(c: Column, field_type: str = "general", fix_quotes: bool = False) -> Column:
     """Clean one text column; NULL becomes the empty string.
 
@@ -246,14 +250,26 @@ def clean_text(c: Column, field_type: str = "general", fix_quotes: bool = False)
         c = html_to_text(c)
     else:
         c = F.when(c.contains("<") & c.contains(">"), strip_tags(c)).otherwise(c)
-    c = unescape_quotes(decode_entities(c))
-    if field_type == "question":
-        c = mark_links(mark_blanks(drop_markers(c)))
-    elif field_type == "answer":
-        c = mark_links(c)
-    elif field_type == "category":
-        c = F.upper(drop_bracketed(c))
-    if fix_quotes:
-        c = straighten_quotes(c)
-    c = collapse_punctuation(straighten_dashes(straighten_apostrophes(c)))
-    return squeeze_space(drop_references(c))
+
+
+    def every_step(t: Column) -> Column:
+        t = unescape_quotes(decode_entities(t))
+        if field_type == "question":
+            t = mark_links(mark_blanks(drop_markers(t)))
+        elif field_type == "answer":
+            t = mark_links(t)
+        elif field_type == "category":
+            t = F.upper(drop_bracketed(t))
+        if fix_quotes:
+            t = straighten_quotes(t)
+        t = collapse_punctuation(straighten_dashes(straighten_apostrophes(t)))
+        return squeeze_space(drop_references(t))
+
+    def few_steps(t: Column) -> Column:
+        if field_type == "question":  # a marker may go between two signs
+            t = let(t, lambda u: let(drop_markers(u), lambda m: F.when(F.length(m) < F.length(u), collapse_punctuation(m)).otherwise(m)))
+        return squeeze_space(straighten_quotes(t) if fix_quotes else t)
+
+    if field_type == "category":
+        return every_step(c)
+    return let(c, lambda t: F.when(t.rlike(_TRIGGERS), every_step(t)).otherwise(few_steps(t)))

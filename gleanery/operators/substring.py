@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.spans import quoted
+from gleanery.functions.text import let
 from gleanery.operators.skew import hot_keys, salted_join
 from gleanery.schema import ID
 from gleanery.session import materialise
@@ -39,6 +40,30 @@ def _power(length: Column) -> Column:
     return F.floor(F.log2(length)).cast("int")
 
 
+# Bits that tell which tokens are not in a set: 128 KB, whatever the size of the set.
+_BITS = 1 << 20
+
+
+def _bit(token: Column) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(_BITS)).cast("int")
+
+
+def _marks(tokens: DataFrame) -> DataFrame:
+    """One row: the bits of all ``tokens`` in words of 64."""
+    bits = tokens.select(_bit(F.col("token")).alias("bit")).select(
+        F.floor(F.col("bit") / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit") % 64).alias("bit")
+    )
+    words = bits.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    every = tokens.sparkSession.range(_BITS // 64).select(F.col("id").cast("int").alias("word")).join(words, "word", "left")
+    listed = every.agg(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("words"))
+    return materialise(listed.select(F.col("words.bits").alias("marks")))
+
+
+def _marked(marks: Column, token: Column) -> Column:
+    """Whether the bit of a token is set; so it is for all tokens of the set, and for few others if they are fewer than the bits."""
+    return let(_bit(token), lambda bit: F.getbit(marks[F.floor(bit / 64).cast("int")], bit % 64) == 1)
+
+
 def _starting(windows: DataFrame, strings: DataFrame, longest: int, key: str) -> DataFrame:
     """Distinct (key, string) where a window of ``key`` starts with ``string`` (step 3).
 
@@ -160,10 +185,13 @@ def contained_strings(texts: DataFrame, strings: DataFrame, window: int = WINDOW
                 phrases.select("first").distinct(), "first", "left_semi"
             )
         )
-        # Every token that has a successor, with the text after it.
+        # Every token that may end so and has a successor, with the text after it.
         pattern = F.lit(f"(?s)(?<![^ ])(?=([^ ]+ .{{1,{window}}}))")
+        marks = _marks(ends.select("token"))
+        ahead = F.filter(F.regexp_extract_all("text", pattern, 1), lambda p: _marked(F.col("marks"), F.substring_index(p, " ", 1)))
         places = (
-            texts.select(ID, F.explode(F.regexp_extract_all("text", pattern, 1)).alias("place"))
+            texts.crossJoin(F.broadcast(marks))  # one row of bounded size
+            .select(ID, F.explode(ahead).alias("place"))
             .withColumn("token", F.substring_index("place", " ", 1))
             .select(ID, "token", F.substr("place", F.length("token") + 1).alias("after"))
         )
