@@ -587,9 +587,26 @@ ORACLES |= {
           unpivot (select field, try_cast(columns(* exclude field) as double) from ({ORACLES[t]})) on columns(* exclude field) into name metric value value)"""
         for t in ("field_stats", "cleaning_summary")
     ),
+    "rejects_without_category": over_records("select record_id, 'metadata' as stage, 'N/A' as shown from norm"),
+    "missing_columns": "select 'Missing required columns: [''value'', ''air_date'']' as message",
+    "unknown_field": """select doc_id as record_id, lang is not null as valid, case when lang is null then 'lang field is missing' else '' end as errors,
+      'Unknown metadata field: lang' as warnings from documents""",
+    "low_retention": over_records("""select r as rows, kept < 0.5 * whole as low, case when kept < 0.5 * whole then 35 else 0 end::bigint as shown from (
+      select 'given' as r, (select count(*) from clean) as kept, (select count(*) from norm) as whole
+      union all select 'spoilt', (select count(*) from clean where record_id % 3 = 0), (select count(*) from norm))"""),
+    "checked_records": over_records(f"select * from clean where record_id in (select record_id from raw order by record_id limit {SAMPLE_SIZE})"),
+    "curate_totals": ORACLES["totals"],
+    "curate_proper_nouns": f"select * exclude (record_id) from ({ORACLES['sample_proper_nouns']})",
+    "gazetteer_mentions": ENTITIES + "select * from mentions where entity in (select entity from freqs where length(entity) % 2 = 0)",
+    "number_lists": f"""select doc_id as record_id, coalesce(string_agg(mention, ' ' order by start) filter (kind = 'token'), '') as tokens,
+      coalesce(string_agg(mention, ' ' order by start) filter (kind = 'roman'), '') as romans
+      from documents left join ({_MENTIONS}) on doc_id = record_id group by 1""",
     "rejects_without_value": over_records("select record_id, 'metadata' as stage, 'N/A' as shown from norm"),
 }
 
+ORACLES["curate_report"] = f"""select * from ({ORACLES['run_report']}) where section in ('generation', 'cleaning', 'numbers')
+  union all select * from ({ORACLES['report_fields']})"""
+
 ORACLES |= model_oracles.ORACLES
 
 for _name, _columns in DOUBLES.items():

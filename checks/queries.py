@@ -16,12 +16,13 @@ from gleanery.functions import numbers as N
 from gleanery.functions import tables
 from gleanery.functions import text as X
 from gleanery.functions import words as W
+from gleanery.functions.rules import validate_metadata_field
 from gleanery.operators import detectors as D
 from gleanery.operators import entities as E
 from gleanery.operators import language as L
 from gleanery.operators import load, profile, sample, sketches, validate
 from gleanery.operators.numbers import number_details, number_mentions
-from gleanery.plans.clean import Cleaned
+from gleanery.plans.clean import Cleaned, clean_and_validate, debug_if_low
 from gleanery.plans.curate import check, curate
 from gleanery.plans.entity_log import EntityLog
 from gleanery.plans.report import field_figures, run_report
@@ -407,6 +408,69 @@ def rejects_without(column):
     return run
 
 
+def missing_columns(spark, sf):
+    """What the reader says of JSON lines without two of the columns."""
+    path = _scratch(spark)
+    raw_records(spark, sf).drop("value", "air_date").write.json(path)
+    try:
+        read_records(spark, path, "jsonl")
+    except ValueError as e:
+        return spark.range(1).select(F.lit(str(e)).alias("message"))
+
+
+def unknown_field(spark, sf):
+    """The verdict on a field that no rule knows, here the language of each document."""
+    verdict = validate_metadata_field(F.col("lang"), "lang")
+    return documents(spark, sf).select(ID, verdict["valid"].alias("valid"), _joined(verdict["errors"]).alias("errors"), _joined(verdict["warnings"]).alias("warnings"))
+
+
+def low_retention(spark, sf):
+    """Whether so few records are left that the first five are explained: of the records, and of those with most values spoilt."""
+    parts = []
+    df = records(spark, sf)
+    spoilt = df.withColumn("value", F.when(F.col(ID) % 3 > 0, "bad").otherwise(F.col("value")))
+    for name, rows in (("given", df), ("spoilt", spoilt)):
+        cleaned_rows = clean_and_validate(rows)
+        shown = debug_if_low(rows, cleaned_rows)
+        parts.append(spark.range(1).select(F.lit(name).alias("rows"), F.lit(shown is not None).alias("low"), F.lit(0 if shown is None else shown.count()).cast("long").alias("shown")))
+    return parts[0].union(parts[1])
+
+
+def checked_records(spark, sf):
+    """The clean records that the check run writes, read back."""
+    out = _scratch(spark)
+    check(spark, _raw_lines(spark, sf), out, SAMPLE_SIZE, "jsonl")
+    return _curated_records(spark, out)
+
+
+def _curated_report(spark, out):
+    rows = spark.read.json(f"{out}/report/run").select("section", "metric", "value")
+    return rows.filter(~F.col("metric").isin("processing_time", "total_processing_time", "average_speed_records_per_second"))
+
+
+def _curated_frame(name, columns):
+    return lambda spark, out: spark.read.json(f"{out}/validation/{name}").select(*columns)
+
+
+def curated_by_all(spark, sf):
+    """The third subset of a run with all detectors that need no dictionary, on its own resumable intermediates."""
+    out = _scratch(spark)
+    curate(spark, _raw_lines(spark, sf), out, "jsonl", size=SAMPLE_SIZE, resume=_scratch(spark))
+    return spark.read.json(f"{out}/subsets/proper_nouns").select(*RECORD_COLUMNS)
+
+
+def gazetteer_mentions(spark, sf):
+    """Mentions of listed entities with a label that counts: here those of an even number of letters, the others are dates."""
+    label = F.when(F.length("entity") % 2 == 0, "GPE").otherwise("DATE")
+    listed = materialise(frequencies(spark, sf).select("entity", label.alias("label")))
+    return E.entity_mentions(documents(spark, sf), gazetteer=listed)
+
+
+def number_lists(spark, sf):
+    out = number_details(documents(spark, sf))
+    return out.select(ID, _joined(F.col("number_tokens.text"), " ").alias("tokens"), _joined(F.col("roman_numerals.text"), " ").alias("romans"))
+
+
 def flag_column(spark, sf):
     clean = cleaned(spark, sf)
     return D.flag_column(clean, D.number_detector()).select(ID, "has_numbers")
@@ -444,6 +508,8 @@ DOUBLES = {
     "detection_stats": ["detection_rate", "sampling_ratio"],
     "run_report": ["value"],
     "report_fields": ["value"],
+    "curate_report": ["value"],
+    "curate_totals": ["removal_rate"],
 }
 
 QUERIES = {
@@ -547,6 +613,16 @@ QUERIES = {
     "first_of_input": first_of_input,
     "report_fields": lambda spark, sf: field_figures(Cleaned(flagged(spark, sf)).report),
     "rejects_without_value": rejects_without("value"),
+    "rejects_without_category": rejects_without("category"),
+    "missing_columns": missing_columns,
+    "unknown_field": unknown_field,
+    "low_retention": low_retention,
+    "checked_records": checked_records,
+    "curate_report": curated(_curated_report),
+    "curate_totals": curated(_curated_frame("totals", ["processed_records", "valid_records", "removed_count", "removal_rate"])),
+    "curate_proper_nouns": curated_by_all,
+    "gazetteer_mentions": gazetteer_mentions,
+    "number_lists": number_lists,
 }
 
 QUERIES |= models.QUERIES
