@@ -291,7 +291,7 @@ def detection_stats(spark, sf):
 
 def run_figures(spark, sf):
     judged, subsets = _subsets(spark, sf)
-    return run_report(judged, subsets, subsets[2].detector.freq)
+    return run_report(Cleaned(judged), subsets, subsets[2].detector.freq)
 
 
 def detected_samples(spark, sf):

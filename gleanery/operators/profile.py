@@ -14,17 +14,15 @@ def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part * F.lit(100.0), whole)
 
 
-def field_stats(flagged: DataFrame) -> DataFrame:
-    """Per field: total, filled, NULL, failing and passing records and the failure rate.
-
-    Text errors can only arise among records with valid metadata, but the rate is
-    taken over all records.
-    """
-    fields = [f for f in METADATA_FIELDS + TEXT_FIELDS if f in flagged.columns]
-
-    def entry(f: str) -> Column:
-        errors = "meta_errors" if f in METADATA_FIELDS else "text_errors"
-        kind = "strict_metadata" if f in METADATA_FIELDS else "cleaned_text"
+def figures(flagged: DataFrame) -> DataFrame:
+    """One row with all that the cleaning report needs, in one pass over the judged records: see the functions below."""
+    metadata = [f for f in METADATA_FIELDS if f in flagged.columns]
+    text = [f for f in TEXT_FIELDS if f in flagged.columns]
+    survives = ~F.col("failed").eqNullSafe(METADATA_STAGE)
+
+    def field(f: str) -> Column:
+        errors = "meta_errors" if f in metadata else "text_errors"
+        kind = "strict_metadata" if f in metadata else "cleaned_text"
         failing = F.exists(errors, lambda e: e.startswith(f"{f}: "))
         return F.struct(
             F.lit(f).alias("field"),
@@ -33,28 +31,9 @@ def field_stats(flagged: DataFrame) -> DataFrame:
             F.count_if(failing).alias("error_records"),
         )
 
-    return (
-        flagged.agg(F.count("*").alias("total_records"), F.array(*[entry(f) for f in fields]).alias("fields"))
-        .select("total_records", F.inline("fields"))
-        .select(
-            "field",
-            "validation_type",
-            "total_records",
-            "non_empty_records",
-            (F.col("total_records") - F.col("non_empty_records")).alias("empty_records"),
-            "error_records",
-            (F.col("total_records") - F.col("error_records")).alias("valid_records"),
-            percent(F.col("error_records"), F.col("total_records")).alias("error_rate"),
-        )
-    )
-
-
-def cleaning_summary(flagged: DataFrame) -> DataFrame:
-    """Effect of cleaning on each text field, over records with valid metadata."""
-
-    def entry(f: str) -> Column:
-        before = F.length(F.coalesce(F.col(f), F.lit("")))
-        after = F.length(f"{f}_clean")
+    def effect(f: str) -> Column:
+        before = F.when(survives, F.length(F.coalesce(F.col(f), F.lit(""))))
+        after = F.when(survives, F.length(f"{f}_clean"))
         return F.struct(
             F.lit(f).alias("field"),
             F.avg(before).alias("original_avg_length"),
@@ -64,17 +43,56 @@ def cleaning_summary(flagged: DataFrame) -> DataFrame:
             F.count_if(before - after > 20).alias("significantly_reduced"),
         )
 
-    fields = [f for f in TEXT_FIELDS if f in flagged.columns]
-    survivors = flagged.filter(~F.col("failed").eqNullSafe(METADATA_STAGE))
-    return survivors.agg(F.array(*[entry(f) for f in fields]).alias("fields")).select(F.inline("fields"))
+    return flagged.agg(
+        F.count("*").alias("total_records"),
+        F.count_if(F.col("failed").isNull()).alias("valid_records"),
+        F.array(*[field(f) for f in metadata + text]).alias("fields"),
+        F.array(*[effect(f) for f in text]).alias("effects"),
+    )
+
+
+def field_stats(flagged: DataFrame) -> DataFrame:
+    """Per field: total, filled, NULL, failing and passing records and the failure rate.
+
+    Text errors can only arise among records with valid metadata, but the rate is
+    taken over all records.
+    """
+    return field_stats_of(figures(flagged))
+
+
+def field_stats_of(row: DataFrame) -> DataFrame:
+    """``field_stats`` from ``figures``."""
+    return row.select("total_records", F.inline("fields")).select(
+        "field",
+        "validation_type",
+        "total_records",
+        "non_empty_records",
+        (F.col("total_records") - F.col("non_empty_records")).alias("empty_records"),
+        "error_records",
+        (F.col("total_records") - F.col("error_records")).alias("valid_records"),
+        percent(F.col("error_records"), F.col("total_records")).alias("error_rate"),
+    )
+
+
+def cleaning_summary(flagged: DataFrame) -> DataFrame:
+    """Effect of cleaning on each text field, over records with valid metadata."""
+    return cleaning_summary_of(figures(flagged))
+
+
+def cleaning_summary_of(row: DataFrame) -> DataFrame:
+    """``cleaning_summary`` from ``figures``."""
+    return row.select(F.inline("effects"))
 
 
 def totals(flagged: DataFrame) -> DataFrame:
     """Processed, valid and removed records and the removal rate."""
+    return totals_of(figures(flagged))
+
+
+def totals_of(row: DataFrame) -> DataFrame:
+    """``totals`` from ``figures``."""
     return (
-        flagged.agg(
-            F.count("*").alias("processed_records"), F.count_if(F.col("failed").isNull()).alias("valid_records")
-        )
+        row.select(F.col("total_records").alias("processed_records"), "valid_records")
         .withColumn("removed_count", F.col("processed_records") - F.col("valid_records"))
         .withColumn("removal_rate", percent(F.col("removed_count"), F.col("processed_records")))
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,11 @@ class Cleaned:
 
     flagged: DataFrame
 
+    @cached_property
+    def figures(self) -> DataFrame:
+        """``profile.figures``, written when it is first asked for: one pass for all reports."""
+        return materialise(profile.figures(self.flagged))
+
     @property
     def records(self) -> DataFrame:
         return validate.accepted(self.flagged)
@@ -28,15 +34,15 @@ class Cleaned:
     @property
     def report(self) -> dict[str, DataFrame]:
         return {
-            "totals": profile.totals(self.flagged),
-            "field_stats": profile.field_stats(self.flagged),
-            "cleaning_summary": profile.cleaning_summary(self.flagged),
+            "totals": profile.totals_of(self.figures),
+            "field_stats": profile.field_stats_of(self.figures),
+            "cleaning_summary": profile.cleaning_summary_of(self.figures),
             "removed_records": self.rejects,
         }
 
     def low_retention(self) -> bool:
         """Whether fewer than half of the records are left."""
-        kept, all_ = profile.totals(self.flagged).select("valid_records", "processed_records").first()
+        kept, all_ = profile.totals_of(self.figures).select("valid_records", "processed_records").first()
         return kept < all_ * 0.5
 
 

@@ -88,7 +88,7 @@ def curate(
         subsets[d.name] = build_subset(cleaned.records, d, size, seed, f"{output}/subsets/{d.name}", stages)
         seconds[d.name] = time.time() - begun
     freq = next((s.detector.freq for s in subsets.values() if hasattr(s.detector, "freq")), None)
-    report = run_report(cleaned.flagged, list(subsets.values()), freq, threshold)
+    report = run_report(cleaned, list(subsets.values()), freq, threshold)
     report = report.unionByName(field_figures(cleaned.report)).unionByName(subset_times(spark, seconds))
     report = with_speed(report, time.time() - started, len(subsets))
     write_report({"run": report}, f"{output}/report")

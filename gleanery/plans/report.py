@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.operators import entities, profile
+from gleanery.plans.clean import Cleaned
 from gleanery.plans.subsets import Subset
 
 
@@ -17,14 +18,14 @@ def _long(df: DataFrame, section: str, **metrics) -> DataFrame:
 
 
 def run_report(
-    flagged: DataFrame, subsets: list[Subset], freq: DataFrame | None = None, threshold: int = entities.THRESHOLD
+    cleaned: Cleaned, subsets: list[Subset], freq: DataFrame | None = None, threshold: int = entities.THRESHOLD
 ) -> DataFrame:
     """Generation, cleaning and per-subset figures, rates rounded to two decimals.
 
     ``freq`` adds the number of entities and of rare ones to the report.
     """
     c = F.col
-    totals = profile.totals(flagged)
+    totals = profile.totals_of(cleaned.figures)
     parts = [
         _long(totals, "generation", original_records=c("processed_records"), cleaned_records=c("valid_records")),
         _long(

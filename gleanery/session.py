@@ -44,17 +44,18 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once as a scratch table and read it back.
 
     Used where several branches read the same costly intermediate. Unlike a
     cache, the table outlives lost executors, gives the optimiser real sizes
-    to choose joins by, and still prunes columns.
+    to choose joins by, and still prunes columns. Tables with texts are better
+    off with a stronger ``compression`` than the session's.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(schema).parquet(path)
 
 
