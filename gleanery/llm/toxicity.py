@@ -1,7 +1,7 @@
 """Toxicity of documents by a recurrent network over overlapping windows.
 
-A word, or each piece of a long one, enters the network as its own log odds in the training texts, if they have it often
-enough, beside the mean vector of its character trigrams. The score of a text follows from its most toxic window,
+A word, or each piece of a long one, enters the network as a vector of its own, if the training texts have it often
+enough, beside the mean vector of its character trigrams. Both kinds of vectors start from log odds and are trained with the network. The score of a text follows from its most toxic window,
 so a single bad passage in a long text counts. Training knows labels of documents only:
 in every round the windows that score highest in each document carry its label. A part
 of the training documents is kept back to turn the highest logit of a document, given the number of its
@@ -137,6 +137,13 @@ class Model:
         np.add.at(slopes, features.trigrams, np.repeat(by_table[1:, WORD_SIZE:] / features.sizes[:, None], features.sizes, axis=0))
         return slopes
 
+    def word_slopes(self, features: Features, by_table: np.ndarray) -> np.ndarray:
+        """Gradients of the vectors of words, given those of the table; that of all other words stays."""
+        slopes = np.zeros_like(self.words)
+        np.add.at(slopes, features.rows, by_table[1:, :WORD_SIZE])
+        slopes[0] = 0
+        return slopes
+
     def logits(self, table: np.ndarray, windows: np.ndarray) -> np.ndarray:
         parts = range(0, len(windows), _WINDOWS_AT_ONCE)
         return np.concatenate([gru.forward(self.network, table, windows[i : i + _WINDOWS_AT_ONCE])[0] for i in parts])
@@ -208,7 +215,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1, totals: tuple[int
     model = Model(own, seen, rng)
     number, doc, windows = _numbered(own)
     features = model.features(list(number))
-    parameters = model.network | {"trigrams": model.trigrams}
+    parameters = model.network | {"trigrams": model.trigrams, "words": model.words}
     adam = gru.Adam(parameters, RATE)
     table = model.table(features)
     scores = (table[:, 0] + table[:, WORD_SIZE])[windows].max(axis=1)
@@ -225,7 +232,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1, totals: tuple[int
             logits, kept = gru.forward(model.network, table, local, keep=True)
             slope = ((_sigmoid(logits) - seen[doc[part]]) / len(part)).astype(np.float32)
             gradients, by_table = gru.backward(model.network, table, local, kept, slope)
-            adam.step(parameters, gradients | {"trigrams": model.trigram_slopes(these, by_table)})
+            slopes = {"trigrams": model.trigram_slopes(these, by_table), "words": model.word_slopes(these, by_table)}
+            adam.step(parameters, gradients | slopes)
         scores = model.logits(model.table(features), windows)
     if kept_back.any():
         shares = np.ones(2) if totals is None else np.array(totals) / np.maximum(np.bincount(labels, minlength=2), 1)

@@ -38,6 +38,52 @@ def test_gradients_match_differences():
             assert slopes[at] == pytest.approx((up - down) / 2 / step, rel=0.05, abs=2e-3)
 
 
+def plain_logit(p, vectors):
+    """One window, word by word: two directions, attention, the sum."""
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    sides = []
+    for side, order in (("f", vectors), ("b", vectors[::-1])):
+        size = len(p[f"u{side}"])
+        state, states = np.zeros(size), []
+        for x in order:
+            given = x @ p[f"w{side}"] + p[f"c{side}"]
+            z = sigmoid(given[:size] + state @ p[f"u{side}"][:, :size])
+            r = sigmoid(given[size : 2 * size] + state @ p[f"u{side}"][:, size : 2 * size])
+            candidate = np.tanh(given[2 * size :] + (r * state) @ p[f"u{side}"][:, 2 * size :])
+            state = (1 - z) * state + z * candidate
+            states.append(state)
+        sides.append(states if side == "f" else states[::-1])
+    both = [np.concatenate(pair) for pair in zip(*sides, strict=True)]
+    weights = np.exp([np.tanh(s @ p["a"]) @ p["v"] for s in both])
+    return sum(w * s for w, s in zip(weights / weights.sum(), both, strict=True)) @ p["o"] + p["d"][0]
+
+
+def test_scores_against_plain_loops():
+    """Every word by itself, every window by itself, in double precision."""
+    chance = random.Random(5)
+    pool = ["awful", "kind", "river", "é", "x" * 150, "stone", "vile", "and", "日本語の文章です"]
+    texts = [" ".join(chance.choice(pool[2:]) for _ in range(60)) + (" vile awful" if i % 3 == 0 else "") for i in range(40)]
+    model = toxicity.train(texts, np.array([int(i % 3 == 0) for i in range(40)]), totals=(400, 13))
+    p = {k: v.astype(np.float64) for k, v in model.network.items()}
+
+    def vector(word):
+        edged = b"<" + word + b">"
+        grams = [(edged[i] * 961 + edged[i + 1] * 31 + edged[i + 2]) * 2654435761 >> 7 for i in range(len(edged) - 2)]
+        mean = np.mean([model.trigrams[g % toxicity.TRIGRAMS].astype(np.float64) for g in grams], axis=0)
+        return np.concatenate([model.words[model.vocabulary.get(word, 0)].astype(np.float64), mean])
+
+    asked = [*texts[:6], "one", "vile " * 100, "", None, "calm " * 31 + "awful"]
+    for text, score in zip(asked, model.scores(asked), strict=True):
+        words = [vector(w) for w in toxicity.pieces_of(text)]
+        starts = range(0, max(1, len(words) - 16), 16) if words else []
+        logits = [plain_logit(p, words[a : a + 32]) for a in starts]
+        want = 1 / (1 + np.exp(-(np.array([1, max(logits), np.log(len(logits))]) @ model.calibration))) if logits else 0.0
+        assert score == pytest.approx(want, abs=2e-4)
+
+
 @pytest.mark.parametrize("n", [1, 15, 16, 17, 32, 33, 48, 49, 1000])
 def test_windows_cover_all_words(n):
     windows = toxicity.windows_of(np.arange(1, n + 1))
