@@ -8,7 +8,7 @@ treated as the operators say.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm import decontaminate, packing, quality_knn, simhash, template_lines
@@ -22,11 +22,22 @@ def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
     return changed.select(*[values[c].alias(c) if c in values else F.col("row")[c].alias(c) for c in docs.columns])
 
 
+def _text_key() -> Column:
+    """Tells whether a text is still the same one, without carrying both."""
+    return F.struct(F.xxhash64("text").alias("h"), F.hash("text").alias("g"))
+
+
+def _others(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c != "text"]
+
+
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the nearest-neighbour vote accepts (score of 0.5 or more)."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rows = docs.select(F.struct("*").alias("row"), "text")
-    return quality_knn.score(rows, quality_knn.fit(docs, labels)).filter("score >= 0.5").select("row.*")
+    # the text travels to Python once; whatever other columns there are are one
+    rows = docs.select(F.struct(*_others(docs)).alias("row"), "text")
+    scored = quality_knn.score(rows, quality_knn.fit(docs, labels)).filter("score >= 0.5")
+    return scored.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +55,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, their texts without passages of benchmark items."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    rows = docs.select(F.struct("*").alias("row"), "text")
-    return _with_text(docs, decontaminate.remove_passages(rows, benchmark))
+    rows = docs.select(F.struct(*_others(docs)).alias("row"), _text_key().alias("was"), "text")
+    changed = decontaminate.remove_passages(rows, benchmark)
+    same = F.col("was") == _text_key()
+    n_chars = F.when(same, F.col("row.n_chars")).otherwise(F.length("text").cast("long"))
+    values = {"text": F.col("text"), "n_chars": n_chars}
+    return changed.select(*[values[c].alias(c) if c in values else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
