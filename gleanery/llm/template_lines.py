@@ -142,14 +142,14 @@ def _by_chance(table: DataFrame, candidates: DataFrame) -> DataFrame:
 
 def recurring_lines(docs: DataFrame) -> DataFrame:
     """(h, g, gone): for each document that loses lines, by the hashes of its id and text, their numbers from 0."""
-    table = materialise(_lines(docs))
+    table = materialise(_lines(docs), compression="zstd")
     template = F.when(F.col("template").isNull(), F.struct(F.col("t").alias("a"), F.col("u").alias("b"))).otherwise(
         F.struct(F.col("template").alias("a"), F.lit(0).alias("b"))
     )
     document = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "g")
     named = materialise(
         table.join(_templates(table), ["t", "u"], "left").select(
-            "h", "g", "line_no", "n", document.alias("document"), template.alias("template")
+            "line_no", "n", document.alias("document"), template.alias("template")
         )
     )
     # counted per document first, so that a template of very many lines is combined in each task
@@ -168,7 +168,8 @@ def recurring_lines(docs: DataFrame) -> DataFrame:
     parts = recurring.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
     dealt = named.withColumn("part", F.pmod(F.xxhash64("document"), F.lit(PARTS)).cast("int"))
     gone = dealt.join(parts, ["template", "part"]).filter(F.col("document") != F.col("first"))
-    return gone.groupBy("h", "g").agg(F.collect_set("line_no").alias("gone"))
+    h, g = F.col("document.h").alias("h"), F.col("document.g").alias("g")
+    return gone.groupBy(h, g).agg(F.collect_set("line_no").alias("gone"))
 
 
 def drop_recurring_lines(docs: DataFrame) -> DataFrame:
