@@ -44,3 +44,23 @@ def test_familiar_words_are_not_joined(spark):
     tokens = df.select("record_id", F.explode(F.split("text", " ")).alias("word"))
     assert {r.word for r in lexicon.doubtful(tokens).collect()} == {"zzyx", "qqwv"}
     assert language.non_english_ids(df, lexicon).count() == 10
+
+
+def test_exploded_left_sides_are_not_sent(spark, monkeypatch):
+    """The left side, however small it looks, is not what is broadcast when the right one has few rows."""
+    left = materialise(spark.range(9).select(F.col("id").alias("record_id"), F.col("id").cast("string").alias("k")))
+    right = materialise(spark.range(3000).select(F.col("id").cast("string").alias("k"), F.lit("x" * 9).alias("v")))
+    for joined in (left.join(skew.bounded(right), "k"), skew.salted_join(left, right, "k", []), skew.salted_join(left, right, "k", ["3"])):
+        plan = _plan(joined)
+        assert "BuildRight" in plan and "BuildLeft" not in plan
+        assert joined.count() == 9
+    monkeypatch.setattr(skew, "SENT_BYTES", 3000)
+    assert "Broadcast" not in _plan(left.join(skew.bounded(right), "k"))
+
+
+def test_phrases_are_found_by_their_next_characters(spark):
+    texts = spark.createDataFrame([(1, "blue a b"), (2, "the a cd ef"), (3, "a bc  d"), (4, "xa  de"), (5, "a")], "record_id long, text string")
+    strings = spark.createDataFrame([("a b",), ("a cd",), ("a cd e",), ("a  d",), ("c  d",), ("e a b",)], "string string")
+    expected = {(t.record_id, s.string) for t in texts.collect() for s in strings.collect() if s.string in t.text}
+    assert len(expected) == 7
+    assert {tuple(r) for r in substring.contained_strings(texts, strings).collect()} == expected
