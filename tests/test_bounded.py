@@ -64,3 +64,12 @@ def test_phrases_are_found_by_their_next_characters(spark):
     expected = {(t.record_id, s.string) for t in texts.collect() for s in strings.collect() if s.string in t.text}
     assert len(expected) == 7
     assert {tuple(r) for r in substring.contained_strings(texts, strings).collect()} == expected
+
+
+def test_mentions_are_searched_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(entities, "materialise", lambda df: seen.append(df) or materialise(df))
+    df = spark.createDataFrame([(1, "He met Ada Lovelace. Then Bob left."), (2, "then bob left Ada")], "record_id long, text string")
+    freq = entities.entity_frequencies(df)
+    assert {tuple(r) for r in freq.collect()} == {("ada lovelace", 1), ("ada", 1), ("he", 1), ("then bob", 1)}
+    assert "regexp_extract_all" in str(seen[0]._jdf.queryExecution().optimizedPlan()) and len(seen) == 1
