@@ -1,7 +1,7 @@
 """What passes through the driver is bounded, and what need not be joined is not."""
 
 from gleanery.functions.spans import positions
-from gleanery.operators import entities, language, skew, substring
+from gleanery.operators import entities, language, skew, substring, validate
 from gleanery.session import materialise
 from pyspark.sql import functions as F
 
@@ -66,6 +66,14 @@ def test_phrases_are_found_by_their_next_characters(spark):
     assert {tuple(r) for r in substring.contained_strings(texts, strings).collect()} == expected
 
 
+def test_first_records_are_judged_without_sorting_all(spark):
+    rows = [(i, "c", "$200", "q " + "x" * i, "a", "Jeopardy!", "1", "2004-01-01") for i in range(50)]
+    df = spark.createDataFrame(rows, "record_id long, category string, value string, question string, answer string, round string, show_number string, air_date string")
+    out = validate.debug(df, 3)
+    assert "Sort" not in _plan(out)
+    assert {r.record_id for r in out.collect()} == {0, 1, 2}
+
+
 def test_mentions_are_searched_once(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(entities, "materialise", lambda df: seen.append(df) or materialise(df))
