@@ -1,5 +1,7 @@
 """What passes through the driver is bounded, and what need not be joined is not."""
 
+from gleanery.functions import numbers, text
+from gleanery.functions.patterns import SINGLE_SPACED, SPACE, bounded
 from gleanery.functions.spans import positions
 from gleanery.operators import entities, language, skew, substring, validate
 from gleanery.session import materialise
@@ -81,3 +83,27 @@ def test_mentions_are_searched_once(spark, monkeypatch):
     freq = entities.entity_frequencies(df)
     assert {tuple(r) for r in freq.collect()} == {("ada lovelace", 1), ("ada", 1), ("he", 1), ("then bob", 1)}
     assert "regexp_extract_all" in str(seen[0]._jdf.queryExecution().optimizedPlan()) and len(seen) == 1
+
+
+# Kinds of white space, and what is none: a zero-width blank, a control character, letters beyond the BMP.
+PIECES = ["a", "~", "é", "😀", "\u200b", "\x07", "\x7f", " ", "\t", "\x1c", "\x85", "\xa0", "\u2028", "\u3000"]
+
+
+def test_single_blanks_are_taken_in_one_go(spark, apply):
+    texts = [x + y + z + w for x in PIECES for y in PIECES for z in (" ", "b", "\n") for w in PIECES] + ["", None, "word é " * 300_000, " \t" * 300_000]
+    found = apply(text.squeeze_space, texts)
+    assert found == apply(lambda c: F.trim(F.regexp_replace(c, f"{SPACE}+", " ")), texts)
+    assert apply(lambda c: F.length(F.regexp_replace(c, SINGLE_SPACED, "")), ["word é " * 300_000 + "end"]) == [0]
+
+
+def test_steps_are_run_for_each_trigger(apply):
+    needles = {"_": "[BLANK]", "&amp;": "&", "\\'": "'", "http://x": "[LINK]", "?!": "!", "..": "."} | dict.fromkeys("‘’‚‛′‵", "'") | dict.fromkeys("–—―", "-")
+    assert apply(lambda c: text.clean_text(c, "question"), [f"a {n} b" for n in needles]) == [f"a {v} b" for v in needles.values()]
+
+
+def test_number_words_are_told_apart_by_their_first_letter(apply):
+    words = numbers.WORDS.split("|")
+    texts = [t for w in words for t in (f"by {w.upper()}.", f"by {w}q", f"q{w} by", w[:-1], w)]
+    plain = "(?i)" + bounded(f"{numbers.WORDS}|{numbers.ROMAN}")
+    assert apply(numbers.has_number, texts) == apply(lambda c: c.rlike(plain), texts)
+    assert len(words) > numbers._by_first_letter(numbers.WORDS).count("(?:") > 8
