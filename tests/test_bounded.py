@@ -3,7 +3,8 @@
 from gleanery.functions import numbers, text
 from gleanery.functions.patterns import SINGLE_SPACED, SPACE, bounded
 from gleanery.functions.spans import positions
-from gleanery.operators import entities, language, skew, substring, validate
+from gleanery.operators import entities, language, profile, skew, substring, validate
+from gleanery.plans.curate import curate
 from gleanery.session import materialise
 from pyspark.sql import functions as F
 
@@ -85,6 +86,20 @@ def test_mentions_are_searched_once(spark, monkeypatch):
     assert "regexp_extract_all" in str(seen[0]._jdf.queryExecution().optimizedPlan()) and len(seen) == 1
 
 
+def test_lines_are_parsed_once_for_the_reports(spark, tmp_path, monkeypatch):
+    path, plans = str(tmp_path / "lines"), []
+    rows = [(i, "c", "$200", f" q {i} ", "a", "Jeopardy!", "1", "2004-01-01") for i in range(9)]
+    spark.createDataFrame(rows, "record_id long, category string, value string, question string, answer string, round string, show_number string, air_date string").write.json(path)
+    for name in ("summary", "round_distribution", "top_categories", "first_record"):
+        report = getattr(profile, name)
+        monkeypatch.setattr(profile, name, lambda df, report=report: plans.append(_plan(report(df))) or report(df))
+    flag = validate.flag
+    monkeypatch.setattr(validate, "flag", lambda df: plans.append(_plan(flag(df))) or flag(df))
+    run = curate(spark, path, str(tmp_path / "out"), "jsonl", detectors=[])
+    assert len(plans) == 5 and all("FileScan parquet" in p and "FileScan json" not in p for p in plans)
+    assert {r.question for r in run.cleaned.records.collect()} == {f"q {i}" for i in range(9)}
+
+
 # Kinds of white space, and what is none: a zero-width blank, a control character, letters beyond the BMP.
 PIECES = ["a", "~", "é", "😀", "\u200b", "\x07", "\x7f", " ", "\t", "\x1c", "\x85", "\xa0", "\u2028", "\u3000"]
 
