@@ -8,6 +8,7 @@ in blocks, and the labels of the nearest ones are weighted by their similarity.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -151,12 +152,32 @@ def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays(columns, ["label", "places", "weights"])
 
 
+def _model_batches(totals: dict[int, int]):
+    """Fits the model in the one task that has the terms of all sampled documents; ``totals``: labels of each class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        if not found:
+            return
+        found.sort()  # not as they arrived
+        rows = np.zeros((len(found), TERMS), np.float32)
+        for row, (_, places, weights) in zip(rows, found, strict=True):
+            row[np.frombuffer(places, "<u2")] = np.frombuffer(weights, "<f4")
+        labels = np.array([label for label, _, _ in found])
+        counts = np.bincount(labels, minlength=2)
+        model = Model(rows, labels, weights=tuple(totals.get(c, 0) / max(int(counts[c]), 1) for c in (0, 1)))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model of ``labels`` (doc_id, quality) outside the held-out fold, on at most ``LABELLED`` rows of each class.
 
     An id with several labels counts with the lower one, one with several texts with the least; null labels do not count. A
     row of a class counts for as many labels as there are of the class for each of its sampled rows, so that the mix of classes in the sample, which depends on its
-    bound, does not matter. Only the terms of the sampled documents come to the driver. None if no labelled document is there.
+    bound, does not matter. The terms of the sampled documents, at most twice ``LABELLED`` rows, meet in one task; only the
+    model comes to the driver, which never holds their matrix. None if no labelled document is there.
     """
     usable = labels.filter(F.col("quality").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
     once = usable.groupBy("doc_id").agg(F.min("quality").alias("label"))
@@ -165,16 +186,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(picked, "doc_id")
     sample = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").cast("int").alias("label")).select("label", "text")
     totals = {r.label: r.n for r in once.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
-    found = sample.mapInArrow(_term_batches, "label int, places binary, weights binary").collect()
-    if not found:
-        return None
-    found.sort(key=lambda r: (r.label, r.places, r.weights))  # not as they arrived
-    rows = np.zeros((len(found), TERMS), np.float32)
-    for row, r in zip(rows, found, strict=True):
-        row[np.frombuffer(r.places, "<u2")] = np.frombuffer(r.weights, "<f4")
-    counts = np.bincount([r.label for r in found], minlength=2)
-    weights = tuple(totals.get(c, 0) / max(int(counts[c]), 1) for c in (0, 1))
-    return Model(rows, np.array([r.label for r in found]), weights=weights)
+    found = sample.mapInArrow(_term_batches, "label int, places binary, weights binary")
+    fitted = found.repartition(1).mapInArrow(_model_batches(totals), "model binary").first()
+    return pickle.loads(fitted.model) if fitted else None
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

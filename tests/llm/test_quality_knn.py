@@ -1,6 +1,7 @@
 """The quality vote: held-out accuracy, exact neighbours, odd inputs."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -85,6 +86,27 @@ def test_defined_cases(spark, tables):
     assert {r.score for r in quality_knn.score(odd, only).collect()} == {1.0}
 
 
+def test_the_driver_holds_the_model_only(spark):
+    r = random.Random(5)
+    rows = [(i, " ".join(r.choice("abcdef") * r.randrange(1, 9) for _ in range(20)), i % 2) for i in range(1500)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(8)
+    quality_knn.fit(table.limit(10), table)  # whatever is loaded at the first call
+    tracemalloc.start()
+    try:
+        model = quality_knn.fit(table, table)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    sampled = [x for x in rows if zlib.crc32(str(x[0]).encode()) % 3 != 1]
+    assert len(model.labels) == len(sampled) > 900
+    assert most < len(sampled) * quality_knn.TERMS * 4 / 2, f"{most / 1e6:.0f} MB"  # half of a matrix of all terms
+    found = [(label, quality_knn.terms(text)) for _, text, label in sampled]
+    found.sort(key=lambda x: (x[0], np.flatnonzero(x[1]).astype("<u2").tobytes(), x[1][x[1] != 0].tobytes()))
+    matrix, labels = np.stack([f for _, f in found]), np.array([label for label, _ in found])
+    expected = quality_knn.Model(matrix, labels)
+    assert np.allclose(model.scores(matrix[::50]), expected.scores(matrix[::50]), atol=1e-3)
+
+
 def test_given_labels(spark):
     truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
     found = op4_quality_knn(spark, SMALL).collect()
