@@ -9,7 +9,7 @@ in blocks, and the labels of the nearest ones are weighted by their similarity.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -109,23 +109,28 @@ def terms(text: str | None) -> np.ndarray:
 
 
 class Model:
-    """Latent space, labelled vectors and their labels: a few MB, bounded by the constants above."""
+    """Latent space, labelled vectors and their labels: a few MB, bounded by the constants above.
 
-    def __init__(self, rows: np.ndarray, labels: np.ndarray, seed: int = 1, weights: tuple[float, float] = (1.0, 1.0)):
+    ``rows`` is the matrix of the terms, or a function that makes it, which is held only once then.
+    """
+
+    def __init__(self, rows: np.ndarray | Callable[[], np.ndarray], labels: np.ndarray, seed: int = 1, weights: tuple[float, float] = (1.0, 1.0)):
+        make = rows if callable(rows) else rows.copy
         self.labels = labels.astype(np.float32)
         self.weights = np.array(weights, np.float32)[labels]
-        used = np.count_nonzero(rows, axis=0)
-        idf = (np.log((1 + len(rows)) / (1 + used)) + 0.1).astype(np.float32)
-        scaled = rows * idf
-        rank = min(DIMENSIONS, *rows.shape)
+        scaled = make()
+        used = sum(np.count_nonzero(scaled[at : at + _BLOCK], axis=0) for at in range(0, len(scaled), _BLOCK))
+        idf = (np.log((1 + len(scaled)) / (1 + used)) + 0.1).astype(np.float32)
+        scaled *= idf
+        rank = min(DIMENSIONS, *scaled.shape)
         # randomised subspace iteration
-        basis = np.random.default_rng(seed).standard_normal((rows.shape[1], rank + 8)).astype(np.float32)
+        basis = np.random.default_rng(seed).standard_normal((scaled.shape[1], rank + 8)).astype(np.float32)
         for _ in range(4):
             basis = np.linalg.qr(scaled.T @ (scaled @ basis))[0]
         _, _, right = np.linalg.svd(scaled @ basis, full_matrices=False)
         del scaled
         self.projection = (idf[:, None] * (basis @ right[:rank].T)).astype(np.float32)
-        self.vectors = self.project(rows)
+        self.vectors = self.project(make())
 
     def project(self, rows: np.ndarray) -> np.ndarray:
         found = rows @ self.projection
@@ -160,12 +165,16 @@ def _model_batches(totals: dict[int, int]):
         if not found:
             return
         found.sort()  # not as they arrived
-        rows = np.zeros((len(found), TERMS), np.float32)
-        for row, (_, places, weights) in zip(rows, found, strict=True):
-            row[np.frombuffer(places, "<u2")] = np.frombuffer(weights, "<f4")
+
+        def matrix() -> np.ndarray:
+            rows = np.zeros((len(found), TERMS), np.float32)
+            for row, (_, places, weights) in zip(rows, found, strict=True):
+                row[np.frombuffer(places, "<u2")] = np.frombuffer(weights, "<f4")
+            return rows
+
         labels = np.array([label for label, _, _ in found])
         counts = np.bincount(labels, minlength=2)
-        model = Model(rows, labels, weights=tuple(totals.get(c, 0) / max(int(counts[c]), 1) for c in (0, 1)))
+        model = Model(matrix, labels, weights=tuple(totals.get(c, 0) / max(int(counts[c]), 1) for c in (0, 1)))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     return run

@@ -62,6 +62,25 @@ def test_vote_against_brute_force():
         assert score == pytest.approx(sum(w * labels[i] for w, i in zip(weights, near, strict=True)) / sum(weights), abs=1e-3)
 
 
+def test_the_matrix_is_held_once():
+    size = 1200 * quality_knn.TERMS * 4
+
+    def matrix():
+        rows = np.zeros((1200, quality_knn.TERMS), np.float32)
+        rows[np.arange(6000) % 1200, np.random.default_rng(3).integers(0, quality_knn.TERMS, 6000)] = 1
+        return rows
+
+    labels = np.arange(1200) % 2
+    plain = quality_knn.Model(matrix(), labels)
+    tracemalloc.start()
+    try:
+        model = quality_knn.Model(matrix, labels)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 1.6 * size and np.array_equal(model.vectors, plain.vectors) and np.array_equal(model.projection, plain.projection)
+
+
 def test_word_hashes_do_not_depend_on_the_place():
     word = b"abcdefgh" * 20
     data = np.frombuffer((b"x " * 2000 + word + b" ") * 6 + word, np.uint8)
