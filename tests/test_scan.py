@@ -79,15 +79,47 @@ def test_entities_of_a_batch_are_counted_by_one_shuffle(spark):
     assert {tuple(r) for r in out.collect()} == names | {("met", 0, 0, 1), ("left", 0, 0, 2), ("then", 0, 0, 2), ("bob", 0, 0, 1)}
 
 
-def test_earlier_texts_are_looked_up_if_the_index_is_shorter(spark, tmp_path):
+def test_what_a_batch_writes(spark, tmp_path):
+    """Texts are kept once, and no table is as long as their words."""
     log = EntityLog(spark, str(tmp_path / "log"), threshold=2)
-    log.add(spark.createDataFrame([(i, f"near coal {i}" + (" xosky" if i == 4 else "")) for i in range(9)], "record_id long, text string"))
-    entered = spark.createDataFrame([("osk", 1)], "entity string, freq long")
-    assert [r.record_id for r in log._holding(entered, range(1, 2)).collect()] == [4]
-    common = spark.createDataFrame([("near", 1)], "entity string, freq long")
-    every = log._holding(common, range(1, 2))
-    assert every.count() == 9 and "Join" not in every._jdf.queryExecution().executedPlan().toString()
+    log.add(spark.createDataFrame([(i, f"near Coal {i}" + (" xosky" if i == 4 else "")) for i in range(9)], "record_id long, text string"))
+    assert {p.name for p in (tmp_path / "log").iterdir()} == {"texts", "found", "counts"}
     change = log.add(spark.createDataFrame([(20, "see Osk now")], "record_id long, text string"))
     assert {r.record_id: r.rare for r in change.flipped.collect()} == {4: True, 20: True}
     assert {r.record_id for r in log.rare_ids().collect()} == {4, 20}
-    assert {tuple(r) for r in log.frequencies().collect()} == {("osk", 1)}
+    assert {tuple(r) for r in log.frequencies().collect()} == {("osk", 1), ("coal", 9)}
+
+
+def test_details_are_exact_and_texts_are_read_once(spark, monkeypatch):
+    """Also where the tables are too small, ids repeat or are missing, and letters have more than one byte."""
+    plans, seen = [], []
+
+    def written(df, *a):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialise(df, *a)
+
+    monkeypatch.setattr(entities, "materialise", written)
+    monkeypatch.setattr(entities, "by_chance", lambda *a, f=substring.by_chance: seen.append(f(*a)) or seen[-1])
+    texts = [(1, "Café Osk, OSKAR 😀 osk"), (2, None), (3, "a mast"), (3, "osk mast mast"), (None, "osk"), (4, "aaaa é"), (5, "xyz")]
+    df = materialise(spark.createDataFrame(texts, "record_id long, text string"))
+    listed = [("osk", 1), ("mast", 2), ("aa", 1), ("é", 3), ("oskar 😀", 2), ("never", 9)]
+    freq = spark.createDataFrame(listed + [(f"{a}{b}", 1 + i % 3) for i, a in enumerate("bcdghjl") for b in "bcdghjl"], "entity string, freq long")
+    for most in (6, 27):
+        monkeypatch.setattr(scan, "_FEWEST", 6)
+        monkeypatch.setattr(scan, "_MOST", most)
+        rows = entities.rare_entity_details(df, freq).collect()
+        found = sorted((r.record_id or 0, r.text_length, [(e.text, e.frequency, e.positions) for e in r.unusual_entities_found]) for r in rows)
+        assert found == [
+            (0, 3, []),
+            (1, 21, [("osk", 1, [5, 10, 18]), ("oskar 😀", 2, [10]), ("é", 3, [3])]),
+            (2, 0, []),
+            (3, 6, [("mast", 2, [2]), ("osk", 1, [])]),
+            (3, 13, [("mast", 2, [4, 9]), ("osk", 1, [0])]),
+            (4, 6, [("aa", 1, [0, 2]), ("é", 3, [5])]),
+            (5, 3, []),
+        ]
+        assert all(r.unusual_count == len(r.unusual_entities_found) and r.has_unusual == (r.unusual_count > 0) for r in rows)
+    assert seen[0].count() > 0
+    read = [p for p in plans if "text#" in p and "MapInArrow" in p]
+    assert len(read) == 2 and all("Join" not in p and "Exchange" not in p for p in read)
+    assert not any("lower(" in p and p not in read for p in plans)
